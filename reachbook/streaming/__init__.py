@@ -1,0 +1,2 @@
+"""Nothing here on purpose: every dataset of this workload is a batch report
+over finished month-to-date slices, so there is no stream, watermark or state."""
