@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,14 +65,14 @@ class Campaign:
         read = spark.read.parquet
         return cls.of(read(activity), read(loans), read(areas), as_of, **options)
 
-    @property
+    @cached_property
     def messages(self) -> DataFrame:
         return filters.month_to_date(self.activity, self.as_of)
 
-    @property
+    @cached_property
     def snapshots(self) -> DataFrame:
         return filters.snapshot_window(self.loans, self.as_of)
 
-    @property
+    @cached_property
     def month_end_areas(self) -> DataFrame:
         return filters.month_end_snapshot(self.areas, self.as_of)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column
@@ -78,82 +79,86 @@ STAGES = {
 }
 
 
-def _first_match(branches: list[tuple[Column, Column]]) -> Column:
-    """The value of the first true branch, NULL when none is."""
-    chain = F.when(*branches[0])
-    for condition, value in branches[1:]:
-        chain = chain.when(condition, value)
-    return chain
+def _listed(values: Iterable[str | int]) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def _outcome(field: int) -> Column:
-    """Look one field of OUTCOMES up by channel and raw disposition."""
+def _case(branches: list[tuple[str, str]], otherwise: str = "NULL") -> Column:
+    """CASE over (condition, text) branches, as one SQL expression."""
+    whens = " ".join(f"WHEN {condition} THEN '{value}'" for condition, value in branches)
+    return F.expr(f"CASE {whens} ELSE {otherwise} END")
+
+
+def _outcome_branches(field: int) -> list[tuple[str, str]]:
+    """Per channel and value of one OUTCOMES field: the dispositions that give it."""
     branches = []
     for channel, dispositions in OUTCOMES.items():
         raw_by_value: dict[str, list[str]] = {}
         for raw, fields in dispositions.items():
             raw_by_value.setdefault(fields[field], []).append(raw)
         for value, raw in raw_by_value.items():
-            matches = (F.col("agent_type") == channel) & F.col("disposition").isin(raw)
-            branches.append((matches, F.lit(value)))
-    return _first_match(branches)
+            branches.append((f"agent_type = '{channel}' AND disposition IN ({_listed(raw)})", value))
+    return branches
 
 
 def grouped_disposition() -> Column:
     """CONTACTED when the customer was reached, else UNCONTACTED."""
     reached = [
-        ((F.col("agent_type") == channel) & F.col("disposition").isin(*raw), F.lit(CONTACTED))
+        (f"agent_type = '{channel}' AND disposition IN ({_listed(raw)})", CONTACTED)
         for channel, raw in CONTACT_DISPOSITIONS.items()
     ]
-    return _first_match(reached).otherwise(UNCONTACTED)
+    return _case(reached, otherwise=f"'{UNCONTACTED}'")
 
 
 def funnel_outcome() -> Column:
-    return _outcome(0)
+    return _case(_outcome_branches(0))
 
 
 def report_outcome() -> Column:
-    return _outcome(1)
+    return _case(_outcome_branches(1))
 
 
 def rank_letter() -> Column:
     """A for the best disposition of the row's channel; NULL when unlisted."""
-    return _outcome(2)
+    return _case(_outcome_branches(2))
+
+
+def rank_number(letter: str) -> int:
+    return ord(letter) - ord("A") + 1
 
 
 def outcome_rank() -> Column:
     """The rank letter as a number from 1, NULL when the disposition is unlisted."""
-    return F.ascii(rank_letter()) - F.lit(ord("A") - 1)
+    return F.ascii(rank_letter()) - (ord("A") - 1)
 
 
-def report_outcome_of_rank(channel: Column, rank: Column) -> Column:
+def report_outcome_of_rank(channel: str, rank: str) -> Column:
     """Report outcome from a channel and an outcome_rank, NULL for no rank."""
     branches = []
     for name, dispositions in OUTCOMES.items():
         ranks: dict[str, list[int]] = {}
         for _, reported, letter in dispositions.values():
-            ranks.setdefault(reported, []).append(ord(letter) - ord("A") + 1)
+            ranks.setdefault(reported, []).append(rank_number(letter))
         for reported, numbers in ranks.items():
-            branches.append(((channel == name) & rank.isin(numbers), F.lit(reported)))
-    return _first_match(branches)
+            branches.append((f"{channel} = '{name}' AND {rank} IN ({_listed(numbers)})", reported))
+    return _case(branches)
 
 
 def stage_columns() -> dict[str, Column]:
     """The ten funnel stage flags, from channel, Disposition_NEW and number."""
     columns = {}
     for name, (channel, labels) in STAGES.items():
-        in_channel = F.col("agent_type") == channel
         branches = [
-            (in_channel & F.col("Disposition_NEW").isin(*outcomes), F.lit(label))
+            (f"agent_type = '{channel}' AND Disposition_NEW IN ({_listed(outcomes)})", label)
             for label, outcomes in labels.items()
         ]
         if name == "Disposition_ConnectedIVR":
-            unanswered = in_channel & (F.col("Disposition_NEW") == "NOT_ANSWERED")
+            unanswered = f"agent_type = '{channel}' AND Disposition_NEW = 'NOT_ANSWERED' AND contact_number"
             branches += [
-                (unanswered & (F.col("contact_number") != NO_NUMBER), F.lit("Connected")),
-                (unanswered & (F.col("contact_number") == NO_NUMBER), F.lit("Not Connected")),
+                (f"{unanswered} <> '{NO_NUMBER}'", "Connected"),
+                (f"{unanswered} = '{NO_NUMBER}'", "Not Connected"),
             ]
-        columns[name] = _first_match(branches)
+        columns[name] = _case(branches)
     return columns
 
 

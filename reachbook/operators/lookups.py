@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AREA = ("Provinsi", "Kab", "Kec", "Desa")
@@ -12,28 +12,21 @@ AREA = ("Provinsi", "Kab", "Kec", "Desa")
 AREA_ORDER = ("Provinsi", "Desa", "Kab", "Kec")
 
 
-def quoted(name: str) -> Column:
-    return F.col(f"`{name}`")
-
-
 def snapshot_lookup(df: DataFrame, snapshots: DataFrame, day: Column, columns: dict[str, str]) -> DataFrame:
     """Attach snapshot columns (new name: source name) of exactly the given day.
 
     A left join on cleaned agreement number and day: rows without a snapshot
     stay, with NULLs, and duplicate snapshots multiply rows.
     """
-    right = snapshots.select(
-        F.col("agreement_key").alias("_key"),
-        F.col("ReportDate").alias("_day"),
-        *[quoted(source).alias(name) for name, source in columns.items()],
-    )
+    attached = [f"`{source}` as `{name}`" for name, source in columns.items()]
+    right = snapshots.selectExpr("agreement_key as _key", "ReportDate as _day", *attached)
     matches = (F.col("agreement_key") == F.col("_key")) & (day == F.col("_day"))
     return df.join(right, matches, "left").drop("_key", "_day")
 
 
 def area_lookup(df: DataFrame, areas: DataFrame) -> DataFrame:
     """Attach the area columns of the agreement, NULL where it has none."""
-    right = areas.select(F.col("agreement_key").alias("_key"), *AREA)
+    right = areas.selectExpr("agreement_key as _key", *AREA)
     return df.join(right, F.col("agreement_key") == F.col("_key"), "left").drop("_key")
 
 
@@ -43,24 +36,21 @@ def best_area(areas: DataFrame) -> DataFrame:
     return areas.groupBy("agreement_key").agg(first).select("agreement_key", "area.*")
 
 
-def total_order(df: DataFrame, leading: Sequence[Column], *, skip: Sequence[str] = ()) -> list[Column]:
-    """The leading order, then every other column, NULLs first.
-
-    Only rows equal in every column can tie, so a pick is the same on any plan.
-    """
-    return [*leading, *[quoted(c).asc_nulls_first() for c in df.columns if c not in skip]]
-
-
 def numbered(
-    df: DataFrame, keys: Sequence[str], leading: Sequence[Column], name: str, *, skip: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], leading: Sequence[str], name: str, *, skip: Sequence[str] = ()
 ) -> DataFrame:
-    """Number the rows of each group by the leading order, ties settled by value."""
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, leading, skip=[*keys, *skip]))
-    return df.withColumn(name, F.row_number().over(window))
+    """Number the rows of each group by the leading sort terms, then by every
+    other column but the skipped ones, NULLs first.
+
+    Only rows equal in every column can tie, so a number is the same on any plan.
+    """
+    rest = [f"`{c}` asc nulls first" for c in df.columns if c not in (*keys, *skip)]
+    number = f"row_number() over (partition by {', '.join(keys)} order by {', '.join([*leading, *rest])})"
+    return df.withColumn(name, F.expr(number))
 
 
 def first_of_group(
-    df: DataFrame, keys: Sequence[str], leading: Sequence[Column], name: str, *, skip: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], leading: Sequence[str], name: str, *, skip: Sequence[str] = ()
 ) -> DataFrame:
     """Row 1 of each group. Spark cuts every input partition to one row per
     group before the shuffle, so a huge group costs no more than a small one."""

@@ -17,6 +17,7 @@ ORDER = (
 )
 OUTCOME = ("newSR", "max__pt_1", "DPD_Max_2", "agent_type")
 _GROUP = ["agreementno", "angsuran"]
+_CONTACTED_FIRST = ["Grouped_Disposition asc nulls first"]
 
 
 def blast(campaign: Campaign) -> DataFrame:
@@ -45,7 +46,7 @@ def ranked_blasts(campaign: Campaign) -> DataFrame:
     return numbered(
         blast_enriched(campaign),
         _GROUP,
-        [F.col("Grouped_Disposition").asc_nulls_first()],
+        _CONTACTED_FIRST,
         "row_num",
         skip=["Grouped_Disposition"],
     )
@@ -58,7 +59,7 @@ def best_blasts(campaign: Campaign) -> DataFrame:
     first blast with the first outcome: both sides shrink before they meet.
     """
     first_blast = first_of_group(
-        blast(campaign), _GROUP, [F.col("Grouped_Disposition").asc_nulls_first()], "row_num", skip=["Grouped_Disposition"]
+        blast(campaign), _GROUP, _CONTACTED_FIRST, "row_num", skip=["Grouped_Disposition"]
     )
     first_outcome = first_of_group(_outcomes(campaign), ["_agreement", "_instalment"], [], "_first").drop("_first")
     return _with_outcome(first_blast, first_outcome).select(*[f"`{c}`" for c in (*ORDER, *OUTCOME, "row_num")])

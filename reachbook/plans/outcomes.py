@@ -52,18 +52,18 @@ def outcome_branches(campaign: Campaign) -> DataFrame:
     return unique_installments(campaign).withColumn("branch", branch)
 
 
-_BEST_FIRST = "newSR"
+_BEST_FIRST = ["newSR desc nulls last"]
 
 
 def ranked_agreements(campaign: Campaign) -> DataFrame:
     """Outcomes numbered per agreement, the best one first."""
     return numbered(
-        unique_installments(campaign), ["agreementno"], [F.col(_BEST_FIRST).desc_nulls_last()], "rn", skip=[_BEST_FIRST]
+        unique_installments(campaign), ["agreementno"], _BEST_FIRST, "rn", skip=["newSR"]
     )
 
 
 def unique_agreements(campaign: Campaign) -> DataFrame:
     """The best outcome of each agreement."""
     return first_of_group(
-        unique_installments(campaign), ["agreementno"], [F.col(_BEST_FIRST).desc_nulls_last()], "rn", skip=[_BEST_FIRST]
+        unique_installments(campaign), ["agreementno"], _BEST_FIRST, "rn", skip=["newSR"]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachbook.campaign import Campaign
@@ -32,9 +32,8 @@ def media(campaign: Campaign) -> DataFrame:
     return funnel.funnel_outcome(campaign).withColumn("disposition2", classify.report_outcome())
 
 
-def _by_rank(campaign: Campaign, rank: str = RANK) -> Column:
-    letter = F.col(rank)
-    return letter.asc_nulls_first() if campaign.unmapped_first else letter.asc_nulls_last()
+def _by_rank(campaign: Campaign, rank: str = RANK) -> str:
+    return f"{rank} asc nulls {'first' if campaign.unmapped_first else 'last'}"
 
 
 def channel_media(campaign: Campaign, channel: str) -> DataFrame:
@@ -46,7 +45,7 @@ def channel_media(campaign: Campaign, channel: str) -> DataFrame:
 def ranked_media(campaign: Campaign, channel: str) -> DataFrame:
     """Messages of one channel numbered per agreement and instalment."""
     rank, number = CHANNEL_COLUMNS[channel]
-    leading = [_by_rank(campaign, rank), *[F.col(c).asc_nulls_first() for c in _REPORT_FIRST]]
+    leading = [_by_rank(campaign, rank), *[f"{c} asc nulls first" for c in _REPORT_FIRST]]
     return numbered(
         channel_media(campaign, channel), ["agreementno", "angsuran"], leading, number, skip=[rank, *_REPORT_FIRST]
     )
@@ -65,7 +64,7 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
     if channels:
         messages = messages.where(filters.in_channels(channels))
     messages = messages.withColumn(RANK, classify.rank_letter())
-    order = [_by_rank(campaign), F.col("product").asc_nulls_first()]
+    order = [_by_rank(campaign), "product asc nulls first"]
     skip = [RANK, "product", "agreementno", "agent_type"]
 
     daily = first_of_group(messages, ["agreement_key", "pt", "agent_type"], order, NUMBER, skip=skip).drop(NUMBER)
@@ -206,10 +205,7 @@ def _report_lines(campaign: Campaign, instalments: DataFrame) -> DataFrame:
         .where(F.col("best.score").isNotNull())
         .select("agreement_key", "angsuran", "newSR", "best.*")
         .withColumn("product", F.element_at(names, F.col("score") % n + 1))
-        .withColumn(
-            "disposition2",
-            classify.report_outcome_of_rank(F.col("agent_type"), F.floor(F.col("score") / n).cast("int")),
-        )
+        .withColumn("disposition2", classify.report_outcome_of_rank("agent_type", f"score div {n}"))
         .withColumnRenamed("agreement_key", "agreementno")
     )
     areas = best_area(campaign.month_end_areas).withColumnRenamed("agreement_key", "agreementno")

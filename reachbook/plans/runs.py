@@ -122,7 +122,7 @@ def judged(campaign: Campaign, runs: DataFrame) -> DataFrame:
     placed = area_lookup(looked_up, campaign.month_end_areas)
     flagged = placed.withColumn("SR", classify.run_success("DPD_Max_1"))
     return numbered(
-        flagged, ["agreement_key", "agreementno"], [F.col("max__pt").asc_nulls_first()], "rownum", skip=["max__pt"]
+        flagged, ["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum", skip=["max__pt"]
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
@@ -69,16 +68,16 @@ def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -
     most matches use it, a few need the stored number with its leading blanks.
     An optional collation such as UTF8_LCASE makes text matches ignore case.
     """
+    stored = {field.name.lower(): field.dataType for field in df.schema}
     columns = []
     for field in schema:
-        name = field.name.lower()
-        column = F.col(f"`{field.name}`")
-        stored = df.select(column).schema[0].dataType
-        if not (name in MOMENTS and isinstance(stored, (T.TimestampType, T.TimestampNTZType))):
-            column = column.cast(field.dataType)
+        name, column = field.name.lower(), f"`{field.name}`"
+        keeps_time = name in MOMENTS and isinstance(stored[name], (T.TimestampType, T.TimestampNTZType))
+        if stored[name] != field.dataType and not keeps_time:
+            column = f"cast({column} as {field.dataType.simpleString()})"
         if name in COMPARED:
-            column = F.rtrim(column)
+            column = f"rtrim({column})"
             if collation:
-                column = F.collate(column, collation)
-        columns.append(column.alias(field.name))
-    return df.select(*columns).withColumn("agreement_key", F.trim("agreementno"))
+                column = f"collate({column}, '{collation}')"
+        columns.append(f"{column} as `{field.name}`")
+    return df.selectExpr(*columns).selectExpr("*", "trim(agreementno) as agreement_key")
