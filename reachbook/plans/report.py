@@ -113,16 +113,24 @@ def channel_report(campaign: Campaign) -> DataFrame:
 
 def _loan_days(campaign: Campaign) -> DataFrame:
     """Per agreement, day and instalment: what any of its snapshots says."""
-    stored_clean = F.col("AgreementNo") == F.col("agreement_key")
+    key = F.trim("AgreementNo")
     return (
-        campaign.snapshots.where(F.col("agreement_key").isNotNull())
-        .groupBy("agreement_key", F.col("ReportDate").alias("day"), "angsuran")
+        campaign.snapshots.where(F.col("AgreementNo").isNotNull())
+        .groupBy("AgreementNo", F.col("ReportDate").alias("day"), "angsuran")
         .agg(
-            F.max(stored_clean & filters.status_normal()).alias("normal"),
+            F.max(filters.status_normal()).alias("normal"),
             F.max(filters.not_written_off()).alias("live"),
             F.max(F.col("DaysOverDueTolerance") != 0).alias("overdue"),
         )
-        .withColumn("loan", F.lit(True))
+        .select(
+            key.alias("agreement_key"),
+            "day",
+            "angsuran",
+            F.lit(True).alias("loan"),
+            (F.col("normal") & (F.col("AgreementNo") == key)).alias("normal"),
+            "live",
+            "overdue",
+        )
     )
 
 
@@ -132,28 +140,36 @@ def _message_days(campaign: Campaign) -> DataFrame:
 
     Outcomes are matched on the clean number, so only runs stored under it count.
     """
-    product = F.col("product")
-    score = F.coalesce(classify.outcome_rank(), F.lit(_unmapped_rank(campaign))) * len(campaign.products) + sum(
-        F.when(product == name, i).otherwise(0) for i, name in enumerate(sorted(campaign.products))
-    )
-    qualifies = (
-        (F.col("agreementno") == F.col("agreement_key"))
-        & filters.in_channels(campaign.run_channels)
-        & filters.positive_dpd()
-    )
-    runs = [F.max(qualifies & (product == name)).alias(f"run_{name}") for name in campaign.products]
-    scores = [
-        F.min(F.when((F.col("agent_type") == channel) & filters.in_products(campaign.products), score)).alias(channel)
-        for channel in campaign.message_channels
-    ]
+    product, key = F.col("product"), F.trim("agreementno")
+    position = F.expr("CASE product " + " ".join(f"WHEN '{p}' THEN {i}" for i, p in _positions(campaign)) + " END")
+    score = F.coalesce(classify.outcome_rank(), F.lit(_unmapped_rank(campaign))) * len(campaign.products) + position
+    qualifies = filters.in_channels(campaign.run_channels) & filters.positive_dpd()
+    runs = [F.max(qualifies & (product == p)).alias(_run(p)) for p in campaign.products]
+    # Unlisted products have no position, hence no score.
+    scores = [F.min(F.when(F.col("agent_type") == c, score)).alias(c) for c in campaign.message_channels]
     return (
-        campaign.messages.where(F.col("agreement_key").isNotNull())
-        .groupBy("agreement_key", "agreementno", F.col("pt").alias("day"))
+        campaign.messages.where(F.col("agreementno").isNotNull())
+        .groupBy("agreementno", F.col("pt").alias("day"))
         .agg(F.min(F.col("agent_type").isNotNull()).alias("contacted"), *runs, *scores)
-        .drop("agreementno")
+        .select(
+            key.alias("agreement_key"),
+            "day",
+            "contacted",
+            *[(F.col(_run(p)) & (F.col("agreementno") == key)).alias(_run(p)) for p in campaign.products],
+            *campaign.message_channels,
+        )
     )
 
 
+def _run(product: str) -> str:
+    return f"run_{product}"
+
+
+def _positions(campaign: Campaign) -> list[tuple[int, str]]:
+    """Products in tie-break order."""
+    return list(enumerate(sorted(campaign.products)))
+
+
 def _unmapped_rank(campaign: Campaign) -> int:
     return 0 if campaign.unmapped_first else 1 + max(len(d) for d in classify.OUTCOMES.values())
 
@@ -166,7 +182,7 @@ def _instalment_days(campaign: Campaign, timeline: DataFrame) -> DataFrame:
     """
     by_day = Window.partitionBy("agreement_key").orderBy(F.unix_date("day"))
     next_day, second_day = by_day.rangeBetween(1, 1), by_day.rangeBetween(2, 2)
-    served = [F.max(f"run_{p}").over(next_day).alias(f"run_{p}") for p in campaign.products]
+    served = [F.max(_run(p)).over(next_day).alias(_run(p)) for p in campaign.products]
     served += [F.min(c).over(next_day).alias(c) for c in campaign.message_channels]
     return timeline.select(
         "agreement_key",
@@ -188,7 +204,7 @@ def _report_lines(campaign: Campaign, instalments: DataFrame) -> DataFrame:
     missed = missed | F.coalesce("contacted_after", F.lit(False)) | F.coalesce("overdue_after", F.lit(False))
     success = F.when(F.col("overdue") & missed, 0).otherwise(1)
     per_product = [
-        F.max_by(success, F.when(F.col("normal") & F.col(f"run_{p}"), F.col("day"))) for p in campaign.products
+        F.max_by(success, F.when(F.col("normal") & F.col(_run(p)), F.col("day"))) for p in campaign.products
     ]
     worst = F.least(*per_product) if len(per_product) > 1 else per_product[0]
     known = F.col("angsuran").isNotNull()
@@ -198,7 +214,7 @@ def _report_lines(campaign: Campaign, instalments: DataFrame) -> DataFrame:
     )
 
     n = len(campaign.products)
-    names = F.array(*[F.lit(p) for p in sorted(campaign.products)])
+    names = F.array(*[F.lit(p) for _, p in _positions(campaign)])
     channels = [F.struct(F.lit(c).alias("agent_type"), F.col(c).alias("score")) for c in campaign.message_channels]
     best = (
         per_instalment.select("agreement_key", "angsuran", "newSR", F.explode(F.array(*channels)).alias("best"))

@@ -11,6 +11,11 @@ from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators import filters
 from reachbook.operators.lookups import area_lookup, numbered, snapshot_lookup
 
+READINGS = (
+    "DPD_Min", "DPD_Max", "DPD_Max_1", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus",
+    "Provinsi", "Kab", "Kec", "Desa",
+)
+
 
 def _serving_snapshots(campaign: Campaign) -> DataFrame:
     """Normal-status snapshots under the message day they serve, the next one.
@@ -120,7 +125,8 @@ def judged(campaign: Campaign, runs: DataFrame) -> DataFrame:
     """Runs with their loan-book readings, area, success flag and sequence."""
     looked_up = on_last(campaign, before_last(campaign, before_first(campaign, with_key(runs))))
     placed = area_lookup(looked_up, campaign.month_end_areas)
-    flagged = placed.withColumn("SR", classify.run_success("DPD_Max_1"))
+    readings = [f"`{c}`" for c in READINGS]
+    flagged = placed.select("agreement_key", *runs.columns, *readings, classify.run_success("DPD_Max_1").alias("SR"))
     return numbered(
         flagged, ["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum", skip=["max__pt"]
     )
@@ -159,9 +165,9 @@ def first_contacts(campaign: Campaign) -> DataFrame:
     """
     untyped = F.max(F.col("agent_type").isNull())
     return (
-        campaign.messages.groupBy("agreement_key", "agreementno", "pt")
+        campaign.messages.groupBy("agreementno", "pt")
         .agg(F.when(~untyped, F.min("agent_type")).alias("agent_type"))
-        .select("agreement_key", "agreementno", "agent_type", "pt")
+        .select("agreementno", "agent_type", "pt")
     )
 
 
@@ -171,8 +177,8 @@ def next_day_contact(campaign: Campaign) -> DataFrame:
 
 
 def _with_contact(campaign: Campaign) -> DataFrame:
-    contacts = first_contacts(campaign).select(
-        F.col("agreement_key").alias("_key"), F.col("agreementno").alias("no_kontrak"), "agent_type", "pt"
+    contacts = first_contacts(campaign).selectExpr(
+        "trim(agreementno) as _key", "agreementno as no_kontrak", "agent_type", "pt"
     )
     matches = (F.col("agreement_key") == F.col("_key")) & (F.col("max__pt_1") == F.col("pt"))
     return _next_day(campaign).join(contacts, matches, "left").drop("_key")

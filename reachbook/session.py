@@ -1,8 +1,7 @@
-"""A local session for tests, checks and the benchmark.
+"""Session settings: broadcasts by measured size, and a local session.
 
-On a cluster use the session you have; the package sets nothing itself. It
-relies on adaptive execution, on by default, for broadcast choices by measured
-size, for partition coalescing and for splitting skewed join partitions.
+The package relies on adaptive execution, on by default, for picking join
+methods, coalescing partitions and splitting skewed join partitions.
 """
 
 from __future__ import annotations
@@ -11,18 +10,33 @@ import os
 
 from pyspark.sql import SparkSession
 
+MEASURED_BROADCASTS = {
+    # No broadcast on an estimate: the planner does not know how far an exploded
+    # or joined table grows.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A side that has been shuffled is broadcast if it measured no more than this.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
 
-def local_session(cpus: str | int | None = None) -> SparkSession:
-    cpus = cpus or os.cpu_count()
-    return (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("reachbook")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.driver.bindAddress", "127.0.0.1")
-        .config("spark.driver.host", "127.0.0.1")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+
+def measure_broadcasts(spark: SparkSession) -> SparkSession:
+    """Broadcast a join side only once its size has been measured at run time."""
+    for name, value in MEASURED_BROADCASTS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
+def local_session(cpus: str | int | None = None, **options: str) -> SparkSession:
+    """A session for tests, checks and the benchmark; on a cluster use your own."""
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.session.timeZone": "UTC",
+        **options,
+    }
+    builder = SparkSession.builder.master(f"local[{cpus or os.cpu_count()}]").appName("reachbook")
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    return measure_broadcasts(builder.getOrCreate())

@@ -89,14 +89,16 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with events, placed by their nation. Nations (25) and regions (5)
+    are the same few rows at every scale, so they are broadcast."""
     contacted = _read(spark, sf_dir, "events", EVENTS).selectExpr("user_id as u").distinct()
     snapshots = ", ".join(f"'{s}'" for s in AREA_SNAPSHOTS)
     return (
         _read(spark, sf_dir, "customer", CUSTOMER)
         .where("c_custkey % 12 <> 5")
         .join(contacted, F.col("c_custkey") == F.col("u"), "left_semi")
-        .join(_read(spark, sf_dir, "nation", NATION), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(_read(spark, sf_dir, "region", REGION), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(F.broadcast(_read(spark, sf_dir, "nation", NATION)), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(F.broadcast(_read(spark, sf_dir, "region", REGION)), F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr(
             f"{_agreement('c_custkey')} as AgreementNo",
             "r_name as Provinsi",

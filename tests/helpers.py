@@ -1,0 +1,156 @@
+"""Comparison of Spark results with SQL, and random input tables."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from reachbook.functions.classify import OUTCOMES
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    columns = sorted(df.columns)
+    return columns, Counter(tuple(row) for row in df.select(*[f"`{c}`" for c in columns]).collect())
+
+
+def sql_rows(database, statement: str) -> tuple[list[str], Counter]:
+    columns = sorted(database.sql(statement).columns)
+    select = ", ".join(f'"{c}"' for c in columns)
+    return columns, Counter(database.sql(f"SELECT {select} FROM ({statement})").fetchall())
+
+
+def assert_same(df, database, statement: str) -> Counter:
+    columns, ours = spark_rows(df)
+    expected_columns, theirs = sql_rows(database, statement)
+    assert columns == expected_columns
+    assert ours == theirs, (list((ours - theirs).items())[:3], list((theirs - ours).items())[:3])
+    return ours
+
+
+# The three tables as read from files, with the cleanup every reader applies.
+STORED_TABLES = """
+activity AS (
+  SELECT * REPLACE (rtrim(agreementno) AS agreementno, rtrim(product) AS product, rtrim(assigned_dpd) AS assigned_dpd,
+                    rtrim(agent_type) AS agent_type, rtrim(disposition) AS disposition,
+                    rtrim(contact_number) AS contact_number)
+  FROM stored_activity),
+list AS (
+  SELECT * REPLACE (rtrim(AgreementNo) AS AgreementNo, rtrim(DefaultStatus) AS DefaultStatus) FROM stored_loans),
+provinsi AS (
+  SELECT * REPLACE (rtrim(AgreementNo) AS AgreementNo, rtrim(Provinsi) AS Provinsi, rtrim(Kab) AS Kab,
+                    rtrim(Kec) AS Kec, rtrim(Desa) AS Desa, rtrim(SK_Time) AS SK_Time)
+  FROM stored_areas)"""
+
+MONEY = pa.decimal128(18, 2)
+ACTIVITY = pa.schema(
+    [(n, pa.string()) for n in ("agreementno", "product", "assigned_dpd")]
+    + [("assigned_date", pa.date32()), ("activity_date", pa.timestamp("us")), ("agent_id", pa.string())]
+    + [(n, pa.string()) for n in ("agent_type", "disposition", "contact_number", "persona_name", "contact_type")]
+    + [("subcgid", pa.int32()), ("pt", pa.date32())]
+)
+LOANS = pa.schema(
+    [("AgreementNo", pa.string()), ("ReportDate", pa.date32()), ("angsuran", pa.int32())]
+    + [("DefaultStatus", pa.string()), ("DaysOverDueTolerance", pa.int32())]
+    + [("TotalOSPrincipal", MONEY), ("Installment Amount Latest", MONEY), ("Product", pa.string())]
+)
+AREAS = pa.schema(
+    [(n, pa.string()) for n in ("AgreementNo", "Provinsi", "Kab", "Kec", "Desa")]
+    + [("SubCGID", pa.int32()), ("SK_Time", pa.string())]
+)
+
+
+def write_tables(folder, activity: list[dict], loans: list[dict], areas: list[dict]) -> dict[str, str]:
+    paths = {}
+    tables = (("activity", activity, ACTIVITY), ("loans", loans, LOANS), ("areas", areas, AREAS))
+    for name, rows, schema in tables:
+        paths[name] = str(folder / f"{name}.parquet")
+        pq.write_table(pa.Table.from_pylist(rows, schema=schema), paths[name])
+    return paths
+
+
+def message(**values) -> dict:
+    row = {
+        "agreementno": "A1", "product": "CAR", "assigned_dpd": "3", "assigned_date": None, "agent_id": "G1",
+        "agent_type": "WHATSAPP", "disposition": "READ", "contact_number": "628", "persona_name": "P",
+        "contact_type": "SELF", "subcgid": 1, "pt": date(2024, 3, 10),
+    }
+    row.update(values)
+    row.setdefault("activity_date", datetime.combine(row["pt"], datetime.min.time()) if row["pt"] else None)
+    return row
+
+
+def snapshot(**values) -> dict:
+    row = {
+        "AgreementNo": "A1", "ReportDate": date(2024, 3, 9), "angsuran": 1, "DefaultStatus": "NM",
+        "DaysOverDueTolerance": 5, "TotalOSPrincipal": Decimal("100.00"),
+        "Installment Amount Latest": Decimal("10.00"), "Product": "CAR",
+    }
+    row.update(values)
+    return row
+
+
+def area(**values) -> dict:
+    row = {
+        "AgreementNo": "A1", "Provinsi": "P", "Kab": "K", "Kec": "C", "Desa": "D", "SubCGID": 1,
+        "SK_Time": "20240331",
+    }
+    row.update(values)
+    return row
+
+
+def random_tables(seed: int, as_of: datetime) -> tuple[list[dict], list[dict], list[dict]]:
+    """Few agreements and days, so that every lookup, tie and fan-out happens:
+    padded, blank-led and unknown agreement numbers, two products per agreement,
+    doubled snapshots, unknown instalments, doubled and missing areas."""
+    pick = random.Random(seed)
+    numbers = ["A1", " A1", "A1 ", "A2", "A3", " A4", "A5", None]
+    start = as_of.date() - timedelta(days=8)
+    days = [start + timedelta(days=i) for i in range(10)]
+    dispositions = {channel: [*listed, "ODD", None] for channel, listed in OUTCOMES.items()}
+    activity = []
+    for _ in range(220):
+        day = pick.choice(days)
+        agent = pick.choice(["WHATSAPP", "WHATSAPP", "IVR", "SMS", "DIGITAL", "FIELD", None, "SMS "])
+        activity.append(
+            message(
+                agreementno=pick.choice(numbers),
+                product=pick.choice(["CAR", "CAR", "MCY", "HOME", "CAR ", None]),
+                assigned_dpd=pick.choice(["1", "7", "0", "-2", "00", "", None]),
+                assigned_date=pick.choice([day, None]),
+                activity_date=datetime.combine(day, datetime.min.time()) + timedelta(hours=pick.randrange(3)),
+                agent_id=pick.choice(["G1", "G2"]),
+                agent_type=agent,
+                disposition=pick.choice(dispositions.get((agent or "").strip(), ["OTHER"])),
+                contact_number=pick.choice(["62", "628", None]),
+                pt=day,
+            )
+        )
+    loans = []
+    for _ in range(90):
+        loans.append(
+            snapshot(
+                AgreementNo=pick.choice(["A1", " A1", "A2", "A3", "A4", " A4", "A6", None]),
+                ReportDate=pick.choice(days),
+                angsuran=pick.choice([1, 1, 1, 2, None]),
+                DefaultStatus=pick.choice(["NM", "NM", "NM ", "WO", None]),
+                DaysOverDueTolerance=pick.choice([0, 0, 5, 9, None]),
+                TotalOSPrincipal=pick.choice([Decimal("100.00"), Decimal("90.50"), None]),
+            )
+        )
+    month_end = ((as_of - timedelta(days=1)).replace(day=1) + timedelta(days=32)).replace(day=1) - timedelta(days=1)
+    areas = [
+        area(
+            AgreementNo=pick.choice(["A1", " A1", "A2", "A4", "A6"]),
+            Provinsi=pick.choice(["P1", "P2", None]),
+            Kab=pick.choice(["K1", "K2"]),
+            Desa=pick.choice(["D1", "D2", None]),
+            SK_Time=pick.choice([month_end.strftime("%Y%m%d"), "20231231"]),
+        )
+        for _ in range(8)
+    ]
+    return activity, loans, areas
