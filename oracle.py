@@ -93,7 +93,7 @@ reached(chan, raw) AS (VALUES
 
 INTEGERS = {
     "angsuran", "subcgid", "SubCGID", "DaysOverDueTolerance", "DPD_Min", "DPD_Max", "DPD_Max_1", "DPD_Max_2", "SR",
-    "newSR", "rownum", "rn", "row_num", "rn_wa", "rn_ivr", "rn_sms", "messages", "is_message",
+    "newSR", "rownum", "rn", "row_num", "rn_wa", "rn_ivr", "rn_sms", "row_number", "messages", "is_message",
 }
 DOUBLES = {"TotalOSPrincipal", "Installment Amount Latest", "osp", "installment_amount"}
 DAYS = {
@@ -282,13 +282,12 @@ def _selects(as_of: AsOf) -> dict[str, str]:
     lookups = """(SELECT s.*, a.DaysOverDueTolerance AS {name}, a.TotalOSPrincipal, a."Installment Amount Latest",
                          a.DefaultStatus
                   FROM spans s LEFT JOIN book a ON a.k = trim(s.agreementno) AND a.ReportDate = {day})"""
-    one_channel = "best", "agent_type = '{}'"
     best = {}
     for key, channel, suffix in (("whatsapp", "WHATSAPP", "wa"), ("ivr", "IVR", "ivr"), ("sms", "SMS", "sms")):
-        relation = f"(SELECT *, letter AS disposition{suffix}, n AS rn_{suffix} FROM media_order WHERE n = 1)"
-        best[f"w_best_{key}"] = of(
-            f"{MEDIA}, disposition{suffix}, rn_{suffix}", relation, one_channel[1].format(channel)
-        )
+        relation = f"(SELECT *, letter AS disposition{suffix}, n AS rn_{suffix} FROM media_order)"
+        columns = f"{MEDIA}, disposition{suffix}, rn_{suffix}"
+        best[f"w_best_{key}"] = of(columns, relation, f"agent_type = '{channel}' AND n = 1")
+        best[f"w_rank_{key}"] = of(columns, relation, f"agent_type = '{channel}'")
     return {
         "s_activity": of(
             "agreementno, product, assigned_dpd, assigned_date, activity_date, agent_id, agent_type, disposition, "
@@ -365,15 +364,21 @@ def _selects(as_of: AsOf) -> dict[str, str]:
         "c_report_disposition": of(MEDIA, "media"),
         "w_run_sequence": of("agreementno, product, angsuran, max__pt, rownum", "outcome"),
         "w_contact_dedup": of("agreementno, agent_type, pt", "contacts"),
+        "w_contact_sequence": of(
+            "agreementno, agent_type, pt, row_number",
+            "(SELECT agreementno, agent_type, pt, n AS row_number FROM contact_order)",
+        ),
         "d_run_outcome": of(OUTCOME, "outcome"),
         "d_next_day_snapshot": of(NEXT_DAY, "next_day"),
         "d_next_day_contact": of(CONTACT, "contact"),
         "u_three_way_outcome": of(f"{CONTACT}, newSR, branch", "branches"),
         "r_unique_installments": of(f"{CONTACT}, newSR", "branches"),
         "r_unique_agreements": of(f"{CONTACT}, newSR, rn", "agreement_order", "rn = 1"),
+        "r_agreement_ranking": of(f"{CONTACT}, newSR, rn", "agreement_order"),
         "d_blast": of(BLAST, "blast"),
         "d_blast_enriched": of(BLAST_OUTCOME, "blast_outcome"),
         "r_blast_best": of(f"{BLAST_OUTCOME}, row_num", "blast_order", "row_num = 1"),
+        "r_blast_ranking": of(f"{BLAST_OUTCOME}, row_num", "blast_order"),
         "d_funnel": of(FUNNEL, "funnel"),
         "d_funnel_outcome": of(FUNNEL_OUTCOME, "media"),
         "r_funnel_stages": of(f"{FUNNEL_OUTCOME}, {STAGES}", f"(SELECT *, {_stages()} FROM media)"),

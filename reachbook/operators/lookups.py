@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,3 +57,39 @@ def first_of_group(
     """Row 1 of each group. Spark cuts every input partition to one row per
     group before the shuffle, so a huge group costs no more than a small one."""
     return numbered(df, keys, leading, name, skip=skip).where(F.col(name) == 1)
+
+
+def numbered_in_parts(
+    df: DataFrame,
+    keys: Sequence[str],
+    leading: Sequence[str],
+    name: str,
+    *,
+    part: int | None = None,
+    skip: Sequence[str] = (),
+) -> DataFrame:
+    """`numbered` for groups too large for one task.
+
+    The first `part` leading terms (all by default) cut a group into parts that
+    follow each other. Rows are numbered within their part, in as many tasks as
+    there are parts; counts of the parts, summed up before the shuffle, tell
+    where each part starts.
+    """
+    terms = leading[:part]
+    columns = [term.split()[0] for term in terms]
+    starts = (
+        df.groupBy(*keys, *columns)
+        .count()
+        .withColumn(
+            "_before",
+            F.expr(
+                f"sum(count) over (partition by {', '.join(keys)} order by {', '.join(terms)}"
+                " rows between unbounded preceding and 1 preceding)"
+            ),
+        )
+        .select(*[F.col(c).alias(f"_{c}") for c in (*keys, *columns)], F.coalesce("_before", F.lit(0)).alias("_before"))
+    )
+    rest = list(leading[len(terms) :]) or [f"{keys[0]} asc"]
+    within = numbered(df, [*keys, *columns], rest, "_within", skip=skip)
+    same_part = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, *columns)])
+    return within.join(starts, same_part).select(*df.columns, (F.col("_before") + F.col("_within")).alias(name))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reachbook.campaign import Campaign
 from reachbook.operators.lookups import first_of_group, numbered
-from reachbook.plans.outcomes import unique_installments
+from reachbook.plans.outcomes import first_outcomes, unique_installments
 from reachbook.plans.runs import judged, run_spans
 
 ORDER = (
@@ -25,20 +25,16 @@ def blast(campaign: Campaign) -> DataFrame:
     return judged(campaign, run_spans(campaign, by_contact=True)).select(*[f"`{c}`" for c in ORDER])
 
 
-def _outcomes(campaign: Campaign) -> DataFrame:
-    """Final outcomes by agreement and instalment; the product plays no part."""
-    return unique_installments(campaign).select(
-        F.col("agreementno").alias("_agreement"), F.col("angsuran").alias("_instalment"), *OUTCOME
-    )
-
-
 def _with_outcome(blasts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Match by agreement and instalment; the product plays no part."""
+    right = outcomes.selectExpr("agreementno as _agreement", "angsuran as _instalment", *OUTCOME)
     matches = (F.col("agreementno") == F.col("_agreement")) & (F.col("angsuran") == F.col("_instalment"))
-    return blasts.join(outcomes, matches, "left").drop("_agreement", "_instalment")
+    return blasts.join(right, matches, "left").drop("_agreement", "_instalment")
 
 
 def blast_enriched(campaign: Campaign) -> DataFrame:
-    return _with_outcome(blast(campaign), _outcomes(campaign))
+    """Blasts with the final outcomes of their agreement and instalment."""
+    return _with_outcome(blast(campaign), unique_installments(campaign))
 
 
 def ranked_blasts(campaign: Campaign) -> DataFrame:
@@ -61,5 +57,4 @@ def best_blasts(campaign: Campaign) -> DataFrame:
     first_blast = first_of_group(
         blast(campaign), _GROUP, _CONTACTED_FIRST, "row_num", skip=["Grouped_Disposition"]
     )
-    first_outcome = first_of_group(_outcomes(campaign), ["_agreement", "_instalment"], [], "_first").drop("_first")
-    return _with_outcome(first_blast, first_outcome).select(*[f"`{c}`" for c in (*ORDER, *OUTCOME, "row_num")])
+    return _with_outcome(first_blast, first_outcomes(campaign, list(OUTCOME))).select(*[f"`{c}`" for c in (*ORDER, *OUTCOME, "row_num")])

@@ -38,17 +38,12 @@ def serving_loans(campaign: Campaign) -> DataFrame:
     )
 
 
-def run_outcomes(campaign: Campaign) -> DataFrame:
-    """Final outcomes by stored agreement number and instalment."""
-    return unique_installments(campaign).select(
-        F.col("agreementno").alias("_agreement"), F.col("angsuran").alias("_instalment"), *OUTCOME
-    )
-
-
 def with_outcome(df: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """An unknown instalment matches no outcome."""
+    """Attach run outcomes stored under the clean agreement number, by
+    instalment. An unknown instalment matches none."""
+    right = outcomes.selectExpr("agreementno as _agreement", "angsuran as _instalment", *OUTCOME)
     matches = (F.col("agreement_key") == F.col("_agreement")) & (F.col("angsuran") == F.col("_instalment"))
-    return df.join(outcomes, matches, "left").drop("_agreement", "_instalment")
+    return df.join(right, matches, "left").drop("_agreement", "_instalment")
 
 
 def _meet(messages: DataFrame, loans: DataFrame) -> DataFrame:
@@ -72,7 +67,7 @@ def funnel(campaign: Campaign) -> DataFrame:
 def funnel_outcome(campaign: Campaign) -> DataFrame:
     """The funnel with run outcomes and the funnel form of the disposition."""
     placed = area_lookup(serving_loans(campaign), campaign.month_end_areas)
-    loans = with_outcome(placed, run_outcomes(campaign))
+    loans = with_outcome(placed, unique_installments(campaign))
     return (
         _meet(funnel_messages(campaign), loans)
         .select(*MESSAGE, *AREA_ORDER, "angsuran", *OUTCOME)

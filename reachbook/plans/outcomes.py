@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from reachbook.campaign import Campaign
 from reachbook.functions import classify
-from reachbook.operators.lookups import first_of_group, numbered
-from reachbook.plans.runs import next_day_contact
+from reachbook.functions.calendar import day_after, day_before
+from reachbook.operators.lookups import first_of_group, numbered, snapshot_lookup
+from reachbook.plans.runs import next_day_contact, run_spans, with_contact, with_key
 
 
 def _is_today(campaign: Campaign):
@@ -46,9 +47,7 @@ def unique_installments(campaign: Campaign) -> DataFrame:
 
 def outcome_branches(campaign: Campaign) -> DataFrame:
     """The same rows with the name of the branch each one belongs to."""
-    branch = (
-        F.when(F.col("SR") == 1, "SR1").when(_is_today(campaign), "SR01").otherwise("SR0")
-    )
+    branch = F.when(F.col("SR") == 1, "SR1").when(_is_today(campaign), "SR01").otherwise("SR0")
     return unique_installments(campaign).withColumn("branch", branch)
 
 
@@ -67,3 +66,53 @@ def unique_agreements(campaign: Campaign) -> DataFrame:
     return first_of_group(
         unique_installments(campaign), ["agreementno"], _BEST_FIRST, "rn", skip=["newSR"]
     )
+
+
+def _overdue_kinds(campaign: Campaign) -> DataFrame:
+    """Per agreement and day at most three snapshots: one with unknown days
+    overdue, one with none, and the one with the least of the others."""
+    days = F.col("DaysOverDueTolerance")
+    facts = campaign.snapshots.groupBy("agreement_key", "ReportDate").agg(
+        F.max(days.isNull()).alias("unknown"),
+        F.max(days == 0).alias("clear"),
+        F.min(F.when(days != 0, days)).alias("least"),
+    )
+    kinds = (
+        "explode(array(struct(unknown as held, cast(null as int) as days), struct(clear as held, 0 as days),"
+        " struct(least is not null as held, least as days))) as kind"
+    )
+    return (
+        facts.selectExpr("agreement_key", "ReportDate", kinds)
+        .where("kind.held")
+        .selectExpr("agreement_key", "ReportDate", "kind.days as DaysOverDueTolerance")
+    )
+
+
+def _least_principal(campaign: Campaign) -> DataFrame:
+    principal = F.col("TotalOSPrincipal")
+    return campaign.snapshots.groupBy("agreement_key", "ReportDate").agg(
+        F.when(~F.max(principal.isNull()), F.min(principal)).alias("TotalOSPrincipal")
+    )
+
+
+def first_outcomes(campaign: Campaign, columns: list[str]) -> DataFrame:
+    """The first outcome per stored agreement number and instalment, ordered by
+    the given columns out of newSR, TotalOSPrincipal, max__pt_1, DPD_Max_2 and
+    agent_type, lowest and NULL first. newSR must come first.
+
+    A pick needs no copies: readings it does not show are left out, and doubled
+    snapshots shrink to the few that can decide it, on the layout its lookups
+    use. So an agreement with any number of snapshots yields a handful of rows.
+    """
+    runs = with_key(run_spans(campaign))
+    if "TotalOSPrincipal" in columns:
+        principal = {"TotalOSPrincipal": "TotalOSPrincipal"}
+        runs = snapshot_lookup(runs, _least_principal(campaign), day_before("min__pt"), principal)
+    kinds, days = _overdue_kinds(campaign), "DaysOverDueTolerance"
+    on_last = snapshot_lookup(runs, kinds, F.col("max__pt"), {"DPD_Max_1": days})
+    after = snapshot_lookup(on_last, kinds, day_after("max__pt"), {"DPD_Max_2": days})
+    after = after.withColumns({"SR": classify.run_success("DPD_Max_1"), "max__pt_1": day_after("max__pt")})
+    final = with_contact(campaign, after).withColumn("newSR", classify.final_success(campaign.as_of.today))
+    return first_of_group(final.select("agreementno", "angsuran", *columns), ["agreementno", "angsuran"], [], "_first").drop(
+        "_first"
+    )

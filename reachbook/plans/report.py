@@ -11,8 +11,9 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after
 from reachbook.operators import filters
-from reachbook.operators.lookups import AREA_ORDER, best_area, first_of_group, numbered
+from reachbook.operators.lookups import AREA_ORDER, best_area, first_of_group, numbered, numbered_in_parts
 from reachbook.plans import funnel
+from reachbook.plans.outcomes import first_outcomes
 
 # Names of the rank and number columns of the single-channel datasets.
 CHANNEL_COLUMNS = {
@@ -24,6 +25,7 @@ CHANNEL_COLUMNS = {
 RANK, NUMBER = CHANNEL_COLUMNS[classify.WHATSAPP]
 # Ties on the rank letter are settled by the report's columns, then the others.
 _REPORT_FIRST = ("product", *AREA_ORDER, "newSR")
+_GROUP = ["agreementno", "angsuran"]
 _MEDIA = (*funnel.MESSAGE, *AREA_ORDER, "angsuran", *funnel.OUTCOME, "Disposition_NEW", "disposition2")
 
 
@@ -43,14 +45,28 @@ def channel_media(campaign: Campaign, channel: str) -> DataFrame:
 
 
 def ranked_media(campaign: Campaign, channel: str) -> DataFrame:
-    """Messages of one channel numbered per agreement and instalment."""
+    """Messages of one channel numbered per agreement and instalment, as a plain
+    window: a filter on the number shrinks it to the picks."""
     rank, number = CHANNEL_COLUMNS[channel]
-    leading = [_by_rank(campaign, rank), *[f"{c} asc nulls first" for c in _REPORT_FIRST]]
     return numbered(
-        channel_media(campaign, channel), ["agreementno", "angsuran"], leading, number, skip=[rank, *_REPORT_FIRST]
+        channel_media(campaign, channel), _GROUP, _ranking(campaign, rank), number, skip=[rank, *_REPORT_FIRST]
     )
 
 
+def full_ranking(campaign: Campaign, channel: str) -> DataFrame:
+    """The same rows and numbers, for reading all of them: a busy agreement is
+    numbered in parts, one per rank and assigned days overdue."""
+    rank, number = CHANNEL_COLUMNS[channel]
+    leading = [*_ranking(campaign, rank), "assigned_dpd asc nulls first"]
+    return numbered_in_parts(
+        channel_media(campaign, channel), _GROUP, leading, number, skip=[rank, *_REPORT_FIRST, "assigned_dpd"]
+    )
+
+
+def _ranking(campaign: Campaign, rank: str) -> list[str]:
+    return [_by_rank(campaign, rank), *[f"{c} asc nulls first" for c in _REPORT_FIRST]]
+
+
 def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> DataFrame:
     """The best message per channel, agreement and instalment, with its area and
     run outcome.
@@ -71,7 +87,7 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
     served = daily.join(funnel.serving_loans(campaign), ["agreement_key", "pt"])
     served = served.select("agreement_key", *funnel.MESSAGE, RANK, "angsuran")
     best = first_of_group(served, ["agreement_key", "angsuran", "agent_type"], order, NUMBER, skip=skip)
-    outcomes = first_of_group(funnel.run_outcomes(campaign), ["_agreement", "_instalment"], [], "_first").drop("_first")
+    outcomes = first_outcomes(campaign, list(funnel.OUTCOME))
     placed = best.join(best_area(campaign.month_end_areas), "agreement_key", "left")
     return (
         funnel.with_outcome(placed, outcomes)

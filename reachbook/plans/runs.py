@@ -9,7 +9,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators import filters
-from reachbook.operators.lookups import area_lookup, numbered, snapshot_lookup
+from reachbook.operators.lookups import area_lookup, numbered, numbered_in_parts, snapshot_lookup
 
 READINGS = (
     "DPD_Min", "DPD_Max", "DPD_Max_1", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus",
@@ -102,7 +102,6 @@ def with_key(runs: DataFrame) -> DataFrame:
     return runs.withColumn("agreement_key", F.trim("agreementno"))
 
 
-# The three loan-book readings around a run, as (day of the run, new columns).
 def before_first(campaign: Campaign, runs: DataFrame) -> DataFrame:
     columns = {
         "DPD_Min": "DaysOverDueTolerance",
@@ -171,14 +170,21 @@ def first_contacts(campaign: Campaign) -> DataFrame:
     )
 
 
-def next_day_contact(campaign: Campaign) -> DataFrame:
-    """Next-day outcomes with the contact made on that next day, if any."""
-    return _with_contact(campaign).drop("agreement_key")
+def numbered_contacts(campaign: Campaign) -> DataFrame:
+    """Every contact numbered per agreement and day, unknown agent type first."""
+    contacts = campaign.messages.select("agreementno", "agent_type", "pt")
+    return numbered_in_parts(contacts, ["agreementno", "pt"], ["agent_type asc nulls first"], "row_number")
 
 
-def _with_contact(campaign: Campaign) -> DataFrame:
+def with_contact(campaign: Campaign, runs: DataFrame) -> DataFrame:
+    """Attach the contact of the day after the last message, if any."""
     contacts = first_contacts(campaign).selectExpr(
         "trim(agreementno) as _key", "agreementno as no_kontrak", "agent_type", "pt"
     )
     matches = (F.col("agreement_key") == F.col("_key")) & (F.col("max__pt_1") == F.col("pt"))
-    return _next_day(campaign).join(contacts, matches, "left").drop("_key")
+    return runs.join(contacts, matches, "left").drop("_key")
+
+
+def next_day_contact(campaign: Campaign) -> DataFrame:
+    """Next-day outcomes with the contact made on that next day, if any."""
+    return with_contact(campaign, _next_day(campaign)).drop("agreement_key")

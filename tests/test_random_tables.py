@@ -13,6 +13,7 @@ MOMENTS = ["2024-03-20 12:00:00", "2024-03-01 00:00:00", "2024-01-05 23:59:00",
 NAMES = [
     "a_run_span", "a_run_span_by_outcome", "w_contact_dedup", "r_unique_installments", "r_unique_agreements",
     "d_blast_enriched", "r_blast_best", "d_funnel", "r_funnel_stages", "w_best_ivr", "u_best_per_channel",
+    "w_contact_sequence", "w_rank_whatsapp", "r_agreement_ranking", "r_blast_ranking",
     "r_channel_report",
 ]
 
