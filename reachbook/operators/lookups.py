@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 AREA = ("Provinsi", "Kab", "Kec", "Desa")
 # Area columns in the order used to settle ties, which is the report's order.
@@ -38,6 +39,16 @@ def best_area(areas: DataFrame) -> DataFrame:
     return areas.groupBy("agreement_key").agg(first).select("agreement_key", "area.*")
 
 
+def hash_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys behind their hash, for groups found by sorting: rows then sort
+    by one number and hardly ever by text. Collated keys are left as they are,
+    because equal ones may hash differently."""
+    types = {field.name: field.dataType for field in df.schema}
+    if any(isinstance(types[k], T.StringType) and types[k] != T.StringType() for k in keys):
+        return list(keys)
+    return [f"xxhash64({', '.join(keys)})", *keys]
+
+
 def numbered(
     df: DataFrame, keys: Sequence[str], leading: Sequence[str], name: str, *, skip: Sequence[str] = ()
 ) -> DataFrame:
@@ -46,8 +57,12 @@ def numbered(
 
     Only rows equal in every column can tie, so a number is the same on any plan.
     """
+    return _numbered(df, keys, keys, leading, name, skip)
+
+
+def _numbered(df, keys, partition, leading, name, skip) -> DataFrame:
     rest = [f"`{c}` asc nulls first" for c in df.columns if c not in (*keys, *skip)]
-    number = f"row_number() over (partition by {', '.join(keys)} order by {', '.join([*leading, *rest])})"
+    number = f"row_number() over (partition by {', '.join(partition)} order by {', '.join([*leading, *rest])})"
     return df.withColumn(name, F.expr(number))
 
 
@@ -56,7 +71,7 @@ def first_of_group(
 ) -> DataFrame:
     """Row 1 of each group. Spark cuts every input partition to one row per
     group before the shuffle, so a huge group costs no more than a small one."""
-    return numbered(df, keys, leading, name, skip=skip).where(F.col(name) == 1)
+    return _numbered(df, keys, hash_first(df, keys), leading, name, skip).where(F.col(name) == 1)
 
 
 def numbered_in_parts(

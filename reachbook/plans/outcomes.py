@@ -9,7 +9,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators.lookups import first_of_group, numbered, snapshot_lookup
-from reachbook.plans.runs import next_day_contact, run_spans, with_contact, with_key
+from reachbook.plans.runs import contacted_days, first_contacts, next_day_contact, run_spans, with_contact, with_key
 
 
 def _is_today(campaign: Campaign):
@@ -112,7 +112,7 @@ def first_outcomes(campaign: Campaign, columns: list[str]) -> DataFrame:
     on_last = snapshot_lookup(runs, kinds, F.col("max__pt"), {"DPD_Max_1": days})
     after = snapshot_lookup(on_last, kinds, day_after("max__pt"), {"DPD_Max_2": days})
     after = after.withColumns({"SR": classify.run_success("DPD_Max_1"), "max__pt_1": day_after("max__pt")})
-    final = with_contact(campaign, after).withColumn("newSR", classify.final_success(campaign.as_of.today))
-    return first_of_group(final.select("agreementno", "angsuran", *columns), ["agreementno", "angsuran"], [], "_first").drop(
-        "_first"
-    )
+    contacts = first_contacts(campaign) if "agent_type" in columns else contacted_days(campaign)
+    final = with_contact(after, contacts).withColumn("newSR", classify.final_success(campaign.as_of.today))
+    shown = final.select("agreementno", "angsuran", *columns)
+    return first_of_group(shown, ["agreementno", "angsuran"], [], "_first").drop("_first")

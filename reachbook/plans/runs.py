@@ -9,7 +9,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators import filters
-from reachbook.operators.lookups import area_lookup, numbered, numbered_in_parts, snapshot_lookup
+from reachbook.operators.lookups import area_lookup, hash_first, numbered, numbered_in_parts, snapshot_lookup
 
 READINGS = (
     "DPD_Min", "DPD_Max", "DPD_Max_1", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus",
@@ -162,29 +162,37 @@ def first_contacts(campaign: Campaign) -> DataFrame:
     Only the agent type is kept beside the keys, so the first row is a minimum
     and each input partition sends one row per agreement and day.
     """
+    messages = campaign.messages.select("agreementno", "agent_type", "pt")
     untyped = F.max(F.col("agent_type").isNull())
+    # A minimum of text is found by sorting.
+    keys = [F.expr(key) for key in hash_first(messages, ["agreementno", "pt"])]
     return (
-        campaign.messages.groupBy("agreementno", "pt")
+        messages.groupBy(*keys)
         .agg(F.when(~untyped, F.min("agent_type")).alias("agent_type"))
         .select("agreementno", "agent_type", "pt")
     )
 
 
+def contacted_days(campaign: Campaign) -> DataFrame:
+    """Agreement and days whose first contact has an agent type, whichever."""
+    typed = F.min(F.col("agent_type").isNotNull()).alias("typed")
+    days = campaign.messages.groupBy("agreementno", "pt").agg(typed).where("typed")
+    return days.selectExpr("agreementno", "'typed' as agent_type", "pt")
+
+
 def numbered_contacts(campaign: Campaign) -> DataFrame:
     """Every contact numbered per agreement and day, unknown agent type first."""
     contacts = campaign.messages.select("agreementno", "agent_type", "pt")
     return numbered_in_parts(contacts, ["agreementno", "pt"], ["agent_type asc nulls first"], "row_number")
 
 
-def with_contact(campaign: Campaign, runs: DataFrame) -> DataFrame:
+def with_contact(runs: DataFrame, contacts: DataFrame) -> DataFrame:
     """Attach the contact of the day after the last message, if any."""
-    contacts = first_contacts(campaign).selectExpr(
-        "trim(agreementno) as _key", "agreementno as no_kontrak", "agent_type", "pt"
-    )
+    right = contacts.selectExpr("trim(agreementno) as _key", "agreementno as no_kontrak", "agent_type", "pt")
     matches = (F.col("agreement_key") == F.col("_key")) & (F.col("max__pt_1") == F.col("pt"))
-    return runs.join(contacts, matches, "left").drop("_key")
+    return runs.join(right, matches, "left").drop("_key")
 
 
 def next_day_contact(campaign: Campaign) -> DataFrame:
     """Next-day outcomes with the contact made on that next day, if any."""
-    return with_contact(campaign, _next_day(campaign)).drop("agreement_key")
+    return with_contact(_next_day(campaign), first_contacts(campaign)).drop("agreement_key")
