@@ -1,0 +1,49 @@
+"""Datasets as named views."""
+
+import pytest
+
+import __spark_entry__ as entry_points
+from reachbook.plans import blast, outcomes, report, runs
+from reachbook.plans.datasets import DATASETS, register_views
+from tests.helpers import spark_rows
+
+
+@pytest.fixture(scope="module")
+def campaign(spark):
+    campaign = entry_points.campaign(spark, "/root/testdata/sf0.001")
+    assert register_views(campaign) == list(DATASETS)
+    return campaign
+
+
+SAME = [
+    ("SELECT * FROM BLAST2 WHERE row_num = 1", blast.best_blasts),
+    ("SELECT * FROM UNIK_CTR WHERE rn = 1", outcomes.unique_agreements),
+    (
+        "SELECT agreementno, agent_type, pt FROM filtered_duplicate_yuris WHERE row_number = 1",
+        runs.first_contacts,
+    ),
+    ("SELECT * FROM SRIVRPARTISI WHERE rn_ivr = 1", lambda c: report.best_of_channel(c, "IVR")),
+    ("SELECT * FROM SRWAPARTISI", lambda c: report.full_ranking(c, "WHATSAPP")),
+    ("SELECT * FROM SR0 UNION ALL SELECT * FROM SR01 UNION ALL SELECT * FROM SR1", outcomes.unique_installments),
+    (
+        "SELECT product, angsuran, disposition2 AS disposition, agent_type, Provinsi, Desa, Kab, Kec,"
+        " count(agreementno) AS agreementno, sum(newSR) AS newSR FROM BASE_SRMEDIA"
+        " GROUP BY product, angsuran, disposition2, agent_type, Provinsi, Desa, Kab, Kec",
+        report.channel_report,
+    ),
+]
+
+
+@pytest.mark.parametrize("statement, plan", SAME, ids=[s[:40] for s, _ in SAME])
+def test_sql_on_views(spark, campaign, statement, plan):
+    assert spark_rows(spark.sql(statement)) == spark_rows(plan(campaign))
+
+
+# Column order of the final outcomes, which a positional union relies on.
+def test_outcome_columns(campaign):
+    assert outcomes.unique_installments(campaign).columns == [
+        "agreementno", "product", "angsuran", "min__pt", "max__pt", "DPD_Min", "DPD_Max", "DPD_Max_1",
+        "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus", "Provinsi", "Kab", "Kec", "Desa", "SR",
+        "rownum", "nomor_kontrak", "osp", "DPD_Max_2", "installment_amount", "ReportDate", "Dummy", "max__pt_1",
+        "no_kontrak", "agent_type", "pt", "newSR",
+    ]
