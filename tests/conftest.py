@@ -13,7 +13,13 @@ TESTDATA = Path("/root/testdata")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    # Tiny tables: compiling generated code would take longer than running without.
+    options = {
+        "spark.sql.shuffle.partitions": "2",
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.driver.memory": "4g",
+    }
+    session = local_session("*", **options)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,17 +4,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-import oracle
+import duckdb_sql
 from reachbook import AsOf, Campaign
 from reachbook.plans import report
 from tests.helpers import STORED_TABLES, assert_same, random_tables, spark_rows, write_tables
 
 MOMENTS = ["2024-03-20 12:00:00", "2024-03-01 00:00:00", "2024-01-05 23:59:00", "2023-03-04 08:30:00"]
 NAMES = [
-    "a_run_span", "a_run_span_by_outcome", "w_contact_dedup", "r_unique_installments", "r_unique_agreements",
-    "d_blast_enriched", "r_blast_best", "d_funnel", "r_funnel_stages", "w_best_ivr", "u_best_per_channel",
-    "w_contact_sequence", "w_rank_whatsapp", "r_agreement_ranking", "r_blast_ranking",
-    "r_channel_report",
+    "a_run_span_by_outcome", "w_contact_dedup", "w_contact_sequence", "r_unique_agreements", "d_blast_enriched",
+    "r_blast_best", "r_funnel_stages", "w_rank_whatsapp", "u_best_per_channel", "r_channel_report",
 ]
 
 
@@ -33,13 +31,13 @@ def test_dataset(spark, case, name):
     as_of, paths, database = case
     plan = entry_points.QUERIES[name]
     df = entry_points.comparable(plan(Campaign.from_parquet(spark, as_of, **paths)))
-    assert assert_same(df, database, oracle.statements(as_of, STORED_TABLES)[name])
+    assert assert_same(df, database, duckdb_sql.statements(as_of, STORED_TABLES)[name])
 
 
 def test_unmapped_dispositions_last(spark, case):
     as_of, paths, database = case
     campaign = Campaign.from_parquet(spark, as_of, **paths, unmapped_first=False)
-    statements = oracle.statements(as_of, STORED_TABLES, unmapped="LAST")
+    statements = duckdb_sql.statements(as_of, STORED_TABLES, unmapped="LAST")
     for name in ("u_best_per_channel", "r_channel_report"):
         assert_same(entry_points.comparable(entry_points.QUERIES[name](campaign)), database, statements[name])
 
