@@ -2,7 +2,8 @@
 
 The statements follow the definitions directly: every lookup is a join, every
 pick a numbered window, the final outcome a union of three branches. They share
-no code with the package, so a rewrite there cannot hide an error here.
+nothing with the package but the date bounds, which the calendar tests spell out,
+so a rewrite there cannot hide an error here.
 """
 
 from __future__ import annotations

@@ -54,7 +54,5 @@ def best_blasts(campaign: Campaign) -> DataFrame:
     All blasts of a group meet the same outcomes, so the first pair is the
     first blast with the first outcome: both sides shrink before they meet.
     """
-    first_blast = first_of_group(
-        blast(campaign), _GROUP, _CONTACTED_FIRST, "row_num", skip=["Grouped_Disposition"]
-    )
+    first_blast = first_of_group(blast(campaign), _GROUP, _CONTACTED_FIRST, "row_num", skip=["Grouped_Disposition"])
     return _with_outcome(first_blast, first_outcomes(campaign, list(OUTCOME))).select(*[f"`{c}`" for c in (*ORDER, *OUTCOME, "row_num")])

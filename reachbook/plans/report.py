@@ -11,7 +11,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after
 from reachbook.operators import filters
-from reachbook.operators.lookups import AREA_ORDER, best_area, first_of_group, numbered, numbered_in_parts
+from reachbook.operators.lookups import AREA_ORDER, best_area, numbered, numbered_in_parts
 from reachbook.plans import funnel
 from reachbook.plans.outcomes import first_outcomes
 
@@ -26,6 +26,8 @@ RANK, NUMBER = CHANNEL_COLUMNS[classify.WHATSAPP]
 # Ties on the rank letter are settled by the report's columns, then the others.
 _REPORT_FIRST = ("product", *AREA_ORDER, "newSR")
 _GROUP = ["agreementno", "angsuran"]
+# Message columns that every candidate of a daily pick shares or is sorted by first.
+_MESSAGE_KEYS = ("agreementno", "agent_type", "product", "pt")
 _MEDIA = (*funnel.MESSAGE, *AREA_ORDER, "angsuran", *funnel.OUTCOME, "Disposition_NEW", "disposition2")
 
 
@@ -75,24 +77,48 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
     never on the message. So messages shrink to the best one per day, then to
     the best one per instalment, and only then meet one area and one outcome.
     No join here sees the messages of a busy agreement.
+
+    The best message is the least struct in tie-break order, one per channel
+    side by side, so the daily rows leave their aggregate on the join's keys.
     """
-    messages = funnel.funnel_messages(campaign).select("agreement_key", *funnel.MESSAGE)
-    if channels:
-        messages = messages.where(filters.in_channels(channels))
-    messages = messages.withColumn(RANK, classify.rank_letter())
-    order = [_by_rank(campaign), "product asc nulls first"]
-    skip = [RANK, "product", "agreementno", "agent_type"]
-
-    daily = first_of_group(messages, ["agreement_key", "pt", "agent_type"], order, NUMBER, skip=skip).drop(NUMBER)
+    channels = list(channels or campaign.message_channels)
+    order = [RANK, "product", *[c for c in funnel.MESSAGE if c not in _MESSAGE_KEYS]]
+    # A struct with a NULL sorts before one with a value.
+    unlisted = [] if campaign.unmapped_first else [F.col(RANK).isNull().alias("unlisted")]
+    message = F.struct(*unlisted, *order)
+    messages = funnel.funnel_messages(campaign).withColumn(RANK, classify.rank_letter())
+    daily = (
+        messages.where(filters.in_channels(channels))
+        .groupBy("agreement_key", "pt")
+        .agg(*[F.min(F.when(F.col("agent_type") == c, message)).alias(c) for c in channels])
+    )
     served = daily.join(funnel.serving_loans(campaign), ["agreement_key", "pt"])
-    served = served.select("agreement_key", *funnel.MESSAGE, RANK, "angsuran")
-    best = first_of_group(served, ["agreement_key", "angsuran", "agent_type"], order, NUMBER, skip=skip)
-    outcomes = first_outcomes(campaign, list(funnel.OUTCOME))
-    placed = best.join(best_area(campaign.month_end_areas), "agreement_key", "left")
+    instalments = served.groupBy("agreement_key", "angsuran").agg(
+        *[F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("message"), "pt"))).alias(c) for c in channels]
+    )
+    placed = funnel.with_outcome(instalments, first_outcomes(campaign, list(funnel.OUTCOME))).join(
+        best_area(campaign.month_end_areas), "agreement_key", "left"
+    )
+    each = F.array(*[F.struct(F.lit(c).alias("agent_type"), F.col(c).alias("best")) for c in channels])
     return (
-        funnel.with_outcome(placed, outcomes)
-        .withColumn("Disposition_NEW", classify.funnel_outcome())
-        .withColumn("disposition2", classify.report_outcome())
+        placed.select("*", F.explode(each).alias("of"))
+        .where("of.best is not null")
+        .select(
+            F.col("agreement_key").alias("agreementno"),
+            "angsuran",
+            *AREA_ORDER,
+            *funnel.OUTCOME,
+            "of.agent_type",
+            "of.best.pt",
+            *[f"of.best.message.{c}" for c in order],
+        )
+        .withColumns(
+            {
+                "Disposition_NEW": classify.funnel_outcome(),
+                "disposition2": classify.report_outcome(),
+                NUMBER: F.lit(1),
+            }
+        )
         .select(*_MEDIA, RANK, NUMBER)
     )
 

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from reachbook import AsOf, Campaign
-from reachbook.plans import report, runs
+from reachbook.plans import outcomes, report, runs
 from tests.helpers import random_tables, write_tables
 
 AS_OF = AsOf.at("2024-03-20 12:00:00")
@@ -42,14 +42,26 @@ def test_report_reads_each_table_once_and_joins_only_areas(stored):
 def test_date_bounds_reach_the_scan(stored):
     plan = plan_of(report.channel_report(stored))
     assert "GreaterThanOrEqual(pt,2024-03-01), LessThanOrEqual(pt,2024-03-19)" in plan
-    assert re.search(r"PartitionFilters: \[[^\]]*ReportDate#\d+ >= 2024-02-29[^\]]*ReportDate#\d+ <= 2024-03-19", plan)
+    bounds = r"ReportDate#\d+ >= 2024-02-29[^\]]*ReportDate#\d+ <= 2024-03-19"
+    assert re.search(rf"PartitionFilters: \[[^\]]*{bounds}", plan)
     assert "ReadSchema: struct<agreementno:string,product:string,assigned_dpd:string,agent_type:string," in plan
 
 
-def test_picks_shrink_before_the_shuffle(stored):
-    plan = plan_of(report.best_media(stored))
-    assert plan.count("WindowGroupLimit") >= 6
-    assert re.search(r"WindowGroupLimit.*Final.*\n.*\n?.*Exchange hashpartitioning.*\n.*WindowGroupLimit.*Partial", plan)
+def test_first_of_group_shrinks_before_the_shuffle(stored):
+    plan = plan_of(outcomes.unique_agreements(stored))
+    assert re.search(
+        r"WindowGroupLimit.*Final.*\n.*Sort.*\n.*Exchange hashpartitioning.*\n.*WindowGroupLimit.*Partial", plan
+    )
+
+
+def test_best_messages_shrink_before_each_shuffle(stored):
+    """Whole messages move in two shuffles, both behind a partial minimum; the
+    join with the loan book reads the first one's layout."""
+    plan = plan_of(report.best_media(stored, ["IVR"]))
+    shuffles = re.findall(r"Exchange hashpartitioning.*\n.*", plan)
+    wide = [s for s in shuffles if "persona_name" in s]
+    assert len(wide) == 2
+    assert all("partial_min(CASE WHEN" in s for s in wide)
 
 
 def test_run_spans_join_on_the_layout_of_the_pre_aggregate(stored):

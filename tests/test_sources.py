@@ -50,7 +50,8 @@ def test_an_agreement_under_two_products_multiplies_rows(spark, tmp_path):
 
 
 def test_case_folding_is_a_choice(spark, tmp_path):
-    rows = [message(agreementno="a1", product="car", agent_type="WhatsApp", disposition="Read")], [snapshot()], [area()]
+    odd = message(agreementno="a1", product="car", agent_type="WhatsApp", disposition="Read")
+    rows = [odd], [snapshot()], [area()]
     assert report.channel_report(build(spark, tmp_path, *rows)).count() == 0
     folded_folder = tmp_path / "folded"
     folded_folder.mkdir()
