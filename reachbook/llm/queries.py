@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reachbook.llm.common import table
+from reachbook.llm.mixing import mix_sources
+from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import quality_rules
 from reachbook.llm.secrets import secret_scan
 
@@ -15,15 +17,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(pieces(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_quality_rules,
+        op3_mix_sources,
         op4_secret_scan,
+        op10_best_two_fit,
     )
 }
 
