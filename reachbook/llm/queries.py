@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reachbook.llm.common import table
+from reachbook.llm.jaccard import Join, jaccard_components
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import quality_rules
@@ -25,6 +26,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
+    return found.withColumnRenamed("n_grams", "n_shingles")
+
+
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents")))
 
@@ -35,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_rules,
         op3_mix_sources,
         op4_secret_scan,
+        op9_jaccard_join,
         op10_best_two_fit,
     )
 }
