@@ -11,9 +11,14 @@ from reachbook.llm.jaccard import Join, jaccard_components
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import quality_rules
+from reachbook.llm.range_join import range_join
 from reachbook.llm.secrets import secret_scan
 
 
+def op1_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join(table(spark, sf_dir, "embeddings"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_range_join,
         op2_quality_rules,
         op3_mix_sources,
         op4_secret_scan,
