@@ -13,12 +13,17 @@ from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import quality_rules
 from reachbook.llm.range_join import range_join
 from reachbook.llm.secrets import secret_scan
+from reachbook.llm.suffix_dedup import suffix_dedup
 
 
 def op1_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_join(table(spark, sf_dir, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_rules,
         op3_mix_sources,
         op4_secret_scan,
+        op6_suffix_dedup,
         op9_jaccard_join,
         op10_best_two_fit,
     )
