@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reachbook.llm.common import table
 from reachbook.llm.jaccard import Join, jaccard_components
+from reachbook.llm.language_id import language_id
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import quality_rules
@@ -20,6 +21,10 @@ def op1_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_join(table(spark, sf_dir, "embeddings"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_rules,
         op3_mix_sources,
         op4_secret_scan,
+        op5_language_id,
         op6_suffix_dedup,
         op9_jaccard_join,
         op10_best_two_fit,
