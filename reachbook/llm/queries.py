@@ -11,6 +11,7 @@ from reachbook.llm.jaccard import Join, jaccard_components
 from reachbook.llm.language_id import language_id
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
+from reachbook.llm.personal_data import personal_data
 from reachbook.llm.quality_rules import quality_rules
 from reachbook.llm.range_join import range_join
 from reachbook.llm.secrets import secret_scan
@@ -41,6 +42,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
     return found.withColumnRenamed("n_grams", "n_shingles")
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_secret_scan,
         op5_language_id,
         op6_suffix_dedup,
+        op7_personal_data,
         op9_jaccard_join,
         op10_best_two_fit,
     )
