@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The bytes of `[\x20\x09-\x0D]`; bytes.split() and bytes.strip() use the same ones.
 SPACE = b" \t\n\r\x0b\x0c"
@@ -18,18 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The same rows, written to the session's checkpoint folder: later reads
-    neither repeat the work nor depend on an executor that may be lost."""
-    context = df.sparkSession.sparkContext
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for checkpoints; one of its own only
+    where it names none."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written to the checkpoint folder: later reads neither
+    repeat the work nor depend on an executor that may be lost."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table in the checkpoint folder."""
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def in_batches(
-    df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 256
+    df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, rows: int = 256
 ) -> DataFrame:
     """Apply `step` to small Arrow batches, so memory follows the longest texts
     of a few rows and not a partition."""

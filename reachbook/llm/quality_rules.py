@@ -110,6 +110,24 @@ class Judge:
         return whole, share, not bands.outside(len(data), whole) and share <= bands.bad_share
 
 
+@dataclass(frozen=True)
+class Verdict:
+    counts: tuple[int, int, int, int, int]
+    base_failed: bool
+    kept: bool
+    ratio: float
+    bad_share: float
+
+
+def judge_text(text: str, judge: Judge, min_words: int = 50) -> Verdict:
+    """Base rules and compression bands on one text."""
+    data = text.encode()
+    counts = base_counts(data)
+    failed = counts[0] < min_words or 100 * counts[4] > 50 * counts[0]
+    ratio, share, fits = judge(data)
+    return Verdict(counts, failed, fits and not failed, ratio, share)
+
+
 def quality_rules(
     docs: DataFrame, *, bands: Bands = Bands(), min_words: int = 50, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -127,10 +145,7 @@ def quality_rules(
     def step(value: str) -> tuple:
         if not held:
             held.append(Judge(bands))
-        data = value.encode()
-        counts = base_counts(data)
-        failed = counts[0] < min_words or 100 * counts[4] > 50 * counts[0]
-        ratio, share, fits = held[0](data)
-        return (*counts, failed, fits and not failed, ratio, share)
+        found = judge_text(value, held[0], min_words)
+        return (*found.counts, found.base_failed, found.kept, found.ratio, found.bad_share)
 
     return per_text(docs, key, text, columns, step)

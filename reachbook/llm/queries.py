@@ -15,6 +15,7 @@ from reachbook.llm.personal_data import personal_data
 from reachbook.llm.quality_rules import quality_rules
 from reachbook.llm.range_join import range_join
 from reachbook.llm.secrets import secret_scan
+from reachbook.llm.site_quality import site_quality
 from reachbook.llm.suffix_dedup import suffix_dedup
 
 
@@ -46,6 +47,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"), Join(words=3, percent=90))
     return found.withColumnRenamed("n_grams", "n_shingles")
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_language_id,
         op6_suffix_dedup,
         op7_personal_data,
+        op8_site_quality,
         op9_jaccard_join,
         op10_best_two_fit,
     )
