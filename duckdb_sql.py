@@ -2,8 +2,8 @@
 
 The statements follow the definitions directly: every lookup is a join, every
 pick a numbered window, the final outcome a union of three branches. They share
-nothing with the package but the date bounds, which the calendar tests spell out,
-so a rewrite there cannot hide an error here.
+nothing with the package but the moment of the report: the date bounds are taken
+from it in SQL, so a rewrite there cannot hide an error here.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ single AS (
   SELECT u, 'AG' || lpad(CAST(u AS VARCHAR), 8, '0') AS AgreementNo,
          rd AS ReportDate,
          CAST(1 + u % 24 + CASE WHEN n >= 15 THEN 1 ELSE 0 END AS INTEGER) AS angsuran,
-         CASE WHEN u % 8 = 7 THEN 'WO' WHEN u % 16 = 3 THEN NULL ELSE 'NM' END AS DefaultStatus,
+         CASE WHEN u % 8 = 7 THEN 'WO' WHEN u % 16 = 3 THEN NULL WHEN u % 16 = 9 THEN 'RS' ELSE 'NM' END AS DefaultStatus,
          CAST(CASE WHEN (u + n) % 5 = 0 THEN 0 ELSE (u * 3 + n) % 90 END AS INTEGER) AS DaysOverDueTolerance,
          CAST(1000000 + u * 1250.5 AS DECIMAL(18,2)) AS TotalOSPrincipal,
          CAST(250000 + u * 10.25 AS DECIMAL(18,2)) AS "Installment Amount Latest",
@@ -99,7 +99,7 @@ INTEGERS = {
 DOUBLES = {"TotalOSPrincipal", "Installment Amount Latest", "osp", "installment_amount"}
 DAYS = {
     "assigned_date", "pt", "ReportDate", "min__pt", "max__pt", "max__pt_1", "month_start", "prior_month_end",
-    "month_end", "today", "yesterday", "day_before", "day_after", "day",
+    "month_end", "today", "yesterday", "day_before", "day_after", "day", "first_day", "day_before_first", "last_day",
 }
 
 RUN = "agreementno, product, angsuran, min__pt, max__pt"
@@ -169,20 +169,38 @@ def _judged(name: str, spans: str, extra: str) -> str:
   FROM {name}_read)"""
 
 
+def _bounds(as_of: AsOf) -> dict[str, str]:
+    """Every date bound as an expression of the moment."""
+    moment = f"TIMESTAMP '{as_of.moment}'"
+    cutoff = f"({moment} - INTERVAL 1 DAY)"
+    start = f"CAST(date_trunc('month', {cutoff}) AS DATE)"
+    month_end = f"last_day(CAST({cutoff} AS DATE))"
+    return {
+        "today": f"CAST({moment} AS DATE)",
+        "cutoff": cutoff,
+        "yesterday": f"CAST({cutoff} AS DATE)",
+        "start": start,
+        "prior_end": f"({start} - 1)",
+        "month_end": month_end,
+        "key": f"strftime({month_end}, '%Y%m%d')",
+    }
+
+
 def _datasets(as_of: AsOf, unmapped: str) -> str:
+    at = _bounds(as_of)
     media_order = "product, Provinsi, Desa, Kab, Kec, newSR"
     rest = _order(MEDIA, *_names(media_order), "agreementno", "angsuran", "agent_type", "Disposition_NEW", "disposition2")
     reached = "EXISTS (SELECT 1 FROM reached r WHERE r.chan = x.agent_type AND r.raw = x.disposition)"
     return f"""
 book AS (
   SELECT *, trim(AgreementNo) AS k FROM list
-  WHERE ReportDate >= DATE '{as_of.prior_month_end}' AND ReportDate <= TIMESTAMP '{as_of.cutoff}'),
+  WHERE ReportDate >= {at['prior_end']} AND ReportDate <= {at['cutoff']}),
 sent AS (
   SELECT x.*, trim(x.agreementno) AS k,
          CASE WHEN {reached} THEN 'CONTACTED' ELSE 'UNCONTACTED' END AS Grouped_Disposition
-  FROM activity x WHERE pt >= DATE '{as_of.month_start}' AND pt <= TIMESTAMP '{as_of.cutoff}'),
+  FROM activity x WHERE pt >= {at['start']} AND pt <= {at['cutoff']}),
 homes AS (
-  SELECT *, trim(AgreementNo) AS k FROM provinsi WHERE SK_Time = '{as_of.month_end_key}'),
+  SELECT *, trim(AgreementNo) AS k FROM provinsi WHERE SK_Time = {at['key']}),
 qualified AS (
   SELECT m.*, l.angsuran, l.DefaultStatus
   FROM sent m JOIN book l ON l.AgreementNo = m.agreementno AND l.ReportDate = m.pt - 1
@@ -210,11 +228,11 @@ contact AS (
   FROM next_day d LEFT JOIN contacts c ON trim(c.agreementno) = trim(d.agreementno) AND c.pt = d.max__pt_1),
 graced AS (
   SELECT *, CASE WHEN agent_type IS NULL AND coalesce(DPD_Max_2, 0) = 0 THEN 1 ELSE 0 END AS newSR
-  FROM contact WHERE SR = 0 AND max__pt_1 <> DATE '{as_of.today}'),
+  FROM contact WHERE SR = 0 AND max__pt_1 <> {at['today']}),
 branches AS (
   SELECT *, 'SR0' AS branch FROM graced
   UNION ALL
-  SELECT *, SR AS newSR, 'SR01' AS branch FROM contact WHERE SR = 0 AND max__pt_1 = DATE '{as_of.today}'
+  SELECT *, SR AS newSR, 'SR01' AS branch FROM contact WHERE SR = 0 AND max__pt_1 = {at['today']}
   UNION ALL
   SELECT *, SR AS newSR, 'SR1' AS branch FROM contact WHERE SR = 1),
 agreement_order AS (
@@ -280,6 +298,7 @@ def _selects(as_of: AsOf) -> dict[str, str]:
     def of(columns: str, relation: str, where: str = "TRUE") -> str:
         return f"SELECT {_plain(columns)} FROM {relation} WHERE {where}"
 
+    at = _bounds(as_of)
     lookups = """(SELECT s.*, a.DaysOverDueTolerance AS {name}, a.TotalOSPrincipal, a."Installment Amount Latest",
                          a.DefaultStatus
                   FROM spans s LEFT JOIN book a ON a.k = trim(s.agreementno) AND a.ReportDate = {day})"""
@@ -333,10 +352,12 @@ def _selects(as_of: AsOf) -> dict[str, str]:
         "a_run_span": of(RUN, "spans"),
         "a_run_span_by_outcome": of(f"{RUN}, Grouped_Disposition", "blast_spans"),
         "x_calendar": of(
-            "pt, messages, month_start, prior_month_end, month_end, today, yesterday",
+            "pt, messages, month_start, prior_month_end, month_end, today, yesterday, first_day, day_before_first, "
+            "last_day, last_day_key",
             f"""(SELECT pt, count(*) AS messages, make_date(year(pt), month(pt), 1) AS month_start,
                         make_date(year(pt), month(pt), 1) - 1 AS prior_month_end, last_day(pt) AS month_end,
-                        DATE '{as_of.today}' AS today, CAST(TIMESTAMP '{as_of.cutoff}' AS DATE) AS yesterday
+                        {at['today']} AS today, {at['yesterday']} AS yesterday, {at['start']} AS first_day,
+                        {at['prior_end']} AS day_before_first, {at['month_end']} AS last_day, {at['key']} AS last_day_key
                  FROM activity GROUP BY pt)""",
         ),
         "x_day_shift": of(

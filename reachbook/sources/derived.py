@@ -80,7 +80,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_agreement('u')} as AgreementNo",
         "rd as ReportDate",
         "cast(1 + u % 24 + if(n >= 15, 1, 0) as int) as angsuran",
-        "case when u % 8 = 7 then 'WO' when u % 16 <> 3 then 'NM' end as DefaultStatus",
+        "case when u % 8 = 7 then 'WO' when u % 16 = 9 then 'RS' when u % 16 <> 3 then 'NM' end as DefaultStatus",
         f"explode(if({doubled}, array({overdue}, {overdue} + 1), array({overdue}))) as DaysOverDueTolerance",
         "cast(1000000 + u * 1250.5 as decimal(18,2)) as TotalOSPrincipal",
         "cast(250000 + u * 10.25 as decimal(18,2)) as `Installment Amount Latest`",
@@ -89,16 +89,15 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with events, placed by their nation. Nations (25) and regions (5)
-    are the same few rows at every scale, so they are broadcast."""
+    """Customers with events, placed by their nation."""
     contacted = _read(spark, sf_dir, "events", EVENTS).selectExpr("user_id as u").distinct()
     snapshots = ", ".join(f"'{s}'" for s in AREA_SNAPSHOTS)
     return (
         _read(spark, sf_dir, "customer", CUSTOMER)
         .where("c_custkey % 12 <> 5")
         .join(contacted, F.col("c_custkey") == F.col("u"), "left_semi")
-        .join(F.broadcast(_read(spark, sf_dir, "nation", NATION)), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(_read(spark, sf_dir, "region", REGION)), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(_read(spark, sf_dir, "nation", NATION), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_read(spark, sf_dir, "region", REGION), F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr(
             f"{_agreement('c_custkey')} as AgreementNo",
             "r_name as Provinsi",

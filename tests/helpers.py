@@ -137,7 +137,7 @@ def random_tables(seed: int, as_of: datetime) -> tuple[list[dict], list[dict], l
                 AgreementNo=pick.choice(["A1", " A1", "A2", "A3", "A4", " A4", "A6", None]),
                 ReportDate=pick.choice(days),
                 angsuran=pick.choice([1, 1, 1, 2, None]),
-                DefaultStatus=pick.choice(["NM", "NM", "NM ", "WO", None]),
+                DefaultStatus=pick.choice(["NM", "NM", "NM ", "WO", "RS", None]),
                 DaysOverDueTolerance=pick.choice([0, 0, 5, 9, None]),
                 TotalOSPrincipal=pick.choice([Decimal("100.00"), Decimal("90.50"), None]),
             )
