@@ -80,17 +80,22 @@ def numbered_in_parts(
     leading: Sequence[str],
     name: str,
     *,
-    part: int | None = None,
+    coarse: str | None = None,
     skip: Sequence[str] = (),
 ) -> DataFrame:
     """`numbered` for groups too large for one task.
 
-    The first `part` leading terms (all by default) cut a group into parts that
-    follow each other. Rows are numbered within their part, in as many tasks as
-    there are parts; counts of the parts, summed up before the shuffle, tell
-    where each part starts.
+    The leading terms, and after them `coarse`, cut a group into parts that
+    follow each other: `coarse` is an expression that never falls along the
+    order of the columns that come next. Rows are numbered within their part, in
+    as many tasks as there are parts; counts of the parts, summed up before the
+    shuffle, tell where each part starts.
     """
-    terms = leading[:part]
+    shown = df.columns
+    terms, skip = list(leading), list(skip)
+    if coarse:
+        df = df.withColumn("_coarse", F.expr(coarse))
+        terms.append("_coarse asc nulls first")
     columns = [term.split()[0] for term in terms]
     starts = (
         df.groupBy(*keys, *columns)
@@ -104,7 +109,32 @@ def numbered_in_parts(
         )
         .select(*[F.col(c).alias(f"_{c}") for c in (*keys, *columns)], F.coalesce("_before", F.lit(0)).alias("_before"))
     )
-    rest = list(leading[len(terms) :]) or [f"{keys[0]} asc"]
-    within = numbered(df, [*keys, *columns], rest, "_within", skip=skip)
+    within = numbered(df, [*keys, *columns], [f"{keys[0]} asc"], "_within", skip=skip)
     same_part = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, *columns)])
-    return within.join(starts, same_part).select(*df.columns, (F.col("_before") + F.col("_within")).alias(name))
+    number = (F.col("_before") + F.col("_within")).alias(name)
+    return within.join(starts, same_part).select(*[f"`{c}`" for c in shown], number)
+
+
+# Numbers that one row of counts turns into at once.
+BLOCK = 10_000
+
+
+def numbered_by_counts(df: DataFrame, keys: Sequence[str], last: str, name: str) -> DataFrame:
+    """Number rows that hold nothing but the keys and one more column, by that
+    column, NULLs first.
+
+    Equal rows differ in their number only, so counts say it all: no row is
+    moved but the counts, one per group and value. They are dealt out in blocks,
+    so the numbers of a huge group come from many tasks.
+    """
+    before = (
+        f"coalesce(sum(count) over (partition by {', '.join(keys)} order by {last} asc nulls first"
+        " rows between unbounded preceding and 1 preceding), 0)"
+    )
+    counts = df.groupBy(*keys, last).count().withColumn("_before", F.expr(before))
+    blocks = counts.withColumn("_block", F.explode(F.expr(f"sequence(0, (count - 1) div {BLOCK})")))
+    dealt = blocks.repartition(*keys, last, "_block")
+    numbers = f"sequence(_block * {BLOCK} + 1, least(count, (_block + 1) * {BLOCK}))"
+    return dealt.select(*keys, last, "_before", F.explode(F.expr(numbers)).alias("_n")).select(
+        *df.columns, (F.col("_before") + F.col("_n")).alias(name)
+    )

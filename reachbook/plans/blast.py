@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachbook.campaign import Campaign
-from reachbook.operators.lookups import first_of_group, numbered
+from reachbook.operators.lookups import first_of_group, numbered_in_parts
 from reachbook.plans.outcomes import first_outcomes, unique_installments
 from reachbook.plans.runs import judged, run_spans
 
@@ -18,6 +18,8 @@ ORDER = (
 OUTCOME = ("newSR", "max__pt_1", "DPD_Max_2", "agent_type")
 _GROUP = ["agreementno", "angsuran"]
 _CONTACTED_FIRST = ["Grouped_Disposition asc nulls first"]
+# The first columns of a blast, in order.
+_PARTS = ("product", "min__pt", "max__pt", "DPD_Min", "DPD_Max", "DPD_Max_1")
 
 
 def blast(campaign: Campaign) -> DataFrame:
@@ -38,13 +40,11 @@ def blast_enriched(campaign: Campaign) -> DataFrame:
 
 
 def ranked_blasts(campaign: Campaign) -> DataFrame:
-    """Enriched blasts numbered per agreement and instalment, contacted first."""
-    return numbered(
-        blast_enriched(campaign),
-        _GROUP,
-        _CONTACTED_FIRST,
-        "row_num",
-        skip=["Grouped_Disposition"],
+    """Enriched blasts numbered per agreement and instalment, contacted first, in
+    parts: one per product, run and readings."""
+    parts = [*_CONTACTED_FIRST, *[f"{c} asc nulls first" for c in _PARTS]]
+    return numbered_in_parts(
+        blast_enriched(campaign), _GROUP, parts, "row_num", skip=["Grouped_Disposition", *_PARTS]
     )
 
 

@@ -9,7 +9,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators import filters
-from reachbook.operators.lookups import area_lookup, hash_first, numbered, numbered_in_parts, snapshot_lookup
+from reachbook.operators.lookups import area_lookup, hash_first, numbered, numbered_by_counts, snapshot_lookup
 
 READINGS = (
     "DPD_Min", "DPD_Max", "DPD_Max_1", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus",
@@ -183,7 +183,7 @@ def contacted_days(campaign: Campaign) -> DataFrame:
 def numbered_contacts(campaign: Campaign) -> DataFrame:
     """Every contact numbered per agreement and day, unknown agent type first."""
     contacts = campaign.messages.select("agreementno", "agent_type", "pt")
-    return numbered_in_parts(contacts, ["agreementno", "pt"], ["agent_type asc nulls first"], "row_number")
+    return numbered_by_counts(contacts, ["agreementno", "pt"], "agent_type", "row_number")
 
 
 def with_contact(runs: DataFrame, contacts: DataFrame) -> DataFrame:

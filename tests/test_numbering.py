@@ -1,0 +1,41 @@
+"""Numbers of groups that are too large for one task."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from reachbook.operators import lookups
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 3, 10_000])
+def test_numbers_from_counts(spark, monkeypatch, block):
+    monkeypatch.setattr(lookups, "BLOCK", block)
+    values = [("a", None)] * 4 + [("a", "x")] * 7 + [("b", "x")] + [(None, "y")] * 2
+    df = spark.createDataFrame(values, "k string, v string")
+    got = lookups.numbered_by_counts(df, ["k"], "v", "n")
+    assert rows(got, "k", "v", "n") == rows(lookups.numbered(df, ["k"], [], "n"), "k", "v", "n")
+    assert got.columns == ["k", "v", "n"]
+
+
+def test_parts_and_their_coarse_term_give_the_same_numbers(spark):
+    df = spark.range(500).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 5 as string)) as k",
+        "id % 4 as a",
+        "if(id % 7 = 0, null, cast(timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id * 17 % 400) as timestamp_ntz)) as t",
+        "id % 2 as rest",
+    )
+    plain = lookups.numbered(df, ["k"], ["a desc nulls last"], "n", skip=["a"])
+    parts = lookups.numbered_in_parts(
+        df, ["k"], ["a desc nulls last"], "n", coarse="date_trunc('HOUR', t)", skip=["a"]
+    )
+    assert parts.columns == ["k", "a", "t", "rest", "n"]
+    assert rows(parts, "k", "a", "t", "rest", "n") == rows(plain, "k", "a", "t", "rest", "n")
+
+
+def test_a_hot_group_is_numbered_by_many_tasks(spark):
+    df = spark.range(40_000).selectExpr("if(id % 10 = 0, cast(id as string), 'hot') as k", "'x' as v")
+    numbered = lookups.numbered_by_counts(df, ["k"], "v", "n").repartition(8, F.spark_partition_id())
+    assert numbered.agg(F.max("n")).first()[0] == 36_000
