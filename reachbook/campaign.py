@@ -29,6 +29,8 @@ class Campaign:
     run_channels: tuple[str, ...] = classify.RUN_CHANNELS
     message_channels: tuple[str, ...] = classify.MESSAGE_CHANNELS
     unmapped_first: bool = True
+    #: The areas as stored, if their snapshot key may be compared there.
+    stored_areas: DataFrame | None = None
 
     @classmethod
     def of(
@@ -47,6 +49,7 @@ class Campaign:
             tables.conform(loans, tables.LOANS, collation),
             tables.conform(areas, tables.AREAS, collation),
             as_of,
+            stored_areas=None if collation else areas,
             **choices,
         )
 
@@ -75,4 +78,8 @@ class Campaign:
 
     @cached_property
     def month_end_areas(self) -> DataFrame:
-        return filters.month_end_snapshot(self.areas, self.as_of)
+        areas = self.areas
+        if self.stored_areas is not None:
+            # A test that the files understand comes first; the exact one follows.
+            areas = tables.conform(filters.near_month_end(self.stored_areas, self.as_of), tables.AREAS)
+        return filters.month_end_snapshot(areas, self.as_of)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,8 +21,15 @@ class AsOf:
     moment: datetime
 
     @classmethod
-    def now(cls) -> AsOf:
-        return cls(datetime.now())
+    def now(cls, zone: str | None = None) -> AsOf:
+        """The present moment on the clock of a zone such as Asia/Jakarta; by
+        default of the session's zone, in which its timestamps are read."""
+        if zone:
+            return cls(datetime.now(ZoneInfo(zone)).replace(tzinfo=None))
+        session = SparkSession.getActiveSession()
+        if session is None:
+            return cls(datetime.now())
+        return cls(session.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0])
 
     @classmethod
     def at(cls, text: str) -> AsOf:

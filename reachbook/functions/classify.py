@@ -57,6 +57,12 @@ OUTCOMES = {
     },
 }
 
+
+def as_listed(column: str, values: Iterable[str]) -> Column:
+    """The value in the spelling of the list, as a collation may match others."""
+    return F.coalesce(*[F.when(F.col(column) == value, value) for value in values], F.col(column))
+
+
 # Funnel stage columns, channel and label per funnel outcome.
 # The IVR connection of an unanswered call also depends on the number dialled.
 STAGES = {

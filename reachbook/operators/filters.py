@@ -40,6 +40,15 @@ def month_end_snapshot(areas: DataFrame, as_of: AsOf) -> DataFrame:
     return areas.where(F.col("SK_Time") == as_of.month_end_key)
 
 
+def near_month_end(areas: DataFrame, as_of: AsOf) -> DataFrame:
+    """Rows of the areas as stored that hold all those of the month end, by a
+    test that reaches the files: text that may be padded, or a number."""
+    key, kind = F.col("SK_Time"), areas.schema["SK_Time"].dataType
+    if isinstance(kind, T.IntegralType):
+        return areas.where(key == int(as_of.month_end_key))
+    return areas.where(key.startswith(as_of.month_end_key)) if kind == T.StringType() else areas
+
+
 def in_channels(channels: Sequence[str]) -> Column:
     return F.col("agent_type").isin(*channels)
 

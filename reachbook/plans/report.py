@@ -57,11 +57,17 @@ def ranked_media(campaign: Campaign, channel: str) -> DataFrame:
 
 def full_ranking(campaign: Campaign, channel: str) -> DataFrame:
     """The same rows and numbers, for reading all of them: a busy agreement is
-    numbered in parts, one per rank and assigned days overdue."""
+    numbered in parts, one per rank, report columns, assigned days overdue and
+    hour of the message."""
     rank, number = CHANNEL_COLUMNS[channel]
     leading = [*_ranking(campaign, rank), "assigned_dpd asc nulls first"]
     return numbered_in_parts(
-        channel_media(campaign, channel), _GROUP, leading, number, skip=[rank, *_REPORT_FIRST, "assigned_dpd"]
+        channel_media(campaign, channel),
+        _GROUP,
+        leading,
+        number,
+        coarse="date_trunc('HOUR', activity_date)",
+        skip=[rank, *_REPORT_FIRST, "assigned_dpd"],
     )
 
 
@@ -81,16 +87,16 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
     The best message is the least struct in tie-break order, one per channel
     side by side, so the daily rows leave their aggregate on the join's keys.
     """
-    channels = list(channels or campaign.message_channels)
+    channels = {f"_best{i}": channel for i, channel in enumerate(channels or campaign.message_channels)}
     order = [RANK, "product", *[c for c in funnel.MESSAGE if c not in _MESSAGE_KEYS]]
     # A struct with a NULL sorts before one with a value.
     unlisted = [] if campaign.unmapped_first else [F.col(RANK).isNull().alias("unlisted")]
     message = F.struct(*unlisted, *order)
     messages = funnel.funnel_messages(campaign).withColumn(RANK, classify.rank_letter())
     daily = (
-        messages.where(filters.in_channels(channels))
+        messages.where(filters.in_channels(list(channels.values())))
         .groupBy("agreement_key", "pt")
-        .agg(*[F.min(F.when(F.col("agent_type") == c, message)).alias(c) for c in channels])
+        .agg(*[F.min(F.when(F.col("agent_type") == c, message)).alias(best) for best, c in channels.items()])
     )
     served = daily.join(funnel.serving_loans(campaign), ["agreement_key", "pt"])
     instalments = served.groupBy("agreement_key", "angsuran").agg(
@@ -99,7 +105,7 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
     placed = funnel.with_outcome(instalments, first_outcomes(campaign, list(funnel.OUTCOME))).join(
         best_area(campaign.month_end_areas), "agreement_key", "left"
     )
-    each = F.array(*[F.struct(F.lit(c).alias("agent_type"), F.col(c).alias("best")) for c in channels])
+    each = F.array(*[F.struct(F.lit(c).alias("agent_type"), F.col(best).alias("best")) for best, c in channels.items()])
     return (
         placed.select("*", F.explode(each).alias("of"))
         .where("of.best is not null")
@@ -114,6 +120,7 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
         )
         .withColumns(
             {
+                "product": classify.as_listed("product", campaign.products),
                 "Disposition_NEW": classify.funnel_outcome(),
                 "disposition2": classify.report_outcome(),
                 NUMBER: F.lit(1),
@@ -183,12 +190,12 @@ def _message_days(campaign: Campaign) -> DataFrame:
     Outcomes are matched on the clean number, so only runs stored under it count.
     """
     product, key = F.col("product"), F.trim("agreementno")
-    position = F.expr("CASE product " + " ".join(f"WHEN '{p}' THEN {i}" for i, p in _positions(campaign)) + " END")
+    position = F.coalesce(*[F.when(product == p, i) for i, p in _positions(campaign)])
     score = F.coalesce(classify.outcome_rank(), F.lit(_unmapped_rank(campaign))) * len(campaign.products) + position
     qualifies = filters.in_channels(campaign.run_channels) & filters.positive_dpd()
-    runs = [F.max(qualifies & (product == p)).alias(_run(p)) for p in campaign.products]
+    runs = [F.max(qualifies & (product == p)).alias(run) for run, p in _runs(campaign).items()]
     # Unlisted products have no position, hence no score.
-    scores = [F.min(F.when(F.col("agent_type") == c, score)).alias(c) for c in campaign.message_channels]
+    scores = [F.min(F.when(F.col("agent_type") == c, score)).alias(best) for best, c in _bests(campaign).items()]
     return (
         campaign.messages.where(F.col("agreementno").isNotNull())
         .groupBy("agreementno", F.col("pt").alias("day"))
@@ -197,14 +204,20 @@ def _message_days(campaign: Campaign) -> DataFrame:
             key.alias("agreement_key"),
             "day",
             "contacted",
-            *[(F.col(_run(p)) & (F.col("agreementno") == key)).alias(_run(p)) for p in campaign.products],
-            *campaign.message_channels,
+            *[(F.col(run) & (F.col("agreementno") == key)).alias(run) for run in _runs(campaign)],
+            *_bests(campaign),
         )
     )
 
 
-def _run(product: str) -> str:
-    return f"run_{product}"
+def _runs(campaign: Campaign) -> dict[str, str]:
+    """Flag columns of the products: names of ours, whatever the products are called."""
+    return {f"_run{i}": product for i, product in enumerate(campaign.products)}
+
+
+def _bests(campaign: Campaign) -> dict[str, str]:
+    """Score columns of the channels."""
+    return {f"_best{i}": channel for i, channel in enumerate(campaign.message_channels)}
 
 
 def _positions(campaign: Campaign) -> list[tuple[int, str]]:
@@ -224,8 +237,8 @@ def _instalment_days(campaign: Campaign, timeline: DataFrame) -> DataFrame:
     """
     by_day = Window.partitionBy("agreement_key").orderBy(F.unix_date("day"))
     next_day, second_day = by_day.rangeBetween(1, 1), by_day.rangeBetween(2, 2)
-    served = [F.max(_run(p)).over(next_day).alias(_run(p)) for p in campaign.products]
-    served += [F.min(c).over(next_day).alias(c) for c in campaign.message_channels]
+    served = [F.max(run).over(next_day).alias(run) for run in _runs(campaign)]
+    served += [F.min(best).over(next_day).alias(best) for best in _bests(campaign)]
     return timeline.select(
         "agreement_key",
         "angsuran",
@@ -246,18 +259,20 @@ def _report_lines(campaign: Campaign, instalments: DataFrame) -> DataFrame:
     missed = missed | F.coalesce("contacted_after", F.lit(False)) | F.coalesce("overdue_after", F.lit(False))
     success = F.when(F.col("overdue") & missed, 0).otherwise(1)
     per_product = [
-        F.max_by(success, F.when(F.col("normal") & F.col(_run(p)), F.col("day"))) for p in campaign.products
+        F.max_by(success, F.when(F.col("normal") & F.col(run), F.col("day"))) for run in _runs(campaign)
     ]
     worst = F.least(*per_product) if len(per_product) > 1 else per_product[0]
     known = F.col("angsuran").isNotNull()
-    bests = [F.min(F.when(F.col("live"), F.col(c))).alias(c) for c in campaign.message_channels]
+    bests = [F.min(F.when(F.col("live"), F.col(best))).alias(best) for best in _bests(campaign)]
     per_instalment = instalments.groupBy("agreement_key", "angsuran").agg(
         F.when(known, worst).alias("newSR"), *bests
     )
 
     n = len(campaign.products)
     names = F.array(*[F.lit(p) for _, p in _positions(campaign)])
-    channels = [F.struct(F.lit(c).alias("agent_type"), F.col(c).alias("score")) for c in campaign.message_channels]
+    channels = [
+        F.struct(F.lit(c).alias("agent_type"), F.col(best).alias("score")) for best, c in _bests(campaign).items()
+    ]
     best = (
         per_instalment.select("agreement_key", "angsuran", "newSR", F.explode(F.array(*channels)).alias("best"))
         .where(F.col("best.score").isNotNull())

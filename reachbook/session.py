@@ -14,6 +14,9 @@ MEASURED_BROADCASTS = {
     # No broadcast on an estimate: the planner does not know how far an exploded
     # or joined table grows.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # The date bounds are literals already; pruning by a join's other side would
+    # only copy that side's plan, twice as much text per join.
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false",
     # A side that has been shuffled is broadcast if it measured no more than this.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }

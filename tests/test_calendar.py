@@ -56,3 +56,19 @@ def test_snapshot_window_includes_the_prior_month_end(spark):
     days = [date(2024, 2, 28), date(2024, 2, 29), date(2024, 3, 9), date(2024, 3, 10)]
     frame = spark.createDataFrame([(d,) for d in days], "ReportDate date")
     assert [r.ReportDate for r in filters.snapshot_window(frame, as_of).collect()] == days[1:3]
+
+
+def test_now_is_told_by_the_zone(spark):
+    from datetime import datetime, timedelta, timezone
+
+    def near(moment, hours):
+        there = datetime.now(timezone(timedelta(hours=hours))).replace(tzinfo=None)
+        return abs(there - moment) < timedelta(minutes=1)
+
+    assert near(AsOf.now("Asia/Jakarta").moment, 7)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        assert near(AsOf.now().moment, 14)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

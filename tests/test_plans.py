@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
+from pyspark.sql import functions as F
+
 from reachbook import AsOf, Campaign
 from reachbook.plans import outcomes, report, runs
 from tests.helpers import random_tables, write_tables
@@ -59,7 +61,7 @@ def test_best_messages_shrink_before_each_shuffle(stored):
     join with the loan book reads the first one's layout."""
     plan = plan_of(report.best_media(stored, ["IVR"]))
     shuffles = re.findall(r"Exchange hashpartitioning.*\n.*", plan)
-    wide = [s for s in shuffles if "persona_name" in s]
+    wide = [s for s in shuffles if "persona_name" in s or "struct(message" in s]
     assert len(wide) == 2
     assert all("partial_min(CASE WHEN" in s for s in wide)
 
@@ -71,6 +73,36 @@ def test_run_spans_join_on_the_layout_of_the_pre_aggregate(stored):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def test_month_end_reaches_the_area_scan(stored, spark):
+    areas = stored.month_end_areas
+    assert "StringStartsWith(SK_Time,20240331)" in plan_of(areas)
+    padded = spark.createDataFrame([("A1", "20240331  "), ("A2", "202403310"), ("A3", None)], "AgreementNo string, SK_Time string")
+    numbers = spark.createDataFrame([("A1", 20240331), ("A2", 20240330)], "AgreementNo string, SK_Time int")
+    for kept in (padded, numbers):
+        for name in ("Provinsi", "Kab", "Kec", "Desa"):
+            kept = kept.withColumn(name, F.lit("x"))
+        kept = kept.withColumn("SubCGID", F.lit(1))
+        campaign = Campaign.of(stored.activity, stored.loans, kept, AS_OF)
+        assert [r.AgreementNo for r in campaign.month_end_areas.collect()] == ["A1"]
+
+
+def test_report_compiles_to_whole_stages(stored, spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    try:
+        df = report.channel_report(stored)
+        rows = df.collect()
+        assert re.search(r"\*\(\d+\) HashAggregate", plan_of(df))
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    assert sorted(map(str, rows)) == sorted(map(str, report.channel_report(stored).collect()))
+
+
+def test_stored_partitions_do_not_copy_plans(stored):
+    """Pruning by joins would double the text of a plan per join."""
+    plan = plan_of(runs.next_day_contact(stored))
+    assert plan.count("Exchange hashpartitioning") <= 25
+
+
 def test_unused_columns_are_not_read(stored):
     plan = plan_of(runs.run_spans(stored))
     assert "ReadSchema: struct<agreementno:string,product:string,assigned_dpd:string,agent_type:string,pt:date>" in plan

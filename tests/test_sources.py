@@ -1,5 +1,6 @@
 """Reading: text cleanup, key forms, other stored types, catalog names."""
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -93,6 +94,40 @@ def test_catalog_tables(spark, tmp_path):
     assert report.channel_report(campaign).first().agreementno == 1
 
 
+def test_three_part_names(spark, tmp_path):
+    paths = write_tables(tmp_path, [message()], [snapshot()], [area()])
+    names = {name: f"spark_catalog.default.kept_{name}" for name in paths}
+    for name, path in paths.items():
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE {names[name]} ({columns}) USING parquet LOCATION '{path}'")
+    try:
+        campaign = Campaign.from_catalog(spark, AS_OF, names["activity"], names["loans"], names["areas"])
+        assert report.channel_report(campaign).first().agreementno == 1
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE {name}")
+
+
+def test_products_and_channels_may_hold_any_text(spark, tmp_path):
+    odd = {"product": "O'B. c", "agent_type": "W'A .x"}
+    campaign = build(spark, tmp_path, [message(**odd), message()], [snapshot()], [area()])
+    choices = {"products": ("CAR", "O'B. c"), "message_channels": ("WHATSAPP", "W'A .x")}
+    campaign = replace(campaign, run_channels=("WHATSAPP", "W'A .x"), **choices)
+    lines = report.channel_report(campaign)
+    assert spark_rows(lines) == spark_rows(report.summarise(report.best_media(campaign)))
+    assert {r.product for r in lines.collect()} == {"CAR", "O'B. c"}
+    assert runs.run_spans(campaign).count() == 2
+
+
+def test_one_spelling_under_a_collation(spark, tmp_path):
+    rows = [message(product="car", agent_type="WhatsApp"), message(product="CAR", pt=date(2024, 3, 11))]
+    folded = build(spark, tmp_path, rows, [snapshot(), snapshot(ReportDate=date(2024, 3, 10))], [area()], collation="UTF8_LCASE")
+    lines = report.channel_report(folded)
+    assert spark_rows(lines) == spark_rows(report.summarise(report.best_media(folded)))
+    assert [(r.product, r.agent_type) for r in lines.collect()] == [("CAR", "WHATSAPP")]
+    assert {r.product for r in runs.run_spans(folded).collect()} == {"CAR"}
+
+
 def test_missing_column_is_an_error(spark):
     with pytest.raises(KeyError):
         tables.conform(spark.range(1), tables.LOANS)
