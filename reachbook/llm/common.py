@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,7 +41,7 @@ def stored(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """The same rows as a Parquet table in the checkpoint folder."""
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -76,6 +77,26 @@ def per_text(df: DataFrame, key: str, text: str, columns: dict[str, pa.DataType]
     return in_batches(df.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias("text")), run, schema)
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, packed): texts as compressed UTF-8, to be shuffled."""
+    held: list[zstandard.ZstdCompressor] = []
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not held:
+            held.append(zstandard.ZstdCompressor(level=3))
+        data = [held[0].compress((t or "").encode()) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "packed"])
+
+    return in_batches(docs.select("doc_id", "text"), step, "doc_id long, packed binary")
+
+
+def unpacked(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch whose second column is compressed text."""
+    unpack = zstandard.ZstdDecompressor()
+    for doc, packed, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        yield doc, unpack.decompress(packed), *rest
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble unsigned 64-bit numbers, one to one."""
     x = x ^ (x >> np.uint64(30))

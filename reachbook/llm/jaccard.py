@@ -8,6 +8,7 @@ cut into fragments, and so is every document's set.
   with an equal fragment therefore form candidate groups that lose no link. D
   grows with the size of a set, so sets are cut per size class; a set is cut for
   every class in which it can have a partner as large or larger.
+  A document points to the least one that has the same fragment, not to all.
 * Candidate groups are cut into blocks and every two blocks meet in one task.
   There the overlap of a pair is counted fragment by fragment and summed; a pair
   is given up as soon as the fragments left cannot make up for what is missing.
@@ -24,10 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import components, in_batches, mix, stored
+from reachbook.llm.common import components, in_batches, mix, packed_texts, stored
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -38,16 +40,20 @@ _FOLD = bytes.maketrans(_UPPER, _LOWER)
 class Join:
     """Distinct n-grams of `words` words; links from `percent` % similarity on.
 
-    `spare` fragments are cut beyond the least number. `growth` is the width of
-    a size class. Blocks hold about `block_grams` n-grams and `block_rows` sets.
+    A quarter more fragments than needed and `spare` are cut. `growth` is the
+    width of a size class. Blocks hold about `block_grams` n-grams and
+    `block_rows` sets. At most `common` n-grams are left out of signatures. None
+    of these changes a result.
     """
 
     words: int = 3
     percent: int = 90
     spare: int = 2
     growth: float = 1.5
-    block_grams: int = 500_000
-    block_rows: int = 2048
+    block_grams: int = 1_500_000
+    block_rows: int = 4096
+    signs_at_once: int = 1 << 20
+    common: int = 200_000
     count_fragments: int = 8
 
     def most_apart(self, grams: int) -> int:
@@ -70,9 +76,9 @@ class Join:
         return 100 * shared >= self.percent * (one + two - shared)
 
 
-def gram_set(text: str, words: int) -> np.ndarray:
+def gram_set(data: bytes, words: int) -> np.ndarray:
     """Sorted hashes of the distinct n-grams; with fewer words, of the whole sequence."""
-    tokens = text.encode().translate(_FOLD).split()
+    tokens = data.translate(_FOLD).split()
     n = len(tokens)
     if not n:
         return np.empty(0, np.uint64)
@@ -85,10 +91,18 @@ def gram_set(text: str, words: int) -> np.ndarray:
 
 
 class Signer:
-    """Signatures of a set's fragments, one per size class it can have partners in."""
+    """Signatures of a set's fragments, one list per size class it can have partners in.
+
+    Fragments of common n-grams are shared by documents that have little else in
+    common, so they are left out: two linked sets also differ in at most D of
+    the others. What they share may then be empty fragments only. So sets with
+    more empty fragments than the spare ones, and only those, are cut again,
+    elsewhere, and at last with all their n-grams; whatever is common, no link
+    is lost.
+    """
 
-    def __init__(self, join: Join):
-        self.join = join
+    def __init__(self, join: Join, common: np.ndarray):
+        self.join, self.common = join, common
         self.starts = join.classes(1 << 16)
 
     def __call__(self, grams: np.ndarray) -> np.ndarray:
@@ -96,67 +110,156 @@ class Signer:
         partner = 100 * n // join.percent
         if partner >= self.starts[-1]:
             self.starts = join.classes(2 * partner)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams), dtype=np.uint64)])
+        rare = grams
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, grams), len(self.common) - 1)
+            rare = grams[self.common[at] != grams]
         own = []
         for size_class in range(max(1, bisect_right(self.starts, n) - 1), bisect_right(self.starts, partner)):
             apart = join.most_apart(self.starts[size_class + 1] - 1)
-            fragments = apart + 1 + join.spare
-            edges = np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments)
-            ends = np.concatenate([[0], np.searchsorted(grams, edges), [n]])
-            sizes = np.diff(ends).astype(np.uint64)
-            numbers = np.arange(fragments, dtype=np.uint64)
-            signs = mix(sums[ends[1:]] - sums[ends[:-1]] + mix(numbers + np.uint64(size_class << 40)) + sizes)
-            # Two sets that only share empty fragments have more than the spare
-            # ones of them, so only such sets need signatures of empty ones.
-            empty = sizes == 0
-            own.append(signs if empty.sum() > join.spare else signs[~empty])
+            spare = join.spare + apart // 4
+            for turn, chosen in enumerate((rare, rare, rare, grams)):
+                signs, empty = self._cut(chosen, apart + 1 + spare, size_class, turn)
+                short = int(empty.sum()) > spare
+                own.append(signs if short and turn == 3 else signs[~empty])
+                if not short:
+                    break
         return np.concatenate(own) if own else np.empty(0, np.uint64)
 
+    def _cut(self, grams: np.ndarray, fragments: int, size_class: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        if turn:
+            grams = np.sort(mix(grams ^ np.uint64(turn << 60 | 1)))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams), dtype=np.uint64)])
+        edges = np.arange(1, fragments, dtype=np.uint64) * np.uint64((1 << 64) // fragments)
+        ends = np.concatenate([[0], np.searchsorted(grams, edges), [len(grams)]])
+        sizes = np.diff(ends).astype(np.uint64)
+        names = mix(np.arange(fragments, dtype=np.uint64) + np.uint64(size_class << 40 | turn << 56))
+        return mix(sums[ends[1:]] - sums[ends[:-1]] + names + sizes), sizes == 0
+
+
+def _common(docs: DataFrame, join: Join) -> np.ndarray:
+    """Hashes of n-grams that many documents have: a bounded list, the most
+    frequent first. Each task counts what it holds in turns, and n-grams that
+    are there twice go on. The list decides how many candidates there are, never
+    what is found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            grams, counts = np.unique(np.concatenate(held), return_counts=True)
+            twice = counts > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(grams[twice].view(np.int64)), pa.array(counts[twice].astype(np.int64))], ["gram", "n"]
+            )
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(gram_set((text or "").encode(), join.words))
+                size += len(held[-1])
+                if size >= join.signs_at_once:
+                    yield counted()
+                    held, size = [], 0
+        if size:
+            yield counted()
+
+    counts = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = stored(counts.select("gram", F.floor(F.log2("n") * 4).alias("level")))
+    room, least = join.common, None
+    for row in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["level"]
+    if least is None:
+        return np.empty(0, np.uint64)
+    rows = counts.where(F.col("level") >= least).select("gram").toArrow()
+    return np.sort(rows.column("gram").to_numpy().view(np.uint64))
+
 
-def _signed(docs: DataFrame, join: Join) -> DataFrame:
-    """(doc_id, n_grams, one, two, signs): the two halves of the set's hash, and
-    its signatures."""
-    held: list[Signer] = []
-    list_type = pa.list_(pa.int64())
+def _sets(docs: DataFrame, join: Join) -> DataFrame:
+    """(doc_id, n_grams, one, two): size of each set, and its hash in two halves."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not held:
-            held.append(Signer(join))
-        sizes, halves, signs = [], [], []
+        sizes, halves = [], []
         for text in batch.column(1).to_pylist():
-            grams = gram_set(text or "", join.words)
-            key = xxhash.xxh3_128_digest(grams.tobytes())
+            grams = gram_set((text or "").encode(), join.words)
             sizes.append(len(grams))
-            halves.append(np.frombuffer(key, np.int64))
-            signs.append(held[0](grams).view(np.int64))
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in signs])]).astype(np.int32)
-        values = pa.array(np.concatenate(signs))
+            halves.append(np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), np.int64))
         both = np.array(halves)
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(sizes, pa.int64()),
-                pa.array(both[:, 0]),
-                pa.array(both[:, 1]),
-                pa.ListArray.from_arrays(pa.array(offsets), values, type=list_type),
-            ],
-            ["doc_id", "n_grams", "one", "two", "signs"],
-        )
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_grams", "one", "two"])
 
-    return in_batches(docs, step, "doc_id long, n_grams long, one long, two long, signs array<long>")
+    return in_batches(docs, step, "doc_id long, n_grams long, one long, two long")
 
 
-def _groups(signed: DataFrame) -> DataFrame:
-    """(one, group): candidate groups of sets, by the first half of their hash.
+def _edges(docs: DataFrame, join: Join) -> DataFrame:
+    """(a, b): documents that share a fragment, each with the least one of those.
 
-    Sets that share a signature all point to its least one. A shared half would
-    only make a group larger.
+    A task first joins what it holds itself and sends on one document per
+    signature, so a signature that a third of all documents have is no more rows
+    in one place than there are tasks. Rows with two different documents are
+    edges already and only travel along.
     """
-    signs = signed.where(F.size("signs") > 0).select("one", F.explode("signs").alias("sign"))
-    shared = signs.groupBy("sign").agg(F.min("one").alias("hub"), F.max("one").alias("last"))
-    shared = stored(shared.where("hub <> last").select("sign", "hub"))
-    edges = signs.join(shared, "sign").select(F.col("hub").alias("a"), F.col("one").alias("b"))
-    return components(edges).select(F.col("id").alias("one"), F.col("component").alias("group"))
+    names = ["sign", "a", "b"]
+    common = _common(docs, join) if join.common else np.empty(0, np.uint64)
+
+    def rows(signs: np.ndarray, first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (signs, first, second)], names)
+
+    def joined(signs: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
+        every = np.concatenate(signs)
+        of = np.repeat(np.array(docs, np.int64), [len(s) for s in signs])
+        order = np.lexsort((of, every))
+        every, of = every[order], of[order]
+        heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        hubs = of[np.repeat(heads, np.diff(np.append(heads, len(every))))]
+        edges = np.unique(np.stack([hubs, of])[:, hubs != of], axis=1)
+        spread = mix(edges[0].astype(np.uint64) * np.uint64(3) + edges[1].astype(np.uint64))
+        return rows(
+            np.concatenate([every[heads].view(np.int64), spread.view(np.int64)]),
+            np.concatenate([of[heads], edges[0]]),
+            np.concatenate([of[heads], edges[1]]),
+        )
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer, signs, of, held = Signer(join, common), [], [], 0
+        for batch in batches:
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = signer(gram_set((text or "").encode(), join.words))
+                if len(own):
+                    signs.append(own)
+                    of.append(doc)
+                    held += len(own)
+                if held >= join.signs_at_once:
+                    yield joined(signs, of)
+                    signs, of, held = [], [], 0
+        if held:
+            yield joined(signs, of)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, hub = None, 0
+        for batch in batches:
+            signs, a, b = (c.to_numpy() for c in batch.columns)
+            if not len(signs):
+                continue
+            known = a == b
+            edges = [np.stack([a[~known], b[~known]])]
+            own, of = signs[known], a[known]
+            if len(own):
+                heads = np.concatenate([[own[0] != last], own[1:] != own[:-1]])
+                begins = np.where(heads, of, np.int64(0))
+                number = np.cumsum(heads)
+                hubs = np.concatenate([[hub], begins[heads]])[number]
+                last, hub = own[-1], hubs[-1]
+                apart = hubs != of
+                edges.append(np.stack([hubs[apart], of[apart]]))
+            found = np.unique(np.concatenate(edges, axis=1), axis=1)
+            if found.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+
+    signed = docs.where("doc_id is not null").mapInArrow(sign, "sign long, a long, b long")
+    return signed.repartition("sign").sortWithinPartitions("sign", "a", "b").mapInArrow(meet, "a long, b long")
 
 
 class Sets:
@@ -228,31 +331,31 @@ class Sets:
 def _links(docs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
     """(a, b): links that join each candidate group's components. `members` has
     (doc_id, group, blocks): one document per distinct set."""
-    needed = docs.join(members, "doc_id").select("doc_id", "text", "group", "blocks")
-    names = ["group", "i", "j", "block", "doc_id", "grams"]
+    needed = packed_texts(docs).join(members, "doc_id").dropDuplicates(["doc_id"])
+    names = ["group", "i", "j", "block", "doc_id", "packed"]
 
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for doc, text, group, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            grams = gram_set(text or "", join.words).tobytes()
+        for doc, packed, group, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = xxhash.xxh3_64_intdigest(doc.to_bytes(8, "little", signed=True)) % blocks
-            rows += [(group, min(own, k), max(own, k), own, doc, grams) for k in range(blocks)]
+            rows += [(group, min(own, k), max(own, k), own, doc, packed) for k in range(blocks)]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names
         )
 
-    blocks = in_batches(needed, cut, "group long, i int, j int, block int, doc_id long, grams binary", rows=64)
+    needed = needed.select("doc_id", "packed", "group", "blocks")
+    blocks = in_batches(needed, deal, "group long, i int, j int, block int, doc_id long, packed binary", rows=64)
     dealt = blocks.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "block", "doc_id")
+    unpack = zstandard.decompress
 
     def linked(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        """Rows of one block pair; a repeated row counts once."""
+        """Links of one block pair."""
         ids, sets, own = [], [], []
-        for _, _, _, block, doc, grams in rows:
-            if not ids or ids[-1] != doc:
-                ids.append(doc)
-                sets.append(np.frombuffer(grams, np.uint64))
-                own.append(block)
+        for _, _, _, block, doc, packed in rows:
+            ids.append(doc)
+            sets.append(gram_set(unpack(packed), join.words))
+            own.append(block)
         if len(ids) < 2:
             return
         _, i, j = rows[0][:3]
@@ -301,18 +404,19 @@ def jaccard_components(
     no rows.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = stored(_signed(docs, join))
-    classes = stored(signed.where("n_grams > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")))
-    candidates = classes.join(_groups(signed), "one")
+    sets = stored(_sets(docs, join))
+    classes = stored(sets.where("n_grams > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")))
+    groups = components(_edges(docs, join)).select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
+    candidates = stored(classes.join(groups, "doc_id"))
     totals = candidates.groupBy("group").agg(F.sum("n_grams").alias("grams"), F.count("*").alias("sets"))
     blocks = F.greatest(F.ceil(F.col("grams") / join.block_grams), F.ceil(F.col("sets") / join.block_rows))
-    totals = stored(totals.select("group", blocks.cast("int").alias("blocks")))
+    totals = stored(totals.where("sets > 1").select("group", blocks.cast("int").alias("blocks")))
     members = stored(candidates.join(totals, "group").select("doc_id", "group", "blocks"))
     joined = components(_links(docs, members, join)).withColumnRenamed("id", "doc_id")
     classes = stored(
         classes.join(joined, "doc_id", "left").select("one", "two", F.coalesce("component", "doc_id").alias("component"))
     )
     # Sets without n-grams have no class, so they keep their own id.
-    return signed.drop("signs").join(classes, ["one", "two"], "left").select(
+    return sets.join(classes, ["one", "two"], "left").select(
         F.col("doc_id").alias(key), "n_grams", F.coalesce("component", "doc_id").alias("component_id")
     )
