@@ -44,11 +44,12 @@ def _unit(values: np.ndarray) -> np.ndarray:
 
 
 def _clean(vectors: DataFrame, key: str, embedding: str) -> tuple[DataFrame, DataFrame]:
-    """All ids, and the vectors that can link: neither null, empty nor zero, all components finite."""
+    """All ids, and the vectors that can link: with an id, neither null, empty
+    nor zero, all components finite."""
     each = vectors.select(F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
-    return each.select("id"), each.where(F.coalesce(finite & some, F.lit(False)))
+    return each.select("id"), each.where(F.col("id").isNotNull() & F.coalesce(finite & some, F.lit(False)))
 
 
 def _pivots(distinct: DataFrame, spec: Range) -> np.ndarray:
@@ -216,8 +217,8 @@ def _compared(dealt: DataFrame, least: float) -> DataFrame:
 def range_join(vectors: DataFrame, spec: Range = Range(), *, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per vector: n_links, component_id and whether it stays (kept).
 
-    Vectors that are null, empty or zero, or hold null or non-finite components,
-    link with nothing; nor do vectors of different lengths, each of which takes a
+    Vectors without an id, and those that are null, empty or zero or hold null or
+    non-finite components, link with nothing; nor do vectors of different lengths, each of which takes a
     round of its own. Equal vectors are compared once and counted as often as
     they occur. Repeated rows count as vectors of their own and share a result;
     other columns are ignored; no rows give no rows.

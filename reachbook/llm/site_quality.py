@@ -26,9 +26,10 @@ class Fit:
 
     rows: int = 6000
     buckets: int = 1 << 14
-    epochs: int = 25
+    epochs: int = 40
+    least_steps: int = 500
     rate: float = 0.2
-    decay: float = 1e-4
+    decay: float = 1e-3
     seed: int = 11
 
 
@@ -71,7 +72,7 @@ class Classifier:
         every = np.concatenate(sets)
         starts = np.cumsum(sizes) - sizes
         sums = np.add.reduceat(self.weights[every], starts, axis=0)
-        return sums / np.sqrt(sizes)[:, None] + self.offset
+        return sums + self.offset
 
     def learn(self, sets: list[np.ndarray], labels: np.ndarray) -> None:
         """Adagrad in a fixed order; every set holds a bucket at least."""
@@ -80,7 +81,7 @@ class Classifier:
         squares = np.full_like(self.weights, 1e-3)
         rate = np.clip(labels.mean(axis=0), 0.01, 0.99)
         self.offset = np.log(rate / (1 - rate))
-        for _ in range(plan.epochs):
+        for _ in range(max(plan.epochs, 256 * plan.least_steps // len(sets))):
             order = rng.permutation(len(sets))
             for low in range(0, len(order), 256):
                 chosen = order[low : low + 256]
@@ -88,7 +89,7 @@ class Classifier:
                 error = 1 / (1 + np.exp(-np.clip(self.logits(own), -30, 30))) - labels[chosen]
                 sizes = np.array([len(s) for s in own])
                 gradient = np.zeros_like(self.weights)
-                np.add.at(gradient, np.concatenate(own), np.repeat(error / np.sqrt(sizes)[:, None], sizes, axis=0))
+                np.add.at(gradient, np.concatenate(own), np.repeat(error, sizes, axis=0))
                 touched = np.flatnonzero(gradient.any(axis=1))
                 step = gradient[touched] / len(chosen) + plan.decay * self.weights[touched]
                 squares[touched] += step**2
