@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from reachbook.functions.calendar import AsOf
 from reachbook.functions.classify import STATUS_NORMAL, STATUS_WRITTEN_OFF
+from reachbook.sources.tables import as_stored
 
 
 def _days_up_to_cutoff(df: DataFrame, column: str, first: date, as_of: AsOf) -> DataFrame:
@@ -49,12 +52,22 @@ def near_month_end(areas: DataFrame, as_of: AsOf) -> DataFrame:
     return areas.where(key.startswith(as_of.month_end_key)) if kind == T.StringType() else areas
 
 
-def in_channels(channels: Sequence[str]) -> Column:
-    return F.col("agent_type").isin(*channels)
+def _listed(column: str, values: Sequence[str], stored: bool) -> Column:
+    """One of the values. On a conformed table also by a test of the text as
+    stored, which files understand: equal up to trailing blanks, it starts alike."""
+    exact = F.col(column).isin(*values)
+    if not stored or not values:
+        return exact
+    raw = F.col(as_stored(column))
+    return reduce(or_, [raw.startswith(value) for value in values], raw.isNull()) & exact
 
 
-def in_products(products: Sequence[str]) -> Column:
-    return F.col("product").isin(*products)
+def in_channels(channels: Sequence[str], stored: bool = False) -> Column:
+    return _listed("agent_type", channels, stored)
+
+
+def in_products(products: Sequence[str], stored: bool = False) -> Column:
+    return _listed("product", products, stored)
 
 
 def positive_dpd() -> Column:
@@ -62,10 +75,14 @@ def positive_dpd() -> Column:
     return (F.col("assigned_dpd") != "0") & (F.substring("assigned_dpd", 1, 1) != "-")
 
 
-def status_normal() -> Column:
-    return F.col("DefaultStatus") == STATUS_NORMAL
+def status_normal(stored: bool = False) -> Column:
+    return _listed("DefaultStatus", [STATUS_NORMAL], stored)
 
 
-def not_written_off() -> Column:
+def not_written_off(stored: bool = False) -> Column:
     """An unknown status is dropped too."""
-    return F.col("DefaultStatus") != STATUS_WRITTEN_OFF
+    exact = F.col("DefaultStatus") != STATUS_WRITTEN_OFF
+    if not stored:
+        return exact
+    raw = F.col(as_stored("DefaultStatus"))
+    return (raw.isNull() | (raw != STATUS_WRITTEN_OFF)) & exact

@@ -24,7 +24,8 @@ def funnel_messages(campaign: Campaign) -> DataFrame:
     """Messages of the reported channels and products, agreement number cleaned."""
     return (
         campaign.messages.where(
-            filters.in_products(campaign.products) & filters.in_channels(campaign.message_channels)
+            filters.in_products(campaign.products, stored=True)
+            & filters.in_channels(campaign.message_channels, stored=True)
         )
         .withColumn("agreementno", F.col("agreement_key"))
         .withColumn("Grouped_Disposition", classify.grouped_disposition())
@@ -33,7 +34,7 @@ def funnel_messages(campaign: Campaign) -> DataFrame:
 
 def serving_loans(campaign: Campaign) -> DataFrame:
     """Instalment of each loan not written off, under the message day it serves."""
-    return campaign.snapshots.where(filters.not_written_off()).select(
+    return campaign.snapshots.where(filters.not_written_off(stored=True)).select(
         "agreement_key", day_after("ReportDate").alias("pt"), "angsuran"
     )
 

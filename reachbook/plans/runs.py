@@ -22,7 +22,7 @@ def _serving_snapshots(campaign: Campaign) -> DataFrame:
 
     This match uses the stored agreement number, leading blanks included.
     """
-    return campaign.snapshots.where(filters.status_normal()).select(
+    return campaign.snapshots.where(filters.status_normal(stored=True)).select(
         F.col("AgreementNo").alias("_agreement"),
         day_after("ReportDate").alias("_day"),
         "angsuran",
@@ -38,8 +38,8 @@ def qualified_messages(campaign: Campaign) -> DataFrame:
     """Messages that start or extend a run, with instalment and loan status."""
     return (
         campaign.messages.where(
-            filters.in_channels(campaign.run_channels)
-            & filters.in_products(campaign.products)
+            filters.in_channels(campaign.run_channels, stored=True)
+            & filters.in_products(campaign.products, stored=True)
             & filters.positive_dpd()
         )
         .join(_serving_snapshots(campaign), _serves_message())
@@ -60,7 +60,9 @@ def run_spans(campaign: Campaign, by_contact: bool = False) -> DataFrame:
     """
     channels = campaign.message_channels if by_contact else campaign.run_channels
     messages = campaign.messages.where(
-        filters.in_channels(channels) & filters.in_products(campaign.products) & filters.positive_dpd()
+        filters.in_channels(channels, stored=True)
+        & filters.in_products(campaign.products, stored=True)
+        & filters.positive_dpd()
     )
     groups = (classify.CONTACTED, classify.UNCONTACTED) if by_contact else (None,)
     splits = [(product, group) for product in campaign.products for group in groups]

@@ -57,16 +57,25 @@ COMPARED = {
     "defaultstatus", "provinsi", "kab", "kec", "desa", "sk_time",
 }
 
+# Of these, the ones that lists and constants are compared with are also kept as
+# stored, under a name of their own: tests on them reach the files.
+STORED = {"agent_type", "product", "defaultstatus"}
+
 # Days that a deployment may store with a time of day; the date filters need it.
 MOMENTS = {"pt", "reportdate"}
 
 
+def as_stored(name: str) -> str:
+    return f"_stored_{name.lower()}"
+
+
 def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -> DataFrame:
     """Select the declared columns with their declared types and clean text.
 
     Adds `agreement_key`, the agreement number without blanks on either side:
     most matches use it, a few need the stored number with its leading blanks.
-    An optional collation such as UTF8_LCASE makes text matches ignore case.
+    An optional collation such as UTF8_LCASE makes text matches ignore case; the
+    text as stored is then not compared and NULL.
     """
     stored = {field.name.lower(): field.dataType for field in df.schema}
     columns = []
@@ -80,4 +89,7 @@ def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -
             if collation:
                 column = f"collate({column}, '{collation}')"
         columns.append(f"{column} as `{field.name}`")
+        if name in STORED:
+            plain = not collation and stored[name] == T.StringType()
+            columns.append(f"{f'`{field.name}`' if plain else 'cast(null as string)'} as `{as_stored(name)}`")
     return df.selectExpr(*columns).selectExpr("*", "trim(agreementno) as agreement_key")

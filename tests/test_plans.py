@@ -8,7 +8,7 @@ import __spark_entry__ as entry_points
 from pyspark.sql import functions as F
 
 from reachbook import AsOf, Campaign
-from reachbook.plans import outcomes, report, runs
+from reachbook.plans import funnel, outcomes, report, runs
 from tests.helpers import random_tables, write_tables
 
 AS_OF = AsOf.at("2024-03-20 12:00:00")
@@ -86,6 +86,26 @@ def test_month_end_reaches_the_area_scan(stored, spark):
         assert [r.AgreementNo for r in campaign.month_end_areas.collect()] == ["A1"]
 
 
+@pytest.mark.parametrize(
+    ("plan", "pushed"),
+    [
+        (runs.qualified_messages, "StringStartsWith(agent_type,WHATSAPP)"),
+        (runs.qualified_messages, "StringStartsWith(product,CAR)"),
+        (runs.qualified_messages, "StringStartsWith(DefaultStatus,NM)"),
+        (runs.run_spans, "StringStartsWith(agent_type,DIGITAL)"),
+        (funnel.funnel, "Not(EqualTo(DefaultStatus,WO))"),
+        (funnel.funnel, "StringStartsWith(product,MCY)"),
+    ],
+)
+def test_text_filters_reach_the_scan(stored, spark, plan, pushed):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        text = plan_of(plan(stored))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert any(pushed in filters for filters in re.findall(r"PushedFilters: \[.*", text))
+
+
 def test_report_compiles_to_whole_stages(stored, spark):
     spark.conf.set("spark.sql.codegen.wholeStage", "true")
     try:
