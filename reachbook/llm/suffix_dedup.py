@@ -26,22 +26,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import in_batches, mix, stored
+from reachbook.llm.common import in_batches, mix, packed_texts, stored, unpacked, written
 
 #: No byte of a UTF-8 text: it ends a piece of text.
 END = 0xFF
 #: Bytes of a very long text whose anchors are searched at once.
 STRETCH = 1 << 22
+#: Suffixes that are compared byte by byte at once.
+COMPARED = 1 << 15
 
 
 @dataclass(frozen=True)
 class Repeats:
-    """Strings of `length` bytes. Buckets of over `hot` strings of text are
+    """Strings of `length` bytes. Buckets of over `hot` documents are
     shared out; a suffix array covers about `array_bytes`, whole buckets."""
 
     length: int = 200
     gram: int = 32
-    hot: int = 20_000
+    hot: int = 16_000
     array_bytes: int = 400_000
 
 
@@ -62,7 +64,9 @@ def _hashes(words: np.ndarray, width: int, seed: int) -> np.ndarray:
     count = len(words) - (width - 8)
     out = np.zeros(max(count, 0), np.uint64)
     for offset, factor in zip(offsets, factors, strict=True):
-        out += mix(words[offset : offset + len(out)] ^ factor) * factor
+        # High bits of a word must reach the low ones before the next round.
+        part = words[offset : offset + len(out)] * factor
+        out += part ^ (part >> np.uint64(29))
     return mix(out)
 
 
@@ -95,27 +99,46 @@ def anchors(data: bytes, spec: Repeats) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate([*starts, [total]])
 
 
+def _in_order(text: np.ndarray, starts: np.ndarray, depth: int) -> Iterator[np.ndarray]:
+    """Starts in order of the `depth` bytes there. Large sets are dealt out by
+    one byte after the other, small ones compared."""
+    todo = [(starts, 0)]
+    while todo:
+        own, at = todo.pop()
+        if len(own) <= COMPARED or at == depth:
+            if at < depth and len(own) > 1:
+                keys = np.lib.stride_tricks.sliding_window_view(text, depth - at)[own + at]
+                own = own[np.argsort(keys.view(f"S{depth - at}").ravel())]
+            yield own
+            continue
+        bytes_here = text[own + at]
+        order = np.argsort(bytes_here, kind="stable")
+        own, bytes_here = own[order], bytes_here[order]
+        turns = np.flatnonzero(np.diff(bytes_here)) + 1
+        todo += [(part, at + 1) for part in reversed(np.split(own, turns))]
+
+
 def two_stage(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffix array of bytes, right in the first `depth` bytes of each suffix."""
     n = len(text)
     step = np.sign(np.diff(text.astype(np.int16), append=-1))
     # A run of equal bytes goes the way its end goes.
-    following = np.where(step != 0, np.arange(n), n - 1)
+    following = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n - 1))
     following = np.minimum.accumulate(following[::-1])[::-1]
     rising = step[following] > 0  # smaller than its successor
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
-    direct = np.flatnonzero(rising)
-    keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[direct].view(f"S{depth}").ravel()
-    direct = direct[np.argsort(keys)]
+    direct = np.concatenate([*_in_order(padded, np.flatnonzero(rising).astype(np.int32), depth), np.empty(0, np.int32)])
     first = text[direct]
     bounds = np.searchsorted(first, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     # The last suffix is induced by the empty one after it.
-    waiting[int(text[n - 1])].append(np.array([n - 1]))
+    waiting[int(text[n - 1])].append(np.array([n - 1], np.int32))
     out = []
+    del following, step, padded
     for byte in range(256):
         induced = []
-        fresh = np.concatenate(waiting[byte]) if waiting[byte] else np.empty(0, np.int64)
+        fresh = np.concatenate(waiting[byte]) if waiting[byte] else np.empty(0, np.int32)
+        waiting[byte] = []
         while len(fresh):
             induced.append(fresh)
             before = fresh[fresh > 0] - 1
@@ -164,117 +187,140 @@ def _runs(flags: np.ndarray, start: int, length: int) -> Iterator[tuple[int, int
 
 
 def _scanned(docs: DataFrame, spec: Repeats) -> DataFrame:
-    """Per document: size, hash of the text in two halves, its digest, anchors
-    and their strings' starts, and the anchors it has twice."""
-    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int64())
+    """Per document: size, hash of the text in two halves, its digest, its
+    distinct anchors and those that it has twice."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, halves, digests, keys, starts, twice = [], [], [], [], [], []
+        sizes, halves, digests, keys, twice = [], [], [], [], []
         for value in batch.column(1).to_pylist():
             data = (value or "").encode()
-            own, begin = anchors(data, spec)
-            distinct, counts = np.unique(own, return_counts=True)
+            distinct, counts = np.unique(anchors(data, spec)[0], return_counts=True)
             sizes.append(len(data))
             halves.append(np.frombuffer(xxhash.xxh3_128_digest(data), np.int64))
             digests.append(hashlib.sha256(data).hexdigest())
-            keys.append(own.view(np.int64))
-            starts.append(begin)
+            keys.append(distinct.view(np.int64))
             twice.append(distinct[counts > 1].view(np.int64))
         both = np.array(halves)
         columns = [pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(digests)]
-        columns += [_lists(x, t) for x, t in ((keys, longs), (starts, ints), (twice, longs))]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), *columns], ["doc_id", "n_bytes", "one", "two", "sha", "keys", "starts", "twice"]
+            [batch.column(0), *columns, _lists(keys), _lists(twice)],
+            ["doc_id", "n_bytes", "one", "two", "sha", "keys", "twice"],
         )
 
-    schema = "doc_id long, n_bytes long, one long, two long, sha string, keys array<long>, starts array<long>, twice array<long>"
+    schema = "doc_id long, n_bytes long, one long, two long, sha string, keys array<long>, twice array<long>"
     return in_batches(docs, step, schema)
 
 
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values).astype(np.int64)), type=kind)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values)))
 
 
-def _hits(scanned: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(doc_id, key, start, stop): strings whose anchor occurs elsewhere, of one
-    document per distinct text."""
-    # An anchor that a text has twice gets a second hash, as if of another text.
-    seen = scanned.select(F.explode("keys").alias("key"), "one").unionAll(
-        scanned.select(F.explode("twice").alias("key"), F.col("one").bitwiseXOR(F.lit(1)).alias("one"))
+def _wanted(scanned: DataFrame, firsts: DataFrame, spec: Repeats) -> DataFrame:
+    """(doc_id, cold, hot): the anchors that also occur elsewhere, of one
+    document per distinct text; hot ones have buckets too large for a task."""
+    # An anchor that a text has twice counts as if another document had it.
+    seen = scanned.select(F.explode("keys").alias("key"), "doc_id").unionAll(
+        scanned.select(F.explode("twice").alias("key"), (-1 - F.col("doc_id")).alias("doc_id"))
+    )
+    repeated = seen.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+    repeated = stored(repeated.where("low <> high").select("key", (F.col("n") > spec.hot).alias("is_hot")))
+    each = scanned.select("doc_id", F.explode("keys").alias("key")).join(repeated, "key").join(firsts, "doc_id")
+    return each.groupBy("doc_id").agg(
+        F.collect_list(F.when(~F.col("is_hot"), F.col("key"))).alias("cold"),
+        F.collect_list(F.when(F.col("is_hot"), F.col("key"))).alias("hot"),
     )
-    repeated = seen.groupBy("key").agg(F.min("one").alias("low"), F.max("one").alias("high"))
-    repeated = stored(repeated.where("low <> high").select("key"))
-    ends = F.slice("starts", F.lit(2), F.greatest(F.size("keys"), F.lit(1)))
-    ranges = F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("starts").alias("start"), ends.alias("stop")))
-    each = scanned.where(F.size("keys") > 0).select("doc_id", ranges.alias("at")).where("at.key is not null")
-    each = each.select("doc_id", "at.key", F.col("at.start").cast("int").alias("start"), F.col("at.stop").cast("int").alias("stop"))
-    return stored(each.join(repeated, "key").join(firsts.select("doc_id"), "doc_id"))
+
+
+def _strings(data: bytes, wanted: list[int], spec: Repeats) -> Iterator[tuple[int, int, int]]:
+    """Anchor, start and stop of the strings with one of the wanted anchors."""
+    keys, starts = anchors(data, spec)
+    keys = keys.view(np.int64)
+    for i in np.flatnonzero(np.isin(keys, np.array(wanted, np.int64))).tolist():
+        yield int(keys[i]), int(starts[i]), int(starts[i + 1])
 
 
 def _segments(texts: DataFrame, spec: Repeats) -> DataFrame:
-    """(key, doc_id, start, segment) of the buckets that one task sorts."""
+    """(key, doc_id, starts, segment): the text of a bucket that one task sorts,
+    once per document however often it is there."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
-        for doc, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            data = text.encode()
-            for r in ranges:
-                if not r["hot"]:
-                    rows.append((r["key"], doc, r["start"], data[r["start"] : r["stop"] - 1 + spec.length]))
+        for doc, data, wanted in unpacked(batch):
+            found: dict[tuple[int, bytes], list[int]] = {}
+            for key, start, stop in _strings(data, wanted, spec):
+                found.setdefault((key, data[start : stop - 1 + spec.length]), []).append(start)
+            rows += [(key, doc, starts, piece) for (key, piece), starts in found.items()]
         if not rows:
             return None
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-            ["key", "doc_id", "start", "segment"],
+            ["key", "doc_id", "starts", "segment"],
         )
 
-    return in_batches(texts, cut, "key long, doc_id long, start int, segment binary", rows=64)
+    cold = texts.where(F.size("cold") > 0).select("doc_id", "packed", "cold")
+    return in_batches(cold, cut, "key long, doc_id long, starts array<int>, segment binary", rows=64)
 
 
 def _sorted_spans(segments: DataFrame, spec: Repeats) -> DataFrame:
     """(doc_id, low, high): bytes covered by repeated strings, from suffix arrays."""
 
-    def spans(found: dict[bytes, list[tuple[int, int]]]) -> Iterator[tuple[int, int, int]]:
-        pieces = list(found)
-        if len(pieces) == 1:
-            flags = [np.zeros(len(pieces[0]) - spec.length + 1, bool)]
-            if len(pieces[0]) > spec.length:
-                flags = repeated_starts(pieces, spec.length)
-        else:
-            flags = repeated_starts(pieces, spec.length)
-        for piece, again in zip(pieces, flags, strict=True):
-            places = found[piece]
-            # Text that is there twice is repeated throughout.
-            marked = np.ones_like(again) if len(places) > 1 else again
-            for doc, start in places:
-                for low, high in _runs(marked, start, spec.length):
-                    yield doc, low, high
+    def spans(buckets: list[dict[bytes, list[tuple[int, int]]]]) -> Iterator[tuple[int, int, int]]:
+        # One string of an anchor's text has one place in it, so a bucket whose
+        # text is all the same needs no sorting.
+        pieces = [piece for found in buckets if len(found) > 1 for piece in found]
+        flags = dict(zip(pieces, repeated_starts(pieces, spec.length), strict=True)) if pieces else {}
+        covered: dict[int, list[tuple[int, int]]] = {}
+        for found in buckets:
+            for piece, places in found.items():
+                marked = flags.get(piece)
+                # Text that is there twice is repeated throughout.
+                if len(places) > 1 or marked is None:
+                    marked = np.full(len(piece) - spec.length + 1, len(places) > 1)
+                for doc, start in places:
+                    covered.setdefault(doc, []).extend(_runs(marked, start, spec.length))
+        for doc, ranges in covered.items():
+            for low, high in _united(ranges):
+                yield doc, low, high
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size, found, out = None, 0, {}, []
+        at, size, buckets, out = None, 0, [], []
         for batch in batches:
-            for key, doc, start, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != at and size > spec.array_bytes:
-                    out += spans(found)
-                    size, found = 0, {}
-                at = key
-                if piece not in found:
+            for key, doc, starts, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != at:
+                    if size > spec.array_bytes:
+                        out += spans(buckets)
+                        size, buckets = 0, []
+                    buckets.append({})
+                    at = key
+                if piece not in buckets[-1]:
                     size += len(piece)
-                found.setdefault(piece, []).append((doc, start))
+                buckets[-1].setdefault(piece, []).extend((doc, start) for start in starts)
             if out:
                 yield _spans_batch(out)
                 out = []
-        if found:
-            out += spans(found)
+        out += spans(buckets)
         if out:
             yield _spans_batch(out)
 
-    dealt = segments.repartition("key").sortWithinPartitions("key", "doc_id", "start")
+    dealt = segments.repartition("key").sortWithinPartitions("key", "doc_id")
     return dealt.mapInArrow(run, "doc_id long, low long, high long")
 
 
+def _united(ranges: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Ranges that touch or overlap, as one."""
+    low = high = -1
+    for start, stop in sorted(ranges):
+        if start > high:
+            if high >= 0:
+                yield low, high
+            low = start
+        high = max(high, stop)
+    if high >= 0:
+        yield low, high
+
+
 def _spans_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "low", "high"]
@@ -284,22 +330,21 @@ def _spans_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
 def _hot_spans(texts: DataFrame, spec: Repeats) -> DataFrame:
     """The same from shared-out buckets: each string by its 128-bit hash."""
 
-    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch] | None:
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         columns = [[], [], [], []]
-        for doc, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            data = np.frombuffer(text.encode(), np.uint8)
-            for r in ranges:
-                if r["hot"]:
-                    words = words_at(data[r["start"] : r["stop"] - 1 + spec.length])
-                    count = r["stop"] - r["start"]
-                    columns[0].append(np.full(count, doc, np.int64))
-                    columns[1].append(np.arange(r["start"], r["stop"]))
-                    columns[2].append(_hashes(words, spec.length, 2).view(np.int64))
-                    columns[3].append(_hashes(words, spec.length, 3).view(np.int64))
+        for doc, data, wanted in unpacked(batch):
+            whole = np.frombuffer(data, np.uint8)
+            for _, start, stop in _strings(data, wanted, spec):
+                words = words_at(whole[start : stop - 1 + spec.length])
+                columns[0].append(np.full(stop - start, doc, np.int64))
+                columns[1].append(np.arange(start, stop))
+                columns[2].append(_hashes(words, spec.length, 2).view(np.int64))
+                columns[3].append(_hashes(words, spec.length, 3).view(np.int64))
         if not columns[0]:
             return None
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["doc_id", "start", "one", "two"])
 
+    texts = texts.where(F.size("hot") > 0).select("doc_id", "packed", "hot")
     strings = stored(in_batches(texts, cut, "doc_id long, start long, one long, two long", rows=16))
     twice = stored(strings.groupBy("one", "two").count().where("count > 1").select("one", "two"))
     return strings.join(twice, ["one", "two"]).select(
@@ -322,17 +367,11 @@ def suffix_dedup(docs: DataFrame, spec: Repeats = Repeats(), *, key: str = "doc_
     scanned = stored(_scanned(docs, spec))
     sizes = scanned.select("doc_id", "n_bytes", "one", "two", "sha")
     same = stored(sizes.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
-    firsts = same.where(f"copies >= 1").select(F.col("first").alias("doc_id"))
-    hits = _hits(scanned, firsts)
-    hot = stored(hits.groupBy("key").count().where(F.col("count") > spec.hot).select("key", F.lit(True).alias("hot")))
-    ranges = hits.join(hot, "key", "left").groupBy("doc_id").agg(
-        F.collect_list(F.struct("key", "start", "stop", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("ranges")
-    )
-    one_each = docs.join(ranges, "doc_id").dropDuplicates(["doc_id"])
-    texts = stored(one_each.select("doc_id", "text", "ranges"))
+    wanted = _wanted(scanned, same.select(F.col("first").alias("doc_id")), spec)
+    texts = written(packed_texts(docs).join(wanted, "doc_id").dropDuplicates(["doc_id"]))
     covered = _sorted_spans(_segments(texts, spec), spec).unionAll(_hot_spans(texts, spec))
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    cut = stored(_cut(texts.select("doc_id", "text").join(spans, "doc_id")))
+    cut = stored(_cut(texts.select("doc_id", "packed").join(spans, "doc_id"), with_text))
 
     copied = (F.col("copies") > 1) & (F.col("n_bytes") >= spec.length)
     all_of_it = F.lit(hashlib.sha256(b"").hexdigest())
@@ -344,38 +383,30 @@ def suffix_dedup(docs: DataFrame, spec: Repeats = Repeats(), *, key: str = "doc_
     removed = F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0)))
     count = F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("count", F.lit(0)))
     kept = F.when(F.col("copied"), all_of_it).otherwise(F.coalesce("kept", "sha"))
-    out = found.select(
-        F.col("doc_id").alias(key), "n_bytes", removed.cast("long").alias("n_removed"),
-        count.cast("long").alias("n_spans"), kept.alias("kept_sha256"), "copied", "rest",
-    )
+    columns = [F.col("doc_id").alias(key), "n_bytes", removed.cast("long").alias("n_removed")]
+    columns += [count.cast("long").alias("n_spans"), kept.alias("kept_sha256")]
     if not with_text:
-        return out.drop("copied", "rest")
+        return found.select(*columns)
+    out = found.select(*columns, "copied", "rest")
     whole = docs.select(F.col("doc_id").alias(key), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("whole"))
     left = F.when(F.col("copied"), F.lit(b"")).otherwise(F.coalesce("rest", "whole"))
     return out.join(whole.dropDuplicates([key]), key).withColumn("kept_bytes", left).drop("copied", "rest", "whole")
 
 
-def _cut(texts: DataFrame) -> DataFrame:
+def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
     """What stays of each text without its spans."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for doc, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            data = text.encode()
+        for doc, data, spans in unpacked(batch):
             parts, at, removed, count = [], 0, 0, 0
-            # Spans that touch are one run.
-            last = -1
-            for low, high in sorted((s["low"], s["high"]) for s in spans):
-                if low > last:
-                    count += 1
-                if low > at:
-                    parts.append(data[at:low])
-                removed += max(0, high - max(low, at))
-                at = max(at, high)
-                last = max(last, high)
-            parts.append(data[at:])
-            rest = b"".join(parts)
-            rows.append((doc, removed, count, hashlib.sha256(rest).hexdigest(), rest))
+            for low, high in _united([(s["low"], s["high"]) for s in spans]):
+                parts.append(data[at:low])
+                count += 1
+                removed += high - low
+                at = high
+            rest = b"".join([*parts, data[at:]])
+            rows.append((doc, removed, count, hashlib.sha256(rest).hexdigest(), rest if with_text else None))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
