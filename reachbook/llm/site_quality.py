@@ -81,7 +81,8 @@ class Classifier:
         squares = np.full_like(self.weights, 1e-3)
         rate = np.clip(labels.mean(axis=0), 0.01, 0.99)
         self.offset = np.log(rate / (1 - rate))
-        for _ in range(max(plan.epochs, 256 * plan.least_steps // len(sets))):
+        batches = -(-len(sets) // 256)
+        for _ in range(max(plan.epochs, plan.least_steps // batches)):
             order = rng.permutation(len(sets))
             for low in range(0, len(order), 256):
                 chosen = order[low : low + 256]
