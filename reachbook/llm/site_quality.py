@@ -28,7 +28,7 @@ class Fit:
     buckets: int = 1 << 14
     epochs: int = 40
     least_steps: int = 500
-    rate: float = 0.2
+    rate: float = 0.5
     decay: float = 1e-3
     seed: int = 11
 
