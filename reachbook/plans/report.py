@@ -58,7 +58,7 @@ def ranked_media(campaign: Campaign, channel: str) -> DataFrame:
 def full_ranking(campaign: Campaign, channel: str) -> DataFrame:
     """The same rows and numbers, for reading all of them: a busy agreement is
     numbered in parts, one per rank, report columns, assigned days overdue and
-    hour of the message."""
+    minute of the message."""
     rank, number = CHANNEL_COLUMNS[channel]
     leading = [*_ranking(campaign, rank), "assigned_dpd asc nulls first"]
     return numbered_in_parts(
@@ -66,7 +66,7 @@ def full_ranking(campaign: Campaign, channel: str) -> DataFrame:
         _GROUP,
         leading,
         number,
-        coarse="date_trunc('HOUR', activity_date)",
+        coarse="date_trunc('MINUTE', activity_date)",
         skip=[rank, *_REPORT_FIRST, "assigned_dpd"],
     )
 
