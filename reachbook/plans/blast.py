@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachbook.campaign import Campaign
-from reachbook.operators.lookups import first_of_group, numbered_in_parts
+from reachbook.operators.lookups import first_of_group, numbered, numbered_in_parts
 from reachbook.plans.outcomes import first_outcomes, unique_installments
 from reachbook.plans.runs import judged, run_spans
 
@@ -39,9 +39,15 @@ def blast_enriched(campaign: Campaign) -> DataFrame:
     return _with_outcome(blast(campaign), unique_installments(campaign))
 
 
+def ordered_blasts(campaign: Campaign) -> DataFrame:
+    """Enriched blasts numbered per agreement and instalment, contacted first, as
+    a plain window: a filter on the number shrinks it to the picks."""
+    return numbered(blast_enriched(campaign), _GROUP, _CONTACTED_FIRST, "row_num", skip=["Grouped_Disposition"])
+
+
 def ranked_blasts(campaign: Campaign) -> DataFrame:
-    """Enriched blasts numbered per agreement and instalment, contacted first, in
-    parts: one per product, run and readings."""
+    """The same rows and numbers, for reading all of them: numbered in parts, one
+    per product, run and readings."""
     parts = [*_CONTACTED_FIRST, *[f"{c} asc nulls first" for c in _PARTS]]
     return numbered_in_parts(
         blast_enriched(campaign), _GROUP, parts, "row_num", skip=["Grouped_Disposition", *_PARTS]

@@ -29,10 +29,10 @@ DATASETS: dict[str, Callable[[Campaign], DataFrame]] = {
     "SR01": outcomes.pending,
     "SR1": outcomes.successful,
     "UNIK_CTR_INSTALLMENT": outcomes.unique_installments,
-    "UNIK_CTR": outcomes.ranked_agreements,
+    "UNIK_CTR": outcomes.ordered_agreements,
     "BLAST": blast.blast,
     "BLAST1": blast.blast_enriched,
-    "BLAST2": blast.ranked_blasts,
+    "BLAST2": blast.ordered_blasts,
     "FUNNEL": funnel.funnel,
     "FUNNEL1": funnel.funnel_outcome,
     "FUNNEL2": funnel.funnel_stages,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
-from reachbook.operators.lookups import first_of_group, numbered_in_parts, snapshot_lookup
+from reachbook.operators.lookups import first_of_group, numbered, numbered_in_parts, snapshot_lookup
 from reachbook.plans.runs import contacted_days, first_contacts, next_day_contact, run_spans, with_contact, with_key
 
 
@@ -56,9 +56,15 @@ _BEST_FIRST = ["newSR desc nulls last"]
 _PARTS = ("product", "angsuran", "min__pt", "max__pt", "DPD_Min", "DPD_Max", "DPD_Max_1")
 
 
+def ordered_agreements(campaign: Campaign) -> DataFrame:
+    """Outcomes numbered per agreement, the best one first, as a plain window: a
+    filter on the number shrinks it to the picks."""
+    return numbered(unique_installments(campaign), ["agreementno"], _BEST_FIRST, "rn", skip=["newSR"])
+
+
 def ranked_agreements(campaign: Campaign) -> DataFrame:
-    """Outcomes numbered per agreement, the best one first, in parts: one per
-    product, instalment, run and readings."""
+    """The same rows and numbers, for reading all of them: numbered in parts, one
+    per product, instalment, run and readings."""
     parts = [*_BEST_FIRST, *[f"{c} asc nulls first" for c in _PARTS]]
     return numbered_in_parts(
         unique_installments(campaign), ["agreementno"], parts, "rn", skip=["newSR", *_PARTS]

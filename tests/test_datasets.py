@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
-from reachbook.plans import blast, outcomes, report, runs
+from reachbook.plans import blast, funnel, outcomes, report, runs
 from reachbook.plans.datasets import DATASETS, register_views
 from tests.helpers import spark_rows
 
@@ -23,6 +23,8 @@ SAME = [
         runs.first_contacts,
     ),
     ("SELECT * FROM SRIVRPARTISI WHERE rn_ivr = 1", lambda c: report.best_of_channel(c, "IVR")),
+    ("SELECT * FROM UNIK_CTR", outcomes.ranked_agreements),
+    ("SELECT * FROM BLAST2", blast.ranked_blasts),
     ("SELECT * FROM SRWAPARTISI", lambda c: report.full_ranking(c, "WHATSAPP")),
     ("SELECT * FROM SR0 UNION ALL SELECT * FROM SR01 UNION ALL SELECT * FROM SR1", outcomes.unique_installments),
     (
@@ -47,3 +49,19 @@ def test_outcome_columns(campaign):
         "rownum", "nomor_kontrak", "osp", "DPD_Max_2", "installment_amount", "ReportDate", "Dummy", "max__pt_1",
         "no_kontrak", "agent_type", "pt", "newSR",
     ]
+
+
+# The checks against SQL compare plain forms of dates and amounts.
+def test_types(campaign):
+    days = {"min__pt", "max__pt", "max__pt_1", "ReportDate", "pt"}
+    amounts = {"TotalOSPrincipal", "Installment Amount Latest", "osp", "installment_amount"}
+    counts = {"angsuran", "DPD_Min", "DPD_Max", "DPD_Max_1", "DPD_Max_2", "SR", "rownum", "newSR", "rn"}
+    for plan in (outcomes.unique_installments, outcomes.unique_agreements, blast.best_blasts):
+        for name, kind in plan(campaign).dtypes:
+            wanted = {
+                **dict.fromkeys(days, "date"), **dict.fromkeys(amounts, "decimal(18,2)"), **dict.fromkeys(counts, "int"),
+            }.get(name, "string" if name != "row_num" else "int")
+            assert kind == wanted, (plan.__name__, name, kind)
+    kinds = dict(report.channel_report(campaign).dtypes)
+    assert (kinds["angsuran"], kinds["agreementno"], kinds["newSR"], kinds["product"]) == ("int", "bigint", "bigint", "string")
+    assert dict(funnel.funnel(campaign).dtypes)["activity_date"] == "timestamp_ntz"
