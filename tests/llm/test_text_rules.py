@@ -10,7 +10,7 @@ import pytest
 from reachbook.llm import personal_data as pd_
 from reachbook.llm import secrets
 from reachbook.llm.personal_data import Training, personal_data
-from reachbook.llm.quality_rules import Bands, Judge, base_counts, quality_rules
+from reachbook.llm.quality_rules import Bands, Judge, base_counts, quality_rules, symbols
 from reachbook.llm.secrets import redact, secret_scan
 from reachbook.llm.tagger import Shape, Tagger
 from tests.llm.helpers import by_id, documents, edge_rows, prose
@@ -70,6 +70,32 @@ def test_limits_depend_on_the_length():
     assert not judge((prose(1, 30) + " ").encode() * 200)[2]
 
 
+def test_prose_is_judged_alike_in_letters_of_one_two_and_three_bytes():
+    judge = Judge(Bands())
+    for words in (30, 60, 120, 400, 1500, 6000):
+        latin = prose(words, words)
+        repeated = (prose(1, 30) + " ") * (words // 10)
+        for first in (0x430, 0x915):
+            other = str.maketrans({chr(97 + i): chr(first + i) for i in range(26)})
+            assert judge(latin.encode())[2] and judge(latin.translate(other).encode())[2]
+            assert np.isclose(judge(latin.encode())[0], judge(latin.translate(other).encode())[0], rtol=0.05)
+            assert judge(repeated.encode())[2] == judge(repeated.translate(other).encode())[2]
+
+
+def test_symbols_of_letters_and_wide_characters():
+    assert symbols(b"plain text") == b"plain text"
+    for text, size in (("шум и шум", 9), ("aé", 2), ("अआ a", 4), ("かな", 4), ("漢字 한글", 13), ("", 0)):
+        assert len(symbols(text.encode())) == size
+    letters = "".join(chr(0x430 + i) for i in range(32)) + "abc漢"
+    codes = symbols(letters.encode())
+    assert len(codes) == 38 and len(set(codes[:35])) == 35
+
+
+def test_letters_beyond_all_bytes_stay_in_utf8():
+    text = "".join(chr(0x100 + i) for i in range(600)) * 2
+    assert 1200 < len(symbols(text.encode())) < len(text.encode())
+
+
 def plain_secrets(text: str) -> list:
     found = []
     kinds = {
