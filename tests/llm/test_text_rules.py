@@ -137,6 +137,35 @@ def test_lexer_leaves_harmless_text_alone(text):
     assert secrets.find_secrets(text)[1] == []
 
 
+SECRET_FORMS = (
+    'db_password: str = "%s"', 'var apiSecret string = "%s"', 'let apiSecret: string | null = "%s"', "const SECRET: &'static str = \"%s\";",
+    'password: Optional[Dict[str, int]] = "%s"', 'char password[64] = "%s";', 'Dim password As String = "%s"', "DECLARE @password NVARCHAR(50) = N'%s'",
+    'TOKEN = b"%s"', "token = rb'%s'", '"api_secret": u8"%s"', 'password = r#"%s"#', 'password = """%s"""', "password = '''%s'''",
+    'os.environ["API_SECRET"] = "%s"', "config['db']['password'] = '%s'", 'headers["auth-token"] => "%s"', 'f(x: int, password="%s")',
+)
+
+
+@pytest.mark.parametrize("literal", ["h7Gk29!xQ_pz31", "k9#Lm2!q"])
+@pytest.mark.parametrize("form", SECRET_FORMS)
+def test_lexer_pairs_declared_names_with_their_literals(form, literal):
+    text = form % literal
+    base, added = secrets.find_secrets(text)
+    assert ("literal", text.index(literal), text.index(literal) + len(literal)) in added
+    masked = redact(text)
+    assert "[SECRET]" in masked and literal not in masked and literal[-4:] not in masked
+
+
+@pytest.mark.parametrize("text", ['secrets["count"] = "h7Gk29!xQ_pz31"', "the token: we have id = h7Gk29!xQ_pz31", 'max_length: int = 123456789', 'password: str = "abc-defg"'])
+def test_types_and_subscripts_make_no_secret_of_harmless_names(text):
+    assert redact(text) == text
+
+
+def test_short_literals_must_be_mixed():
+    scoring = secrets.Scoring()
+    assert secrets.strength("k9#Lm2!q", scoring) >= scoring.least
+    assert all(secrets.strength(x, scoring) < scoring.least for x in ("k9#Lm2!", "abcd1234", "aaaaaaB1", "my-field", "changeMe1"))
+
+
 def plain_personal(text: str) -> list:
     def luhn(number):
         values = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(number))]
