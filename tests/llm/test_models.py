@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from reachbook.llm.language_id import BITS, Alphabet, Model, Plan, grams, language_id
+from reachbook.llm.language_id import BITS, Alphabet, Model, Plan, grams, language_id, learn, score_grams, wide_grams
 from reachbook.llm.site_quality import site_quality
 from tests.llm.helpers import by_id, documents, edge_rows, prose
 
@@ -49,6 +49,51 @@ def test_symbols():
     assert len(grams(alphabet("ab"), 3)) == 3
 
 
+def test_letters_of_one_script_stay_apart():
+    alphabet = Alphabet()
+    han = "".join(chr(0x4E00 + i) for i in range(20_000))
+    for letters in (han, "".join(chr(0xAC00 + i) for i in range(11_172)), "ßśåšóů"):
+        assert len(set(alphabet(letters).tolist())) == len(letters) + 1
+    assert len(set(zip(*wide_grams(alphabet(han), 5), strict=True))) == len(han) + 1
+
+
+def test_tables_hold_what_a_model_in_memory_does(spark):
+    rows = [(lang, *pair) for lang in SYLLABLES for _, t, own, _ in labelled(8) if own == lang
+            for pair in zip(*wide_grams(Alphabet()(t), 3), strict=True)]
+    grams_of = spark.createDataFrame([(x, int(a), int(b)) for x, a, b in rows], "label string, high long, low long")
+    counts = grams_of.groupBy("label", "high", "low").count().withColumnRenamed("count", "n")
+    wanted = grams_of.select("high", "low").distinct()
+    languages = sorted(SYLLABLES)
+    found = score_grams(wanted, learn(counts, 3), languages).collect()
+    keys = np.array([r.low for r in found])
+    assert len(keys) == wanted.count()
+    for number, lang in enumerate(languages):
+        own = np.array([b for x, _, b in rows if x == lang], np.int64)
+        model = Model.learn(*np.unique(own, return_counts=True), 3)
+        assert np.allclose([r.logs[number] for r in found], model.score(keys), atol=1e-3)
+
+
+def test_han_characters_that_shared_a_class_tell_languages_apart(spark):
+    # Letters of both languages fall into the same 101 classes of the former alphabet.
+    classes: dict[int, list[int]] = {}
+    for point in range(0x4E00, 0x4E00 + 8000):
+        classes.setdefault((point * 2654435761 >> 9) % 101, []).append(point)
+    pairs = [points[:2] for points in classes.values() if len(points) > 1][:60]
+    rows = []
+    for i in range(160):
+        pick = np.random.default_rng(i).integers(0, len(pairs), 80)
+        rows.append((i, "".join(chr(pairs[x][i % 2]) for x in pick), ("zh", "ja")[i % 2], "s"))
+    found = by_id(language_id(documents(spark, rows), plan=Plan(part=2000, bucket=50)))
+    held_out = [(doc, lang) for doc, _, lang, _ in rows if found[doc].held_out]
+    assert held_out and all(found[doc].lang_pred == lang for doc, lang in held_out)
+
+
+def test_parts_and_ranges_change_nothing(spark):
+    rows = labelled(20)
+    one, other = (by_id(language_id(documents(spark, rows), plan=p)) for p in (Plan(), Plan(part=700, bucket=40, buffer=100)))
+    assert {i: (r.lang_pred, round(r.bits, 4)) for i, r in one.items()} == {i: (r.lang_pred, round(r.bits, 4)) for i, r in other.items()}
+
+
 def test_held_out_accuracy(spark):
     rows = labelled(60)
     found = by_id(language_id(documents(spark, rows)))
