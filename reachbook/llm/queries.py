@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reachbook.llm.common import table
+from reachbook.llm.fill_middle import fill_middle, restored
 from reachbook.llm.jaccard import Join, jaccard_components
 from reachbook.llm.language_id import language_id
+from reachbook.llm.line_dedup import line_dedup
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
 from reachbook.llm.personal_data import personal_data
@@ -60,6 +63,18 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,8 +88,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_site_quality,
         op9_jaccard_join,
         op10_best_two_fit,
+        op11_line_dedup,
+        op13_fill_middle,
     )
 }
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_LINE_DEDUP = f"""
+with docs as (
+    select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), line as (
+    select r, unnest(lines) as line, unnest(range(len(lines))) as i from docs
+), keyed as (
+    select r, i, line,
+        trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_BLANKS}) as k
+    from line
+), frequent as (
+    select k from keyed where k <> '' group by k having count(distinct r) >= 10
+), kept as (
+    select r, string_agg(line, chr(10) order by i) as text, count(*) as n
+    from keyed where k not in (select k from frequent) group by r
+)
+select doc_id, cast(len(lines) as bigint) as n_lines, cast(len(lines) - coalesce(n, 0) as bigint) as n_dropped,
+    sha256(coalesce(kept.text, '')) as kept_sha256
+from docs left join kept using (r)
+"""
+
+_TOKENS = "[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+"
+
+_FILL_MIDDLE = f"""
+with docs as (
+    select doc_id, coalesce(text, '') as text, sha256('42:' || cast(doc_id as varchar)) as h,
+        regexp_extract_all(coalesce(text, ''), '{_TOKENS}') as tokens
+    from documents
+), drawn as (
+    select *, cast(len(tokens) as bigint) as n,
+        cast('0x' || h[1:8] as ubigint) as h1, cast('0x' || h[9:16] as ubigint) as h2,
+        cast('0x' || h[17:24] as ubigint) as h3, cast('0x' || h[25:32] as ubigint) as h4
+    from docs
+), cut as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50
+            then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form
+    from drawn
+), parts as (
+    select *, array_to_string(tokens[1:a], '') as prefix, array_to_string(tokens[a + 1:b], '') as middle,
+        array_to_string(tokens[b + 1:n], '') as suffix
+    from cut
+)
+select doc_id, n, form,
+    case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+    case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(text) as restored_sha256
+from parts
+"""
+
 #: DuckDB SQL by query, where SQL can express it.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_line_dedup": _LINE_DEDUP, "op13_fill_middle": _FILL_MIDDLE}
