@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachbook.llm.collocations import collocations
 from reachbook.llm.common import table
 from reachbook.llm.fill_middle import fill_middle, restored
 from reachbook.llm.jaccard import Join, jaccard_components
@@ -68,6 +69,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle(table(spark, sf_dir, "documents")).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars",
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jaccard_join,
         op10_best_two_fit,
         op11_line_dedup,
+        op12_collocations,
         op13_fill_middle,
     )
 }
@@ -115,6 +121,48 @@ select doc_id, cast(len(lines) as bigint) as n_lines, cast(len(lines) - coalesce
 from docs left join kept using (r)
 """
 
+_COLLOCATIONS = """
+with docs as (
+    select coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+    from documents
+), piece as (
+    select lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) as p from docs
+), word as (
+    select lang, list_filter(string_split_regex(p, '[\\x20\\x09]+'), lambda x: x <> '') as w from piece
+), total as (
+    select lang, cast(sum(len(w)) as bigint) as n from word group by lang
+), gram as (
+    select lang, words, unnest(list_transform(range(1, len(w) - words + 2), lambda i: array_to_string(w[i:i + words - 1], ' '))) as phrase
+    from word, unnest([1, 2, 3, 4]) as sizes(words)
+), counted as (
+    select lang, words, phrase, count(*) as f from gram group by all having count(*) >= 30
+), split as (
+    select lang, words, phrase, f, string_split(phrase, ' ') as w from counted
+), cut as (
+    select lang, words, phrase, f as a, w, unnest(range(1, words)) as k from split where words > 1
+), scored as (
+    select c.lang, c.phrase, c.a, c.k, h.f as l, t.f as r,
+        (cast(2000000 as hugeint) * c.a) // (cast(h.f as hugeint) + t.f) as score
+    from cut c
+    join counted h on h.lang = c.lang and h.phrase = array_to_string(c.w[1:c.k], ' ')
+    join counted t on t.lang = c.lang and t.phrase = array_to_string(c.w[c.k + 1:c.words], ' ')
+), lowest as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_phrase as (
+    select lang, f, unnest(list_transform(range(1, words - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+    from split, unnest([2, 3]) as sizes(size) where size < words
+), longer as (
+    select lang, phrase, max(f) as f from inner_phrase group by all
+), ranked as (
+    select s.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from lowest s left join longer using (lang, phrase)
+    where longer.f is null or cast(100 as hugeint) * longer.f < cast(80 as hugeint) * a
+)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score
+from ranked join total using (lang) where rank <= 2000
+"""
+
 _TOKENS = "[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+"
 
 _FILL_MIDDLE = f"""
@@ -147,4 +195,4 @@ from parts
 """
 
 #: DuckDB SQL by query, where SQL can express it.
-ORACLE_SQL: dict[str, str] = {"op11_line_dedup": _LINE_DEDUP, "op13_fill_middle": _FILL_MIDDLE}
+ORACLE_SQL: dict[str, str] = {"op11_line_dedup": _LINE_DEDUP, "op12_collocations": _COLLOCATIONS, "op13_fill_middle": _FILL_MIDDLE}
