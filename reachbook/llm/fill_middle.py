@@ -33,7 +33,8 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 class Infill:
     """Marks of prefix, suffix and middle; the seed of the draws; how many of a
     hundred texts stay plain, and how many of a hundred others have their suffix
-    first. Chunks have `least` to `most` bytes and end on average `1 << bits`
+    first. No mark may begin with the end of another one or of itself, or an output
+    could be read in two ways. Chunks have `least` to `most` bytes and end on average `1 << bits`
     bytes after the least; their counts are kept up to `memory` bytes of chunks."""
 
     prefix: str = "<P>"
@@ -222,7 +223,7 @@ def fill_middle(docs: DataFrame, *, how: Infill = Infill(), key: str = "doc_id",
 
 def restored(form: str = "form", output: str = "output", how: Infill = Infill()) -> Column:
     """The text that an output was made of, from its form and its marks."""
-    cuts = "|".join("\\Q" + m + "\\E" for m in how.marks)
+    cuts = "|".join(re.escape(m) for m in how.marks)
     parts = F.split(output, cuts, -1)
     first, second, last = (F.get(parts, F.lit(i)) for i in (1, 2, 3))
     return (

@@ -184,7 +184,7 @@ def _asked(parts: DataFrame, count: int, rule: Rule) -> DataFrame:
             places, prints = (np.concatenate(c) for c in zip(*found, strict=True))
             places, prints, times = summed(places, prints, np.ones(len(places), np.uint32))
             for shard, a, b in shards.runs(shards.shard_of(places, count)):
-                packed = shards.pack_numbers(places[a:b], True), prints[a:b].tobytes(), shards.pack_numbers(times[a:b])
+                packed = shards.pack_numbers(places[a:b], True), prints[a:b].tobytes(), shards.pack_numbers(times[a:b].astype(np.uint32))
                 yield shards.one_row(_NAMES, _KINDS, (shard, 1, part.part, *packed))
 
     return written(parts.select("part", "ids", "labels", "sizes", "packed").mapInArrow(run, _ASKED))
