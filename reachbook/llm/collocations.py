@@ -49,7 +49,7 @@ class Rule:
     within_percent: int = 80
     scale: int = 2_000_000
     top: int = 2000
-    part: int = 1 << 24
+    part: int = 1 << 23
     mass: int = 1 << 24
 
 
@@ -80,9 +80,11 @@ class Words:
 
 @dataclass
 class Level:
-    """The distinct n-grams of one size in a text: word numbers, hash, count."""
+    """The distinct n-grams of one size in a text: the number of their first words
+    in the level below, their last word, their hash and count."""
 
-    words: np.ndarray
+    shorter: np.ndarray
+    word: np.ndarray
     hashes: np.ndarray
     counts: np.ndarray
 
@@ -92,21 +94,20 @@ def levels_of(numbers: np.ndarray, word_hashes: np.ndarray, most: int) -> Iterat
     n_words = len(word_hashes)
     fresh = numbers != 0
     known, at, counts = np.unique(numbers[fresh], return_inverse=True, return_counts=True)
-    level = Level(known[:, None].astype(np.int32), mix(word_hashes[known] + np.uint64(1)), counts)
-    yield level
-    own = np.zeros(len(numbers), np.int64)
+    hashes = mix(word_hashes[known] + np.uint64(1))
+    yield Level(np.empty(0, np.int32), known.astype(np.int32), hashes, counts.astype(np.uint32))
+    own = np.zeros(len(numbers), np.int32)
     own[fresh] = at
     for size in range(2, most + 1):
         # An n-gram is one word shorter, and a word more.
         last = numbers[size - 1 :]
         fresh = fresh[: len(last)] & (last != 0)
-        pairs = own[: len(last)][fresh] * n_words + last[fresh]
+        pairs = own[: len(last)][fresh].astype(np.int64) * n_words + last[fresh]
         known, at, counts = np.unique(pairs, return_inverse=True, return_counts=True)
         shorter, word = known // n_words, known % n_words
-        hashes = mix(level.hashes[shorter] * np.uint64(0x9E3779B97F4A7C15) + word_hashes[word] + np.uint64(size))
-        level = Level(np.column_stack([level.words[shorter], word.astype(np.int32)]), hashes, counts)
-        yield level
-        own = np.zeros(len(last), np.int64)
+        hashes = mix(hashes[shorter] * np.uint64(0x9E3779B97F4A7C15) + word_hashes[word] + np.uint64(size))
+        yield Level(shorter.astype(np.int32), word.astype(np.int32), hashes, counts.astype(np.uint32))
+        own = np.zeros(len(last), np.int32)
         own[fresh] = at
 
 
@@ -127,7 +128,7 @@ class Summary:
         counters = np.concatenate([self.counters, *(n for _, n in others)])
         order = np.argsort(codes, kind="stable")
         codes, counters = codes[order], counters[order]
-        starts = np.flatnonzero(np.concatenate([np.ones(1, bool), codes[1:] != codes[:-1]])) if len(codes) else []
+        starts = _firsts(codes)
         codes = codes[starts]
         counters = np.add.reduceat(counters, starts) if len(starts) else counters
         if len(codes) > self.capacity:
@@ -154,29 +155,60 @@ class PartGrams:
         for label, text in zip(part.labels, part.texts(), strict=True):
             by_label.setdefault(label, []).extend(words(text))
         self.names = list(words.numbers)
+        del words
         seen = np.fromiter(map(xxhash.xxh3_64_intdigest, self.names), np.uint64, len(self.names))
         self.levels: dict[str, list[Level]] = {}
-        self.codes: dict[str, list[np.ndarray]] = {}
         for label in sorted(by_label):
             salt = np.uint64(xxhash.xxh3_64_intdigest(label.encode(), 1))
             numbers = np.concatenate(by_label.pop(label))
             self.levels[label] = list(levels_of(numbers, mix(seen ^ salt), most))
-            self.codes[label] = [
-                shards.shard_of(x.hashes, partitions) << np.uint64(32) | x.hashes & np.uint64(0xFFFFFFFF)
-                for x in self.levels[label]
-            ]
+            for level in self.levels[label]:
+                level.hashes = shards.shard_of(level.hashes, partitions) << np.uint64(32) | level.hashes & np.uint64(0xFFFFFFFF)
+
+    def asked(self) -> np.ndarray:
+        """Codes in order, each once."""
+        codes = np.sort(np.concatenate([x.hashes for own in self.levels.values() for x in own]))
+        return codes[_firsts(codes)]
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
         """Codes in order, each once, with their counts."""
-        codes = np.concatenate([c for own in self.codes.values() for c in own])
+        codes = np.concatenate([x.hashes for own in self.levels.values() for x in own])
         counts = np.concatenate([x.counts for own in self.levels.values() for x in own])
         order = np.argsort(codes)
         codes, counts = codes[order], counts[order]
-        starts = np.flatnonzero(np.concatenate([np.ones(1, bool), codes[1:] != codes[:-1]])) if len(codes) else []
-        return codes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+        starts = _firsts(codes)
+        return codes[starts], np.add.reduceat(counts, starts, dtype=np.int64) if len(starts) else counts
 
-    def asked(self) -> np.ndarray:
-        return np.unique(np.concatenate([c for own in self.codes.values() for c in own]))
+    def kept(self, bits: np.ndarray) -> Iterator[tuple[str, int, Level, np.ndarray]]:
+        """Per language and size, the n-grams whose codes have their bit set; bits
+        are in the order asked."""
+        codes = np.concatenate([x.hashes for own in self.levels.values() for x in own])
+        order = np.argsort(codes)
+        first = np.zeros(len(codes), np.int32)
+        first[_firsts(codes[order])] = 1
+        stays = np.empty(len(codes), bool)
+        stays[order] = bits[np.cumsum(first) - 1]
+        at = 0
+        for label, levels in self.levels.items():
+            for size, level in enumerate(levels, 1):
+                yield label, size, level, np.flatnonzero(stays[at : at + len(level.hashes)])
+                at += len(level.hashes)
+
+    def phrases(self, label: str, size: int, chosen: np.ndarray) -> list[bytes]:
+        """The words of some n-grams of a size, by their numbers."""
+        columns = []
+        for level in self.levels[label][size - 1 :: -1]:
+            columns.insert(0, [self.names[i] for i in level.word[chosen].tolist()])
+            if len(level.shorter):
+                chosen = level.shorter[chosen]
+        return list(map(b" ".join, zip(*columns, strict=True)))
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Places of values that differ from the one before."""
+    if not len(ordered):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.concatenate([np.ones(1, bool), ordered[1:] != ordered[:-1]]))
 
 
 _SENT = "shard long, kind int, part long, mass long, codes binary, counts binary"
@@ -290,16 +322,12 @@ def exact_counts(parts: DataFrame, found: DataFrame, partitions: int, rule: Rule
 
 
 def _phrases(part: PartGrams, bits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    asked = part.asked()
-    kept = np.concatenate(bits) if bits else np.empty(0, bool)
     for label, levels in part.levels.items():
         yield _counted(label, 0, [None], np.array([levels[0].counts.sum()]))
-        for size, (level, codes) in enumerate(zip(levels, part.codes[label], strict=True), 1):
-            chosen = np.flatnonzero(kept[np.searchsorted(asked, codes)]) if len(codes) else codes
-            for start in range(0, len(chosen), 10_000):
-                own = chosen[start : start + 10_000]
-                columns = [[part.names[i] for i in c] for c in level.words[own].T.tolist()]
-                yield _counted(label, size, list(map(b" ".join, zip(*columns, strict=True))), level.counts[own])
+    for label, size, level, chosen in part.kept(np.concatenate([np.empty(0, bool), *bits])):
+        for start in range(0, len(chosen), 10_000):
+            own = chosen[start : start + 10_000]
+            yield _counted(label, size, part.phrases(label, size, own), level.counts[own])
 
 
 def _counted(label: str, size: int, phrases: list[bytes | None], counts: np.ndarray) -> pa.RecordBatch:
