@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reachbook.campaign import Campaign
 from reachbook.operators.lookups import first_of_group, numbered, numbered_in_parts
 from reachbook.plans.outcomes import first_outcomes, unique_installments
-from reachbook.plans.runs import judged, run_spans
+from reachbook.plans.runs import judged
 
 ORDER = (
     "agreementno", "product", "angsuran", "min__pt", "max__pt", "Grouped_Disposition", "DPD_Min", "DPD_Max",
@@ -24,7 +24,7 @@ _PARTS = ("product", "min__pt", "max__pt", "DPD_Min", "DPD_Max", "DPD_Max_1")
 
 def blast(campaign: Campaign) -> DataFrame:
     """Run outcomes per contact group, for the message channels only."""
-    return judged(campaign, run_spans(campaign, by_contact=True)).select(*[f"`{c}`" for c in ORDER])
+    return judged(campaign, by_contact=True).select(*[f"`{c}`" for c in ORDER])
 
 
 def _with_outcome(blasts: DataFrame, outcomes: DataFrame) -> DataFrame:

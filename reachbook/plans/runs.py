@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reachbook.campaign import Campaign
 from reachbook.functions import classify
@@ -49,14 +50,18 @@ def qualified_messages(campaign: Campaign) -> DataFrame:
     )
 
 
-def run_spans(campaign: Campaign, by_contact: bool = False) -> DataFrame:
-    """First and last message day per agreement, product and instalment, and by
-    contact group if asked.
+def _splits(campaign: Campaign, by_contact: bool) -> list[tuple[str, str | None]]:
+    """The kinds of runs: one per product, and per contact group if asked."""
+    groups = (classify.CONTACTED, classify.UNCONTACTED) if by_contact else (None,)
+    return [(product, group) for product in campaign.products for group in groups]
 
-    Messages first shrink to one row per agreement and day, with one flag per
-    product (and contact group). That aggregate is laid out on the join's own
-    keys, so the join reads it without another shuffle and a flood of messages
-    to one agreement is gone before it.
+
+def _message_days(campaign: Campaign, by_contact: bool) -> DataFrame:
+    """One row per agreement and day, with a flag per kind of run its messages count for.
+
+    That aggregate is laid out on the keys of the joins that follow, so they read
+    it without another shuffle and a flood of messages to one agreement is gone
+    before it.
     """
     channels = campaign.message_channels if by_contact else campaign.run_channels
     messages = campaign.messages.where(
@@ -64,23 +69,28 @@ def run_spans(campaign: Campaign, by_contact: bool = False) -> DataFrame:
         & filters.in_products(campaign.products, stored=True)
         & filters.positive_dpd()
     )
-    groups = (classify.CONTACTED, classify.UNCONTACTED) if by_contact else (None,)
-    splits = [(product, group) for product in campaign.products for group in groups]
-
     flags = []
-    for i, (product, group) in enumerate(splits):
+    for i, (product, group) in enumerate(_splits(campaign, by_contact)):
         member = F.col("product") == product
         if group:
             member = member & (classify.grouped_disposition() == group)
         flags.append(F.max(member).alias(f"_in{i}"))
-    days = messages.groupBy("agreementno", "pt").agg(*flags)
+    return messages.groupBy("agreementno", "pt").agg(*flags)
+
 
+def run_spans(campaign: Campaign, by_contact: bool = False) -> DataFrame:
+    """First and last message day per agreement, product and instalment, and by
+    contact group if asked."""
+    splits = _splits(campaign, by_contact)
     spans = []
     for i, _ in enumerate(splits):
         day = F.when(F.col(f"_in{i}"), F.col("pt"))
         spans += [F.min(day).alias(f"_first{i}"), F.max(day).alias(f"_last{i}")]
     instalments = (
-        days.join(_serving_snapshots(campaign), _serves_message()).groupBy("agreementno", "angsuran").agg(*spans)
+        _message_days(campaign, by_contact)
+        .join(_serving_snapshots(campaign), _serves_message())
+        .groupBy("agreementno", "angsuran")
+        .agg(*spans)
     )
 
     runs = []
@@ -100,6 +110,106 @@ def run_spans(campaign: Campaign, by_contact: bool = False) -> DataFrame:
     )
 
 
+# What the loan book says of an agreement around a message day: the day before,
+# the day itself, the day after, and the columns each is asked for.
+_BEFORE, _ON, _AFTER = -1, 0, 1
+_ASKED = {
+    _BEFORE: ("DaysOverDueTolerance", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus"),
+    _ON: ("DaysOverDueTolerance",),
+    _AFTER: ("DaysOverDueTolerance", "TotalOSPrincipal", "Installment Amount Latest", "AgreementNo", "ReportDate"),
+}
+_SIDES = {_BEFORE: "_before", _ON: "_on", _AFTER: "_after"}
+# Rows that equal ones turn into at once.
+BLOCK = 10_000
+
+
+def _read_days(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) -> DataFrame:
+    """Message days with the loan book around them, in one join.
+
+    A message day asks for up to three days of its agreement. Snapshots that say
+    the same become one entry with a number of copies, before they are shuffled,
+    so loading a snapshot many times costs one entry. A day then holds one short
+    list per side, and the instalments whose runs it starts or extends.
+    """
+    text = {f.name for f in campaign.snapshots.schema if isinstance(f.dataType, T.StringType)}
+    names = list(dict.fromkeys(c for side in sides for c in _ASKED[side]))
+    book = campaign.snapshots.select(
+        F.col("agreement_key").alias("_key"),
+        F.col("AgreementNo").alias("_stored"),
+        F.col("ReportDate").alias("_reported"),
+        "angsuran",
+        filters.status_normal().alias("_normal"),
+        *[(F.col(f"`{c}`").cast("string") if c in text else F.col(f"`{c}`")).alias(f"_{c}") for c in names],
+    )
+    days = _message_days(campaign, by_contact)
+    flags = [c for c in days.columns if c.startswith("_in")]
+    wanted = days.select(
+        "*", F.trim("agreementno").alias("agreement_key"), F.explode(F.array(*[F.lit(s) for s in sides])).alias("_side")
+    )
+    wanted = wanted.withColumn("_day", F.date_add("pt", F.col("_side")))
+    met = wanted.join(book, (F.col("agreement_key") == F.col("_key")) & (F.col("_day") == F.col("_reported")))
+    # Runs match the stored agreement number, leading blanks included.
+    serves = (F.col("_side") == _BEFORE) & F.col("_normal") & (F.col("_stored") == F.col("agreementno"))
+    # A side's other readings are left out, so they tell no entries apart.
+    asking = {c: [side for side in sides if c in _ASKED[side]] for c in names}
+    entries = met.select(
+        "agreementno",
+        "pt",
+        *flags,
+        "_side",
+        F.when(serves, F.struct("angsuran")).alias("_serves"),
+        *[F.when(F.col("_side").isin(own), F.col(f"`_{c}`")).alias(f"_{c}") for c, own in asking.items()],
+    )
+    entries = entries.groupBy(*[f"`{c}`" for c in entries.columns]).agg(F.count("*").alias("_copies"))
+    lists = [F.collect_set("_serves").alias("_serves")]
+    for side in sides:
+        entry = F.struct(*[F.col(f"`_{c}`").alias(c) for c in _ASKED[side]], "_copies")
+        lists.append(F.collect_list(F.when(F.col("_side") == side, entry)).alias(_SIDES[side]))
+    return entries.groupBy("agreementno", "pt", *flags).agg(*lists)
+
+
+def _read_runs(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) -> DataFrame:
+    """Runs with what the loan book says around their first and last message day.
+    The lists come with the days that the spans pick, so nothing is joined again."""
+    days = _read_days(campaign, by_contact, sides).withColumn("_served", F.explode("_serves"))
+    splits = _splits(campaign, by_contact)
+    spans = []
+    for i, _ in enumerate(splits):
+        inside = F.col(f"_in{i}")
+        spans.append(F.min(F.when(inside, F.struct("pt", "_before"))).alias(f"_first{i}"))
+        spans.append(F.max(F.when(inside, F.struct("pt", *[_SIDES[s] for s in sides]))).alias(f"_last{i}"))
+    instalments = days.groupBy("agreementno", F.col("_served.angsuran").alias("angsuran")).agg(*spans)
+    runs = []
+    for i, (product, group) in enumerate(splits):
+        first, last = F.col(f"_first{i}"), F.col(f"_last{i}")
+        fields = [F.lit(product).alias("product"), first["pt"].alias("min__pt"), last["pt"].alias("max__pt")]
+        if group:
+            fields.append(F.lit(group).alias("Grouped_Disposition"))
+        fields += [first["_before"].alias("_p"), last["_before"].alias("_r"), last["_on"].alias("_w")]
+        if _AFTER in sides:
+            fields.append(last["_after"].alias("_n"))
+        runs.append(F.struct(*fields))
+    shown = ["agreementno", "run.product", "angsuran", "run.min__pt", "run.max__pt"]
+    shown += ["run.Grouped_Disposition"] * by_contact + ["run._p", "run._r", "run._w"] + ["run._n"] * (_AFTER in sides)
+    return (
+        instalments.select("agreementno", "angsuran", F.explode(F.array(*runs)).alias("run"))
+        .where(F.col("run.min__pt").isNotNull())
+        .select(*shown)
+    )
+
+
+def _one_by_one(df: DataFrame, lists: dict[str, str]) -> DataFrame:
+    """A row per entry of each list (name: name of the entry), and one with no
+    entry where a list is empty; entries with copies give as many rows."""
+    for name, entry in lists.items():
+        df = df.withColumn(entry, F.explode_outer(name))
+    copies = " * ".join(f"coalesce({entry}._copies, 1)" for entry in lists.values())
+    # In blocks, so no row holds a number per copy of a huge group.
+    blocks = df.withColumn("_copies", F.expr(copies)).withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {BLOCK})")))
+    left = f"least(_copies - _block * {BLOCK}, {BLOCK})"
+    return blocks.withColumn("_copy", F.explode(F.expr(f"sequence(1, {left})"))).drop(*lists, "_copies", "_block", "_copy")
+
+
 def with_key(runs: DataFrame) -> DataFrame:
     return runs.withColumn("agreement_key", F.trim("agreementno"))
 
@@ -122,20 +232,48 @@ def on_last(campaign: Campaign, runs: DataFrame) -> DataFrame:
     return snapshot_lookup(runs, campaign.snapshots, F.col("max__pt"), {"DPD_Max_1": "DaysOverDueTolerance"})
 
 
-def judged(campaign: Campaign, runs: DataFrame) -> DataFrame:
-    """Runs with their loan-book readings, area, success flag and sequence."""
-    looked_up = on_last(campaign, before_last(campaign, before_first(campaign, with_key(runs))))
+def judged(campaign: Campaign, by_contact: bool = False, *, next_day: bool = False) -> DataFrame:
+    """Runs with their loan-book readings, area, success flag and sequence; with
+    `_n`, the readings of the day after, if asked.
+
+    The loan book is read and joined once, whatever the number of lookups.
+    """
+    runs = _read_runs(campaign, by_contact, (_BEFORE, _ON, _AFTER) if next_day else (_BEFORE, _ON))
+    read = _one_by_one(runs, {"_p": "p", "_r": "r", "_w": "w"})
+    readings = {
+        "DPD_Min": "p.DaysOverDueTolerance",
+        "DPD_Max": "r.DaysOverDueTolerance",
+        "DPD_Max_1": "w.DaysOverDueTolerance",
+        "TotalOSPrincipal": "p.TotalOSPrincipal",
+        "Installment Amount Latest": "p.`Installment Amount Latest`",
+        "DefaultStatus": "p.DefaultStatus",
+    }
+    shown = [c for c in runs.columns if c not in ("_p", "_r", "_w")]
+    looked_up = read.select(
+        F.trim("agreementno").alias("agreement_key"), *shown, *[_as_in_book(campaign, v, k) for k, v in readings.items()]
+    )
     placed = area_lookup(looked_up, campaign.month_end_areas)
-    readings = [f"`{c}`" for c in READINGS]
-    flagged = placed.select("agreement_key", *runs.columns, *readings, classify.run_success("DPD_Max_1").alias("SR"))
+    keys = ["agreement_key", *[c for c in shown if c != "_n"]]
+    flagged = placed.select(
+        *keys, *[f"`{c}`" for c in READINGS], classify.run_success("DPD_Max_1").alias("SR"), *["_n"] * next_day
+    )
+    # Runs that share a list of the next day are one run.
     return numbered(
-        flagged, ["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum", skip=["max__pt"]
+        flagged, ["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum", skip=["max__pt", "_n"]
     )
 
 
+def _as_in_book(campaign: Campaign, value: str, name: str):
+    """A reading under its name, text with the collation it has in the loan book."""
+    column = F.col(value)
+    field = value.split(".")[-1]
+    kind = campaign.snapshots.schema[field].dataType if field in campaign.snapshots.columns else None
+    return (column.cast(kind) if isinstance(kind, T.StringType) and kind != T.StringType() else column).alias(name)
+
+
 def run_outcome(campaign: Campaign) -> DataFrame:
     """One row per run (more where snapshots are doubled): readings, area, SR."""
-    return judged(campaign, run_spans(campaign)).drop("agreement_key")
+    return judged(campaign).drop("agreement_key")
 
 
 def next_day_snapshot(campaign: Campaign) -> DataFrame:
@@ -145,14 +283,17 @@ def next_day_snapshot(campaign: Campaign) -> DataFrame:
 
 def _next_day(campaign: Campaign) -> DataFrame:
     columns = {
-        "nomor_kontrak": "AgreementNo",
-        "osp": "TotalOSPrincipal",
-        "DPD_Max_2": "DaysOverDueTolerance",
-        "installment_amount": "Installment Amount Latest",
-        "ReportDate": "ReportDate",
+        "nomor_kontrak": "n.AgreementNo",
+        "osp": "n.TotalOSPrincipal",
+        "DPD_Max_2": "n.DaysOverDueTolerance",
+        "installment_amount": "n.`Installment Amount Latest`",
+        "ReportDate": "n.ReportDate",
     }
-    runs = judged(campaign, run_spans(campaign))
-    looked_up = snapshot_lookup(runs, campaign.snapshots, day_after("max__pt"), columns)
+    runs = judged(campaign, next_day=True)
+    shown = [f"`{c}`" for c in runs.columns if c != "_n"]
+    looked_up = _one_by_one(runs, {"_n": "n"}).select(
+        *shown, *[_as_in_book(campaign, value, name) for name, value in columns.items()]
+    )
     # A missing instalment number leaves just the agreement number.
     label = F.concat_ws("", "agreementno", F.col("angsuran").cast("string"))
     return looked_up.withColumns({"Dummy": label, "max__pt_1": day_after("max__pt")})

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_points
 from pyspark.sql import functions as F
 
 from reachbook import AsOf, Campaign
-from reachbook.plans import funnel, outcomes, report, runs
+from reachbook.plans import blast, funnel, outcomes, report, runs
 from tests.helpers import random_tables, write_tables
 
 AS_OF = AsOf.at("2024-03-20 12:00:00")
@@ -127,3 +127,27 @@ def test_unused_columns_are_not_read(stored):
     plan = plan_of(runs.run_spans(stored))
     assert "ReadSchema: struct<agreementno:string,product:string,assigned_dpd:string,agent_type:string,pt:date>" in plan
     assert "TotalOSPrincipal" not in plan
+
+
+@pytest.mark.parametrize(
+    "plan",
+    [
+        runs.run_outcome, runs.next_day_snapshot, runs.next_day_contact, outcomes.unique_installments,
+        outcomes.unique_agreements, blast.blast,
+    ],
+)
+def test_runs_read_and_join_the_loan_book_once(stored, spark, plan):
+    """However many days around a run they look up."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        text = plan_of(plan(stored))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in text.splitlines() if "FileScan" in line and "DaysOverDueTolerance" in line]
+    assert len(scans) == 1 and "loans_by_day" in scans[0]
+    assert len(re.findall(r"\w+Join .*_reported", text)) == 1
+
+
+def test_copies_are_counted_before_they_move(stored):
+    plan = plan_of(runs.run_outcome(stored))
+    assert re.search(r"Exchange hashpartitioning\(agreementno.*_DaysOverDueTolerance.*\n.*HashAggregate.*partial_count", plan)
