@@ -138,3 +138,65 @@ def numbered_by_counts(df: DataFrame, keys: Sequence[str], last: str, name: str)
     return dealt.select(*keys, last, "_before", F.explode(F.expr(numbers)).alias("_n")).select(
         *df.columns, (F.col("_before") + F.col("_n")).alias(name)
     )
+
+
+def _sort_columns(terms: Sequence[str]) -> list[Column]:
+    """Sort terms such as `name desc nulls last` as columns."""
+    columns = []
+    for term in terms:
+        name, *how = term.rsplit(None, 3) if len(term.split()) > 3 else term.split()
+        columns.append(getattr(F.col(name), "_".join(how) if how else "asc")())
+    return columns
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Equal rows as one with its `_copies`, dealt out by ranges of the groups and
+    their order; `_part` is the range. The number of ranges is set, so adaptive
+    execution leaves them as they are."""
+    kinds = [field.dataType for field in df.schema]
+    columns = [f"`{c}`" for c in df.columns]
+    if all(not isinstance(kind, T.StringType) or kind == T.StringType() for kind in kinds):
+        df = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    else:  # under a collation, rows that are grouped need not be the same
+        df = df.withColumn("_copies", F.lit(1).cast("long"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *_sort_columns(order)]
+    return df.repartitionByRange(ranges, *by).withColumn("_part", F.spark_partition_id())
+
+
+def numbered_by_ranges(
+    df: DataFrame, keys: Sequence[str], leading: Sequence[str], name: str, *, skip: Sequence[str] = ()
+) -> DataFrame:
+    """`numbered` for groups of any size, whatever their rows have in common.
+
+    Rows are dealt out by ranges of group and full order, so a huge group lies in
+    several ranges that follow each other. Each range numbers its own rows; counts
+    per group and range say where it goes on. Both read one shuffle. Should a
+    session forbid that, their counts would differ, and the query fails instead
+    of giving a wrong number.
+    """
+    order = [*leading, *[f"`{c}` asc nulls first" for c in df.columns if c not in (*keys, *skip)]]
+    ranged = _ranged(df, keys, order)
+    group = ", ".join(keys)
+    before = "rows between unbounded preceding and 1 preceding"
+    starts = ranged.groupBy(*keys, "_part").agg(F.sum("_copies").alias("_size"))
+    starts = starts.withColumn("_start", F.expr(f"coalesce(sum(_size) over (partition by {group} order by _part {before}), 0)"))
+    starts = starts.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "_part")], F.col("_size").alias("_counted"), "_start")
+    own = f"partition by {group}, _part"
+    within = ranged.withColumns(
+        {
+            "_within": F.expr(f"coalesce(sum(_copies) over ({own} order by {', '.join(order)} {before}), 0)"),
+            "_size": F.expr(f"sum(_copies) over ({own})"),
+        }
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "_part")])
+    apart = F.raise_error(F.lit("numbering needs spark.sql.exchange.reuse"))
+    met = within.join(starts, same, "left").withColumn(
+        "_start", F.when(F.col("_size") == F.col("_counted"), F.col("_start")).otherwise(apart.cast("long"))
+    )
+    # Copies are dealt out in blocks, so those of one row come from many tasks.
+    blocks = met.withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {BLOCK})")))
+    dealt = blocks.repartition(*keys, "_part", "_within", "_block")
+    numbers = f"sequence(_block * {BLOCK} + 1, least(_copies, (_block + 1) * {BLOCK}))"
+    number = (F.col("_start") + F.col("_within") + F.col("_n")).cast("int").alias(name)
+    return dealt.withColumn("_n", F.explode(F.expr(numbers))).select(*[f"`{c}`" for c in df.columns], number)

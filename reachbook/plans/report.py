@@ -11,7 +11,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after
 from reachbook.operators import filters
-from reachbook.operators.lookups import AREA_ORDER, best_area, numbered, numbered_in_parts
+from reachbook.operators.lookups import AREA_ORDER, best_area, numbered, numbered_by_ranges
 from reachbook.plans import funnel
 from reachbook.plans.outcomes import first_outcomes
 
@@ -57,17 +57,10 @@ def ranked_media(campaign: Campaign, channel: str) -> DataFrame:
 
 def full_ranking(campaign: Campaign, channel: str) -> DataFrame:
     """The same rows and numbers, for reading all of them: a busy agreement is
-    numbered in parts, one per rank, report columns, assigned days overdue and
-    minute of the message."""
+    numbered in ranges, a flood within one minute too."""
     rank, number = CHANNEL_COLUMNS[channel]
-    leading = [*_ranking(campaign, rank), "assigned_dpd asc nulls first"]
-    return numbered_in_parts(
-        channel_media(campaign, channel),
-        _GROUP,
-        leading,
-        number,
-        coarse="date_trunc('MINUTE', activity_date)",
-        skip=[rank, *_REPORT_FIRST, "assigned_dpd"],
+    return numbered_by_ranges(
+        channel_media(campaign, channel), _GROUP, _ranking(campaign, rank), number, skip=[rank, *_REPORT_FIRST]
     )
 
 

@@ -10,7 +10,7 @@ from reachbook.campaign import Campaign
 from reachbook.functions import classify
 from reachbook.functions.calendar import day_after, day_before
 from reachbook.operators import filters
-from reachbook.operators.lookups import area_lookup, hash_first, numbered, numbered_by_counts, snapshot_lookup
+from reachbook.operators.lookups import area_lookup, hash_first, numbered, numbered_by_counts, numbered_by_ranges, snapshot_lookup
 
 READINGS = (
     "DPD_Min", "DPD_Max", "DPD_Max_1", "TotalOSPrincipal", "Installment Amount Latest", "DefaultStatus",
@@ -238,6 +238,15 @@ def judged(campaign: Campaign, by_contact: bool = False, *, next_day: bool = Fal
 
     The loan book is read and joined once, whatever the number of lookups.
     """
+    flagged = _unnumbered(campaign, by_contact, next_day)
+    return numbered(flagged, *_SEQUENCE, skip=["max__pt", "_n"])
+
+
+# Runs that share a list of the next day are one run: `_n` orders nothing.
+_SEQUENCE = (["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum")
+
+
+def _unnumbered(campaign: Campaign, by_contact: bool, next_day: bool) -> DataFrame:
     runs = _read_runs(campaign, by_contact, (_BEFORE, _ON, _AFTER) if next_day else (_BEFORE, _ON))
     read = _one_by_one(runs, {"_p": "p", "_r": "r", "_w": "w"})
     readings = {
@@ -254,13 +263,9 @@ def judged(campaign: Campaign, by_contact: bool = False, *, next_day: bool = Fal
     )
     placed = area_lookup(looked_up, campaign.month_end_areas)
     keys = ["agreement_key", *[c for c in shown if c != "_n"]]
-    flagged = placed.select(
+    return placed.select(
         *keys, *[f"`{c}`" for c in READINGS], classify.run_success("DPD_Max_1").alias("SR"), *["_n"] * next_day
     )
-    # Runs that share a list of the next day are one run.
-    return numbered(
-        flagged, ["agreement_key", "agreementno"], ["max__pt asc nulls first"], "rownum", skip=["max__pt", "_n"]
-    )
 
 
 def _as_in_book(campaign: Campaign, value: str, name: str):
@@ -276,6 +281,14 @@ def run_outcome(campaign: Campaign) -> DataFrame:
     return judged(campaign).drop("agreement_key")
 
 
+def run_sequence(campaign: Campaign, by_contact: bool = False) -> DataFrame:
+    """The same rows and numbers, for reading all of them: an agreement with any
+    number of runs and doubled snapshots is numbered in ranges. In `run_outcome`
+    the number is a plain window, which a query that leaves it out does not pay."""
+    flagged = _unnumbered(campaign, by_contact, next_day=False)
+    return numbered_by_ranges(flagged, *_SEQUENCE, skip=["max__pt"]).drop("agreement_key")
+
+
 def next_day_snapshot(campaign: Campaign) -> DataFrame:
     """Run outcomes with the loan book of the day after the last message."""
     return _next_day(campaign).drop("agreement_key")
