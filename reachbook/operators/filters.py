@@ -39,6 +39,13 @@ def snapshot_window(loans: DataFrame, as_of: AsOf) -> DataFrame:
     return _days_up_to_cutoff(loans, "ReportDate", as_of.prior_month_end, as_of)
 
 
+def later(df: DataFrame, column: str, as_of: AsOf) -> DataFrame:
+    """Rows that a report of an earlier moment did not see yet."""
+    kind = df.schema[column].dataType
+    seen = as_of.yesterday if isinstance(kind, T.DateType) else F.lit(str(as_of.cutoff)).cast(kind)
+    return df.where(F.col(column) > F.lit(seen))
+
+
 def month_end_snapshot(areas: DataFrame, as_of: AsOf) -> DataFrame:
     return areas.where(F.col("SK_Time") == as_of.month_end_key)
 

@@ -34,7 +34,7 @@ def funnel_messages(campaign: Campaign) -> DataFrame:
 
 def serving_loans(campaign: Campaign) -> DataFrame:
     """Instalment of each loan not written off, under the message day it serves."""
-    return campaign.snapshots.where(filters.not_written_off(stored=True)).select(
+    return campaign.served_snapshots.where(filters.not_written_off(stored=True)).select(
         "agreement_key", day_after("ReportDate").alias("pt"), "angsuran"
     )
 
@@ -57,7 +57,7 @@ def _meet(messages: DataFrame, loans: DataFrame) -> DataFrame:
 
 
 def funnel(campaign: Campaign) -> DataFrame:
-    loans = area_lookup(serving_loans(campaign), campaign.month_end_areas)
+    loans = area_lookup(serving_loans(campaign), campaign.served_areas)
     columns = [
         "agreementno", "assigned_dpd", "assigned_date", "activity_date", "agent_id", "agent_type", "product",
         "disposition", "contact_number", "Grouped_Disposition", "persona_name", "contact_type", "pt",
@@ -67,7 +67,7 @@ def funnel(campaign: Campaign) -> DataFrame:
 
 def funnel_outcome(campaign: Campaign) -> DataFrame:
     """The funnel with run outcomes and the funnel form of the disposition."""
-    placed = area_lookup(serving_loans(campaign), campaign.month_end_areas)
+    placed = area_lookup(serving_loans(campaign), campaign.served_areas)
     loans = with_outcome(placed, unique_installments(campaign))
     return (
         _meet(funnel_messages(campaign), loans)

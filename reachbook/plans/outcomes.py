@@ -82,7 +82,7 @@ def _overdue_kinds(campaign: Campaign) -> DataFrame:
     """Per agreement and day at most three snapshots: one with unknown days
     overdue, one with none, and the one with the least of the others."""
     days = F.col("DaysOverDueTolerance")
-    facts = campaign.snapshots.groupBy("agreement_key", "ReportDate").agg(
+    facts = campaign.served_snapshots.groupBy("agreement_key", "ReportDate").agg(
         F.max(days.isNull()).alias("unknown"),
         F.max(days == 0).alias("clear"),
         F.min(F.when(days != 0, days)).alias("least"),
@@ -100,7 +100,7 @@ def _overdue_kinds(campaign: Campaign) -> DataFrame:
 
 def _least_principal(campaign: Campaign) -> DataFrame:
     principal = F.col("TotalOSPrincipal")
-    return campaign.snapshots.groupBy("agreement_key", "ReportDate").agg(
+    return campaign.served_snapshots.groupBy("agreement_key", "ReportDate").agg(
         F.when(~F.max(principal.isNull()), F.min(principal)).alias("TotalOSPrincipal")
     )
 

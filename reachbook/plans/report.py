@@ -96,7 +96,7 @@ def best_media(campaign: Campaign, channels: Sequence[str] | None = None) -> Dat
         *[F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("message"), "pt"))).alias(c) for c in channels]
     )
     placed = funnel.with_outcome(instalments, first_outcomes(campaign, list(funnel.OUTCOME))).join(
-        best_area(campaign.month_end_areas), "agreement_key", "left"
+        best_area(campaign.served_areas), "agreement_key", "left"
     )
     each = F.array(*[F.struct(F.lit(c).alias("agent_type"), F.col(best).alias("best")) for best, c in channels.items()])
     return (
@@ -147,62 +147,73 @@ def channel_report(campaign: Campaign) -> DataFrame:
     day on that timeline, so loan book and activity are read once and never
     joined, and the timeline's layout carries through to the report's groups.
     """
-    loan_rows, message_rows = _loan_days(campaign), _message_days(campaign)
+    return report_of_days(
+        campaign, loan_partials(campaign, campaign.served_snapshots), message_partials(campaign, campaign.messages)
+    )
+
+
+def report_of_days(campaign: Campaign, loans: DataFrame, messages: DataFrame) -> DataFrame:
+    """The report from what is known of each agreement and day."""
+    key = F.trim("agreementno")
+    loan_rows = loans.select(
+        key.alias("agreement_key"),
+        "day",
+        "angsuran",
+        F.lit(True).alias("loan"),
+        (F.col("normal") & (F.col("agreementno") == key)).alias("normal"),
+        "live",
+        "overdue",
+    )
+    # Outcomes are matched on the clean number, so only runs stored under it count.
+    message_rows = messages.select(
+        key.alias("agreement_key"),
+        "day",
+        "contacted",
+        *[(F.col(run) & (F.col("agreementno") == key)).alias(run) for run in _runs(campaign)],
+        *_bests(campaign),
+    )
     timeline = loan_rows.unionByName(message_rows, allowMissingColumns=True)
-    instalments = _instalment_days(campaign, timeline)
-    return _report_lines(campaign, instalments)
+    return _report_lines(campaign, _instalment_days(campaign, timeline))
 
 
-def _loan_days(campaign: Campaign) -> DataFrame:
+def loan_partials(campaign: Campaign, snapshots: DataFrame) -> DataFrame:
     """Per agreement, day and instalment: what any of its snapshots says."""
-    key = F.trim("AgreementNo")
-    return (
-        campaign.snapshots.where(F.col("AgreementNo").isNotNull())
-        .groupBy("AgreementNo", F.col("ReportDate").alias("day"), "angsuran")
-        .agg(
-            F.max(filters.status_normal()).alias("normal"),
-            F.max(filters.not_written_off()).alias("live"),
-            F.max(F.col("DaysOverDueTolerance") != 0).alias("overdue"),
-        )
-        .select(
-            key.alias("agreement_key"),
-            "day",
-            "angsuran",
-            F.lit(True).alias("loan"),
-            (F.col("normal") & (F.col("AgreementNo") == key)).alias("normal"),
-            "live",
-            "overdue",
-        )
+    known = snapshots.where(F.col("AgreementNo").isNotNull())
+    return known.groupBy(F.col("AgreementNo").alias("agreementno"), F.col("ReportDate").alias("day"), "angsuran").agg(
+        F.max(filters.status_normal()).alias("normal"),
+        F.max(filters.not_written_off()).alias("live"),
+        F.max(F.col("DaysOverDueTolerance") != 0).alias("overdue"),
     )
 
 
-def _message_days(campaign: Campaign) -> DataFrame:
-    """Per stored agreement number and day: a flag per product that qualifies
-    for a run, the best score per channel, and whether the contact is typed.
+def merged_loans(campaign: Campaign, partials: DataFrame) -> DataFrame:
+    """The same of rows that were found apart."""
+    flags = [F.max(name).alias(name) for name in ("normal", "live", "overdue")]
+    return partials.groupBy("agreementno", "day", "angsuran").agg(*flags)
 
-    Outcomes are matched on the clean number, so only runs stored under it count.
-    """
-    product, key = F.col("product"), F.trim("agreementno")
+
+def message_partials(campaign: Campaign, messages: DataFrame) -> DataFrame:
+    """Per stored agreement number and day: a flag per product that qualifies
+    for a run, the best score per channel, and whether the contact is typed."""
+    product = F.col("product")
     position = F.coalesce(*[F.when(product == p, i) for i, p in _positions(campaign)])
     score = F.coalesce(classify.outcome_rank(), F.lit(_unmapped_rank(campaign))) * len(campaign.products) + position
     qualifies = filters.in_channels(campaign.run_channels) & filters.positive_dpd()
     runs = [F.max(qualifies & (product == p)).alias(run) for run, p in _runs(campaign).items()]
     # Unlisted products have no position, hence no score.
     scores = [F.min(F.when(F.col("agent_type") == c, score)).alias(best) for best, c in _bests(campaign).items()]
-    return (
-        campaign.messages.where(F.col("agreementno").isNotNull())
-        .groupBy("agreementno", F.col("pt").alias("day"))
-        .agg(F.min(F.col("agent_type").isNotNull()).alias("contacted"), *runs, *scores)
-        .select(
-            key.alias("agreement_key"),
-            "day",
-            "contacted",
-            *[(F.col(run) & (F.col("agreementno") == key)).alias(run) for run in _runs(campaign)],
-            *_bests(campaign),
-        )
+    known = messages.where(F.col("agreementno").isNotNull())
+    return known.groupBy("agreementno", F.col("pt").alias("day")).agg(
+        F.min(F.col("agent_type").isNotNull()).alias("contacted"), *runs, *scores
     )
 
 
+def merged_messages(campaign: Campaign, partials: DataFrame) -> DataFrame:
+    """The same of rows that were found apart."""
+    flags = [F.max(run).alias(run) for run in _runs(campaign)] + [F.min(best).alias(best) for best in _bests(campaign)]
+    return partials.groupBy("agreementno", "day").agg(F.min("contacted").alias("contacted"), *flags)
+
+
 def _runs(campaign: Campaign) -> dict[str, str]:
     """Flag columns of the products: names of ours, whatever the products are called."""
     return {f"_run{i}": product for i, product in enumerate(campaign.products)}
@@ -274,5 +285,5 @@ def _report_lines(campaign: Campaign, instalments: DataFrame) -> DataFrame:
         .withColumn("disposition2", classify.report_outcome_of_rank("agent_type", f"score div {n}"))
         .withColumnRenamed("agreement_key", "agreementno")
     )
-    areas = best_area(campaign.month_end_areas).withColumnRenamed("agreement_key", "agreementno")
+    areas = best_area(campaign.served_areas).withColumnRenamed("agreement_key", "agreementno")
     return summarise(best.join(areas, "agreementno", "left"))

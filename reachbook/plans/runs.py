@@ -23,7 +23,7 @@ def _serving_snapshots(campaign: Campaign) -> DataFrame:
 
     This match uses the stored agreement number, leading blanks included.
     """
-    return campaign.snapshots.where(filters.status_normal(stored=True)).select(
+    return campaign.served_snapshots.where(filters.status_normal(stored=True)).select(
         F.col("AgreementNo").alias("_agreement"),
         day_after("ReportDate").alias("_day"),
         "angsuran",
@@ -133,7 +133,7 @@ def _read_days(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) ->
     """
     text = {f.name for f in campaign.snapshots.schema if isinstance(f.dataType, T.StringType)}
     names = list(dict.fromkeys(c for side in sides for c in _ASKED[side]))
-    book = campaign.snapshots.select(
+    book = campaign.served_snapshots.select(
         F.col("agreement_key").alias("_key"),
         F.col("AgreementNo").alias("_stored"),
         F.col("ReportDate").alias("_reported"),
@@ -221,15 +221,15 @@ def before_first(campaign: Campaign, runs: DataFrame) -> DataFrame:
         "Installment Amount Latest": "Installment Amount Latest",
         "DefaultStatus": "DefaultStatus",
     }
-    return snapshot_lookup(runs, campaign.snapshots, day_before("min__pt"), columns)
+    return snapshot_lookup(runs, campaign.served_snapshots, day_before("min__pt"), columns)
 
 
 def before_last(campaign: Campaign, runs: DataFrame) -> DataFrame:
-    return snapshot_lookup(runs, campaign.snapshots, day_before("max__pt"), {"DPD_Max": "DaysOverDueTolerance"})
+    return snapshot_lookup(runs, campaign.served_snapshots, day_before("max__pt"), {"DPD_Max": "DaysOverDueTolerance"})
 
 
 def on_last(campaign: Campaign, runs: DataFrame) -> DataFrame:
-    return snapshot_lookup(runs, campaign.snapshots, F.col("max__pt"), {"DPD_Max_1": "DaysOverDueTolerance"})
+    return snapshot_lookup(runs, campaign.served_snapshots, F.col("max__pt"), {"DPD_Max_1": "DaysOverDueTolerance"})
 
 
 def judged(campaign: Campaign, by_contact: bool = False, *, next_day: bool = False) -> DataFrame:
@@ -261,7 +261,7 @@ def _unnumbered(campaign: Campaign, by_contact: bool, next_day: bool) -> DataFra
     looked_up = read.select(
         F.trim("agreementno").alias("agreement_key"), *shown, *[_as_in_book(campaign, v, k) for k, v in readings.items()]
     )
-    placed = area_lookup(looked_up, campaign.month_end_areas)
+    placed = area_lookup(looked_up, campaign.served_areas)
     keys = ["agreement_key", *[c for c in shown if c != "_n"]]
     return placed.select(
         *keys, *[f"`{c}`" for c in READINGS], classify.run_success("DPD_Max_1").alias("SR"), *["_n"] * next_day

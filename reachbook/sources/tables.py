@@ -74,6 +74,7 @@ def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -
 
     Adds `agreement_key`, the agreement number without blanks on either side:
     most matches use it, a few need the stored number with its leading blanks.
+    A table stored with that column keeps it, and with it its buckets.
     An optional collation such as UTF8_LCASE makes text matches ignore case; the
     text as stored is then not compared and NULL.
     """
@@ -92,4 +93,6 @@ def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -
         if name in STORED:
             plain = not collation and stored[name] == T.StringType()
             columns.append(f"{f'`{field.name}`' if plain else 'cast(null as string)'} as `{as_stored(name)}`")
+    if "agreement_key" in stored and not collation:
+        return df.selectExpr(*columns, "agreement_key")
     return df.selectExpr(*columns).selectExpr("*", "trim(agreementno) as agreement_key")
