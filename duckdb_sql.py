@@ -417,4 +417,6 @@ def statements(as_of: AsOf, tables: str = TABLES, unmapped: str = "FIRST") -> di
     """Full SQL per query. Tests pass their own definition of the three tables."""
     parts = [part.strip() for part in (tables, CODES, _datasets(as_of, unmapped)) if part.strip()]
     prefix = "WITH " + ",\n".join(parts)
-    return {name: f"{prefix}\n{select}" for name, select in _selects(as_of).items()}
+    found = {name: f"{prefix}\n{select}" for name, select in _selects(as_of).items()}
+    # Other ways to the same report.
+    return found | dict.fromkeys(("r_report_from_state", "r_report_of_messaged"), found["r_channel_report"])

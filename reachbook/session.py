@@ -7,6 +7,7 @@ methods, coalescing partitions and splitting skewed join partitions.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +44,18 @@ def local_session(cpus: str | int | None = None, **options: str) -> SparkSession
     for name, value in settings.items():
         builder = builder.config(name, value)
     return measure_broadcasts(builder.getOrCreate())
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names, which driver and executors
+    share. A session on one machine that names none gets one of its own; on a
+    cluster that is an error, as a local folder would not be found elsewhere."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
