@@ -40,6 +40,8 @@ class Range:
 
 
 def _unit(values: np.ndarray) -> np.ndarray:
+    # The largest component first: squares of huge ones overflow, of tiny ones vanish.
+    values = values / np.abs(values).max(axis=1, keepdims=True)
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
@@ -219,7 +221,8 @@ def range_join(vectors: DataFrame, spec: Range = Range(), *, key: str = "vec_id"
 
     Vectors without an id, and those that are null, empty or zero or hold null or
     non-finite components, link with nothing; nor do vectors of different lengths, each of which takes a
-    round of its own. Equal vectors are compared once and counted as often as
+    round of its own. Finite vectors of any length, huge or tiny, have their
+    direction's links. Equal vectors are compared once and counted as often as
     they occur. Repeated rows count as vectors of their own and share a result;
     other columns are ignored; no rows give no rows.
     """
