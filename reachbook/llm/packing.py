@@ -39,24 +39,23 @@ class Vocabulary:
 
 
 class Encoder:
-    """Ids of texts. Strings of special tokens are ordinary text."""
+    """Ids of texts, as the vocabulary's `tokenizers` file gives them: the string
+    of a special token is that token."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         with open(vocabulary.ranks, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.steady: Tokenizer | None = None
+        self.steady = Tokenizer.from_file(vocabulary.tokenizer)
+        self.added = [t.content for t in self.steady.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> list[int]:
         words = text.split()
         longest = max(map(len, words), default=0)
         blanks = len(text) - sum(map(len, words)) - len(words)
-        if longest < LONG_RUN and blanks < LONG_RUN:
+        if longest < LONG_RUN and blanks < LONG_RUN and not any(t in text for t in self.added):
             return self.fast.encode_ordinary(text)
-        if self.steady is None:
-            self.steady = Tokenizer.from_file(self.vocabulary.tokenizer)
-            self.steady.encode_special_tokens = True
         return self.steady.encode(text, add_special_tokens=False).ids
 
 
@@ -236,7 +235,9 @@ def pack(found: DataFrame, *, size: int = 1024, part_rows: int = 5000) -> DataFr
     places = Places(plan(counts, size))
     parts = F.array(*[F.lit(-(-counts.get(length, 1) // part_rows)) for length in range(size + 1)])
     order = [c for c in found.columns if c != "ids"]
-    dealt = found.withColumn("_part", F.pmod(F.xxhash64(*order), F.get(parts, F.col("length"))))
+    # By the number of the row, which the checkpoint fixes: equal rows are shared out too.
+    drawn = F.xxhash64(F.monotonically_increasing_id())
+    dealt = found.withColumn("_part", F.pmod(drawn, F.get(parts, F.col("length"))))
     starts = dealt.groupBy("length", "_part").count().withColumn(
         "_before", F.sum("count").over(Window.partitionBy("length").orderBy("_part")) - F.col("count")
     )

@@ -127,13 +127,21 @@ def test_ids_are_those_of_the_tokenizer():
     vocabulary = Vocabulary()
     encoder = Encoder(vocabulary)
     slow = Tokenizer.from_file(vocabulary.tokenizer)
-    slow.encode_special_tokens = True
     texts = [prose(1, 300), "", " ", "é ü ß ñ 漢字 \U0001f600‍", "a" * 5000, " " * 5000 + "x", "don't\n\n\tit's 123,456.7", "<|endoftext|> x",
+             "hello <|endoftext|> world", "<|endoftext|>" * 3, "<|endoftext", "<|endoftext|> " + "a" * 5000,
              "\x85  z", "x\r\n  y"]
     for text in texts:
         assert encoder(text) == slow.encode(text, add_special_tokens=False).ids, repr(text[:30])
 
 
+def test_equal_pieces_are_numbered_in_many_parts(spark):
+    rows = [(1, "same text of every row")] * 3000
+    found = pack(pieces(documents(spark, rows).repartition(3)), part_rows=100)
+    assert found.select("sequence_id", "offset").distinct().count() == 3000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64(monotonically_increasing_id()" in plan
+
+
 def test_packed_documents_round_trip(spark):
     size = 32
     rows = [(i, prose(i, i % 37)) for i in range(80)] + [(500, None), (501, ""), (502, prose(9, 200)), (502, prose(9, 200))]
