@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from reachbook.llm import personal_data as pd_
 from reachbook.llm import secrets
 from reachbook.llm.personal_data import Training, personal_data
 from reachbook.llm.quality_rules import Bands, Judge, base_counts, quality_rules, symbols
-from reachbook.llm.secrets import redact, secret_scan
+from reachbook.llm.secrets import assignments, find_secrets, redact, secret_scan
 from reachbook.llm.tagger import Shape, Tagger
 from tests.llm.helpers import by_id, documents, edge_rows, prose
 
@@ -285,3 +286,25 @@ def test_edges(spark, operator):
     assert operator(docs.limit(0)).collect() == []
     twins = [r for r in found if r.doc_id in (3, 7)]
     assert len({tuple(r) for r in twins}) == 2
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["a=", "x=12&yy=34&", "x:", "token=", "token=example=", 'a="', "a=\'", "a=`", 'a="""', 'a=r#"', "a[x]=", "x: int = ", "a=>", 'a="\\'],
+)
+def test_a_secret_scan_takes_linear_time(unit):
+    started = time.process_time()
+    small = find_secrets(unit * (100_000 // len(unit)))
+    middle = time.process_time()
+    find_secrets(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - middle < max(5.0, 25 * (middle - started))
+    assert isinstance(small, tuple)
+
+
+def test_literals_without_quotes_end_where_their_syntax_does():
+    text = "https://h/p?token=Zx81kQ0mVb72&user=me&api_key=pL93nd82Xq"
+    named = {(name.rsplit("?")[-1], text[s:e]) for name, s, e in assignments(text)}
+    assert {("token", "Zx81kQ0mVb72"), ("user", "me"), ("api_key", "pL93nd82Xq")} <= named
+    chained = "outer=inner=Zx81kQ0m"
+    assert [(n, chained[s:e]) for n, s, e in assignments(chained)] == [("outer", "inner=Zx81kQ0m"), ("inner", "Zx81kQ0m")]
+    assert [n for n, _, _ in assignments("a=" + "b=" * 600 + "c")] == ["a"]
