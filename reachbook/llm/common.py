@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reachbook.session import shared_folder
+
 #: The bytes of `[\x20\x09-\x0D]`; bytes.split() and bytes.strip() use the same ones.
 SPACE = b" \t\n\r\x0b\x0c"
 
@@ -21,28 +22,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names for checkpoints; one of its own only
-    where it names none."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The same rows, written to the checkpoint folder: later reads neither
     repeat the work nor depend on an executor that may be lost."""
-    _shared_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def written(df: DataFrame) -> DataFrame:
     """The same rows as a Parquet table in the checkpoint folder."""
-    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4()}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return Scratch(df.sparkSession).written(df)
+
+
+class Scratch:
+    """Tables that are only needed until a result made of them is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
+        self.tables = 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def clear(self) -> None:
+        """Delete them: no lineage may lead to them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered_rows(df: DataFrame, name: str = "row") -> DataFrame:
+    """The rows with a number each, written down, as another reading could number
+    them otherwise. Ids may be null or shared; these numbers are not."""
+    return written(df.withColumn(name, F.monotonically_increasing_id()))
+
+
+def distinct_sorted(values: np.ndarray) -> np.ndarray:
+    """Each value once, in order, by sorting: np.unique hashes, which takes longer."""
+    values = np.sort(values)
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    return values[first]
 
 
 def in_batches(

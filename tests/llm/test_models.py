@@ -1,11 +1,13 @@
 """Language models and site quality."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from reachbook.llm.language_id import BITS, Alphabet, Model, Plan, grams, language_id, learn, score_grams, wide_grams
+from reachbook.llm.common import Scratch
+from reachbook.llm.language_id import BITS, STEPS, Alphabet, Plan, language_id, learn, score_grams, wide_grams
 from reachbook.llm.site_quality import site_quality
 from tests.llm.helpers import by_id, documents, edge_rows, prose
 
@@ -21,32 +23,66 @@ def labelled(per_language: int) -> list[tuple]:
     return [(i, prose(i, 20, SYLLABLES[langs[i % 3]]), langs[i % 3], "s") for i in range(per_language * 3)]
 
 
-def learned(order: int = 3) -> Model:
-    alphabet = Alphabet()
-    keys = np.concatenate([grams(alphabet(t), order) for _, t, lang, _ in labelled(20) if lang == "en"])
-    return Model.learn(*np.unique(keys, return_counts=True), order)
+class Plain:
+    """Interpolated Kneser-Ney in dictionaries, n-gram by n-gram."""
+
+    def __init__(self, texts: list[str], order: int):
+        self.order = order
+        levels = [Counter(g for t in texts for g in plain_grams(t, order))]
+        for _ in range(order - 1):
+            levels.insert(0, Counter(g[1:] for g in levels[0]))
+        self.counts = levels
+        self.discounts, self.totals, self.kinds = [], [], []
+        for level in levels:
+            ones, twos = (sum(n == k for n in level.values()) for k in (1, 2))
+            self.discounts.append(ones / (ones + 2 * twos) if ones else 0.5)
+            totals, kinds = Counter(), Counter()
+            for g, n in level.items():
+                totals[g[:-1]] += n
+                kinds[g[:-1]] += 1
+            self.totals.append(totals)
+            self.kinds.append(kinds)
+
+    def p(self, gram: tuple) -> float:
+        if not gram:
+            return 2.0**-BITS
+        at, lower = len(gram) - 1, self.p(gram[1:])
+        total = self.totals[at][gram[:-1]]
+        if not total:
+            return lower
+        discount = self.discounts[at]
+        own = max(self.counts[at][gram] - discount, 0) if gram in self.counts[at] else 0.0
+        return own / total + discount * self.kinds[at][gram[:-1]] / total * lower
+
+
+def plain_grams(text: str, order: int) -> list[tuple]:
+    symbols = Alphabet()(text).tolist()
+    if len(symbols) < 3:
+        return []
+    padded = [0] * (order - 2) + symbols
+    return [tuple(padded[i : i + order]) for i in range(len(padded) - order + 1)]
+
+
+def of_numbers(high: int, low: int, order: int) -> tuple:
+    number = high << 3 * BITS | low
+    return tuple(number >> BITS * i & (1 << BITS) - 1 for i in range(order - 1, -1, -1))
 
 
 def test_probabilities_of_a_context_add_up_to_one():
-    model = learned()
-    every = np.arange(1 << BITS, dtype=np.int64)
-    for text in ("th", "he", "a ", "zz", "é1"):
-        symbols = Alphabet()(text).astype(np.int64)
-        context = symbols[1] << BITS | symbols[2]
-        assert np.isclose(np.exp2(model.score(context << BITS | every)).sum(), 1.0, atol=1e-3)
-
-
-def test_hash_arrays_are_sorted():
-    model = learned()
-    for hashes in (*model.hashes, *model.contexts):
-        assert (np.diff(hashes.astype(object)) > 0).all()
+    model = Plain([t for _, t, lang, _ in labelled(20) if lang == "en"], 3)
+    letters = {g[0] for g in model.counts[0]}
+    for context in list(model.totals[2])[:20] + [(7, 9)]:
+        seen = sum(model.p((*context, x)) for x in letters)
+        assert np.isclose(seen + (2**BITS - len(letters)) * model.p((*context, 1 << 20)), 1.0, atol=1e-9)
 
 
 def test_symbols():
     alphabet = Alphabet()
     assert alphabet("Ab  1c!").tolist() == [0, 1, 2, 0, 3, 0]
-    assert len(grams(alphabet("12 -"), 3)) == 0
-    assert len(grams(alphabet("ab"), 3)) == 3
+    assert not len(wide_grams(alphabet("12 -"), 3)[0]) and not plain_grams("12 -", 3)
+    for order in (2, 3, 5):
+        high, low = wide_grams(alphabet("ab é"), order)
+        assert [of_numbers(int(a), int(b), order) for a, b in zip(high, low, strict=True)] == plain_grams("ab é", order)
 
 
 def test_letters_of_one_script_stay_apart():
@@ -57,20 +93,51 @@ def test_letters_of_one_script_stay_apart():
     assert len(set(zip(*wide_grams(alphabet(han), 5), strict=True))) == len(han) + 1
 
 
-def test_tables_hold_what_a_model_in_memory_does(spark):
-    rows = [(lang, *pair) for lang in SYLLABLES for _, t, own, _ in labelled(8) if own == lang
-            for pair in zip(*wide_grams(Alphabet()(t), 3), strict=True)]
-    grams_of = spark.createDataFrame([(x, int(a), int(b)) for x, a, b in rows], "label string, high long, low long")
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_tables_hold_what_dictionaries_do(spark, order):
+    texts = {lang: [t for _, t, own, _ in labelled(6) if own == lang] for lang in SYLLABLES}
+    rows = [(lang, int(a), int(b)) for lang, own in texts.items() for t in own for a, b in zip(*wide_grams(Alphabet()(t), order), strict=True)]
+    grams_of = spark.createDataFrame(rows, "label string, high long, low long")
     counts = grams_of.groupBy("label", "high", "low").count().withColumnRenamed("count", "n")
     wanted = grams_of.select("high", "low").distinct()
     languages = sorted(SYLLABLES)
-    found = score_grams(wanted, learn(counts, 3), languages).collect()
-    keys = np.array([r.low for r in found])
-    assert len(keys) == wanted.count()
+    scratch = Scratch(spark)
+    found = score_grams(wanted, learn(counts, order, scratch), languages).collect()
+    scratch.clear()
+    assert len(found) == len({(a, b) for _, a, b in rows})
     for number, lang in enumerate(languages):
-        own = np.array([b for x, _, b in rows if x == lang], np.int64)
-        model = Model.learn(*np.unique(own, return_counts=True), 3)
-        assert np.allclose([r.logs[number] for r in found], model.score(keys), atol=1e-3)
+        model = Plain(texts[lang], order)
+        for r in found:
+            assert np.isclose(r.logs[number], np.log2(model.p(of_numbers(r.high, r.low, order))), atol=1e-6)
+
+
+@pytest.mark.parametrize("plan", [Plan(), Plan(languages=2, part=3000, bucket=90)])
+def test_whole_result_against_dictionaries(spark, plan):
+    rows = labelled(12)
+    learned = [(t, lang) for doc, t, lang, _ in rows if zlib.crc32(str(doc).encode()) % 4 != 2]
+    languages = sorted({lang for _, lang in learned})
+    models = [Plain([t for t, own in learned if own == lang], plan.order) for lang in languages]
+    found = by_id(language_id(documents(spark, rows), plan=plan))
+    for doc, text, _, _ in rows:
+        grams = plain_grams(text, plan.order)
+        bits = [-sum(np.log2(m.p(g)) for g in grams) / len(grams) for m in models]
+        best = int(np.argmin(bits))
+        assert found[doc].lang_pred == languages[best]
+        assert abs(found[doc].bits - bits[best]) <= 0.5 / STEPS + 1e-6
+
+
+def test_many_languages_take_their_turns(spark):
+    letters = "abcdefghijklmnopqrst"
+    rows = []
+    for i in range(200):
+        own = [a + b for a in letters[i // 20 : i // 20 + 2] for b in letters[i % 20 :: 5]]
+        rows += [(10 * i + k, prose(10 * i + k, 25, " ".join(own)), f"l{i:03}", "s") for k in range(4)]
+    turns = Plan(order=3, languages=70)
+    found, together = (by_id(language_id(documents(spark, rows), plan=p)) for p in (turns, Plan(order=3, languages=200)))
+    for doc in found:
+        a, b = found[doc], together[doc]
+        assert (a.lang_pred, round(a.bits, 9), round(a.score, 9), a.rejected) == (b.lang_pred, round(b.bits, 9), round(b.score, 9), b.rejected)
+    assert len({r.lang_pred for r in found.values()}) > 150
 
 
 def test_han_characters_that_shared_a_class_tell_languages_apart(spark):
