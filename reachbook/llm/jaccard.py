@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import components, in_batches, mix, packed_texts, stored
+from reachbook.llm.common import components, distinct_sorted, in_batches, mix, numbered_rows, packed_texts, stored
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -87,7 +87,7 @@ def gram_set(data: bytes, words: int) -> np.ndarray:
     grams = np.full(n - width + 1, width, np.uint64)
     for i in range(width):
         grams = mix(grams * np.uint64(0x9E3779B97F4A7C15) + hashes[i : n - width + 1 + i])
-    return np.unique(grams)
+    return distinct_sorted(grams)
 
 
 class Signer:
@@ -258,7 +258,7 @@ def _edges(docs: DataFrame, join: Join) -> DataFrame:
             if found.shape[1]:
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
-    signed = docs.where("doc_id is not null").mapInArrow(sign, "sign long, a long, b long")
+    signed = docs.mapInArrow(sign, "sign long, a long, b long")
     return signed.repartition("sign").sortWithinPartitions("sign", "a", "b").mapInArrow(meet, "a long, b long")
 
 
@@ -331,7 +331,7 @@ class Sets:
 def _links(docs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
     """(a, b): links that join each candidate group's components. `members` has
     (doc_id, group, blocks): one document per distinct set."""
-    needed = packed_texts(docs).join(members, "doc_id").dropDuplicates(["doc_id"])
+    needed = packed_texts(docs).join(members, "doc_id")
     names = ["group", "i", "j", "block", "doc_id", "packed"]
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -390,20 +390,8 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
 
-def jaccard_components(
-    docs: DataFrame, join: Join = Join(), *, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row per document: n_grams, and the component of the links.
-
-    Two documents are linked if `percent` % of the n-grams in either are in both.
-    A component's id is its smallest document's. Null, empty and blank texts have
-    no n-grams and are linked with nothing. Equal sets are compared once, by
-    their smallest document, so copies cost no more than their text. Rows that
-    repeat an id are taken for the same document and each get a row; other
-    columns are ignored; very long texts are cut into n-grams whole; no rows give
-    no rows.
-    """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def jaccard_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """(doc_id, n_grams, component_id) of rows (doc_id, text), each with an id of its own."""
     sets = stored(_sets(docs, join))
     classes = stored(sets.where("n_grams > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")))
     groups = components(_edges(docs, join)).select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
@@ -418,5 +406,28 @@ def jaccard_components(
     )
     # Sets without n-grams have no class, so they keep their own id.
     return sets.join(classes, ["one", "two"], "left").select(
-        F.col("doc_id").alias(key), "n_grams", F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "n_grams", F.coalesce("component", "doc_id").alias("component_id")
+    )
+
+
+def jaccard_components(
+    docs: DataFrame, join: Join = Join(), *, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per document: n_grams, and the component of the links.
+
+    Two documents are linked if `percent` % of the n-grams in either are in both.
+    A component's id is its smallest document's. Null, empty and blank texts have
+    no n-grams and are linked with nothing. Equal sets are compared once, by
+    their smallest document, so copies cost no more than their text. Each row is
+    a document, whatever its id: rows may share one, with the same text or not,
+    and rows without an id link like others; a component of such rows alone has
+    none. Other columns are ignored; very long texts are cut into n-grams whole;
+    no rows give no rows.
+    """
+    rows = numbered_rows(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")))
+    found = jaccard_rows(rows.select(F.col("row").alias("doc_id"), "text"), join)
+    found = stored(found.join(rows.select(F.col("row").alias("doc_id"), "id"), "doc_id"))
+    least = found.groupBy("component_id").agg(F.min("id").alias("least"))
+    return found.join(least, "component_id").select(
+        F.col("id").alias(key), "n_grams", F.coalesce("least", "id").alias("component_id")
     )

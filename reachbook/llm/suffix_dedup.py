@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import in_batches, mix, packed_texts, stored, unpacked, written
+from reachbook.llm.common import in_batches, mix, numbered_rows, packed_texts, stored, unpacked, written
 
 #: No byte of a UTF-8 text: it ends a piece of text.
 END = 0xFF
@@ -359,16 +359,17 @@ def suffix_dedup(docs: DataFrame, spec: Repeats = Repeats(), *, key: str = "doc_
 
     A byte is removed if a string of `length` bytes over it also starts anywhere
     else in the input, in the same document too. Null and empty texts keep their
-    nothing. Rows that repeat an id must be equal and each get a row; being
-    repeated texts they are removed like copies. Other columns are ignored; very
+    nothing. Each row is a document, whatever its id: it may be null or shared by
+    other rows, with the same text or not. Other columns are ignored; very
     long texts are searched in stretches that overlap; no rows give no rows.
     """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = numbered_rows(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")))
+    docs = rows.select(F.col("row").alias("doc_id"), "text")
     scanned = stored(_scanned(docs, spec))
     sizes = scanned.select("doc_id", "n_bytes", "one", "two", "sha")
     same = stored(sizes.groupBy("one", "two").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")))
     wanted = _wanted(scanned, same.select(F.col("first").alias("doc_id")), spec)
-    texts = written(packed_texts(docs).join(wanted, "doc_id").dropDuplicates(["doc_id"]))
+    texts = written(packed_texts(docs).join(wanted, "doc_id"))
     covered = _sorted_spans(_segments(texts, spec), spec).unionAll(_hot_spans(texts, spec))
     spans = covered.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     cut = stored(_cut(texts.select("doc_id", "packed").join(spans, "doc_id"), with_text))
@@ -383,14 +384,14 @@ def suffix_dedup(docs: DataFrame, spec: Repeats = Repeats(), *, key: str = "doc_
     removed = F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0)))
     count = F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("count", F.lit(0)))
     kept = F.when(F.col("copied"), all_of_it).otherwise(F.coalesce("kept", "sha"))
-    columns = [F.col("doc_id").alias(key), "n_bytes", removed.cast("long").alias("n_removed")]
+    found = found.join(rows.select(F.col("row").alias("doc_id"), "id"), "doc_id")
+    columns = [F.col("id").alias(key), "n_bytes", removed.cast("long").alias("n_removed")]
     columns += [count.cast("long").alias("n_spans"), kept.alias("kept_sha256")]
     if not with_text:
         return found.select(*columns)
-    out = found.select(*columns, "copied", "rest")
-    whole = docs.select(F.col("doc_id").alias(key), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("whole"))
+    whole = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("whole"))
     left = F.when(F.col("copied"), F.lit(b"")).otherwise(F.coalesce("rest", "whole"))
-    return out.join(whole.dropDuplicates([key]), key).withColumn("kept_bytes", left).drop("copied", "rest", "whole")
+    return found.join(whole, "doc_id").select(*columns, left.alias("kept_bytes"))
 
 
 def _cut(texts: DataFrame, with_text: bool) -> DataFrame:

@@ -232,6 +232,32 @@ def test_suffix_dedup_is_exact(spark, monkeypatch, spec):
         assert bytes(row.kept_bytes) == rest
 
 
+def test_near_copies_whatever_their_ids(spark):
+    base, other = prose(1, 60), prose(2, 60)
+    rows = [(5, base), (None, base + " more"), (5, other), (3, other + " more"), (None, prose(3, 50)), (None, prose(3, 50) + " x"), (9, ""), (9, None)]
+    found = [(r.doc_id, r.n_grams > 0, r.component_id) for r in jaccard_components(documents(spark, rows)).collect()]
+    wanted = [(5, True, 5), (None, True, 5), (5, True, 3), (3, True, 3), (None, True, None), (None, True, None), (9, False, 9), (9, False, 9)]
+    assert Counter(found) == Counter(wanted)
+
+
+def test_shared_strings_whatever_the_ids(spark):
+    shared = prose(9, 120)
+    rows = [(5, prose(1, 30) + shared), (None, prose(2, 30) + shared), (6, prose(3, 40)), (6, prose(4, 40) + shared), (None, shared[:300])]
+    spec = Repeats()
+    found = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup(documents(spark, rows), spec).collect())
+    masks = removed([t.encode() for _, t in rows], spec.length)
+    assert found == Counter((doc, len(t.encode()), int(m.sum())) for (doc, t), m in zip(rows, masks, strict=True))
+    assert sum(n > 0 for _, _, n in found) == 4
+
+
+def test_vectors_of_any_length_have_a_direction(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 0.0]), (4, [5e-324, 0.0]), (5, [1.0, 0.0]), (6, [-1e308, 1e308]), (7, [0.0, 1e-300])]
+    found = by_id(range_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "vec_id")
+    assert {i: (r.n_links, r.component_id) for i, r in found.items()} == {
+        1: (1, 1), 2: (1, 1), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6), 7: (0, 7),
+    }
+
+
 @pytest.mark.parametrize("operator", [jaccard_components, suffix_dedup])
 def test_edges(spark, operator):
     docs = documents(spark, edge_rows())

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -75,7 +76,16 @@ def test_pipeline_edges(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+def test_rows_that_share_an_id(spark):
+    one, two = prose(1, 90), prose(2, 90)
+    rows = [(7, one), (7, two), (7, one), (None, one + " x"), (None, prose(3, 90)), (None, prose(3, 90)), (4, two + " y"), (8, None), (8, "")]
+    found = corpus_pipeline.one_of_each(spark, documents(spark, rows).withColumn("row", F.lit(1)), "")
+    assert found.columns == [*documents(spark, []).columns, "row"]
+    kept = Counter((r.doc_id, r.text) for r in found.collect())
+    assert kept == Counter([(7, one), (4, two + " y"), (None, prose(3, 90)), (8, None), (8, "")])
+
+
+@pytest.mark.parametrize("number", range(1, 14))
 def test_a_query_is_registered_per_operator(number):
     assert sum(name.startswith(f"op{number}_") for name in entry_points.queries()) == 1
     assert "pipeline" in entry_points.queries()
