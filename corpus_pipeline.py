@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import in_batches, table, written
-from reachbook.llm.jaccard import Join, jaccard_components
+from reachbook.llm.common import in_batches, numbered_rows, table, written
+from reachbook.llm.jaccard import Join, jaccard_rows
 from reachbook.llm.mixing import mix_sources
 from reachbook.llm.packing import pack, pieces
 from reachbook.llm.quality_rules import Bands, Judge, judge_text
@@ -26,7 +26,8 @@ NEAR = Join(words=5, percent=80)
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep, unmoved."""
+    """The documents that the quality rules keep, unmoved. Null and empty texts
+    are rejected; repeated rows are judged alike; no rows give no rows."""
     held: list[Judge] = []
     at = docs.columns.index("text")
 
@@ -40,16 +41,28 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near copies, once. Rows without an
-    id belong to no group and stay."""
-    found = jaccard_components(docs, NEAR)
-    smallest = found.where("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(smallest, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies: the one with the smallest id.
+
+    Each row is a document, so rows that share an id stay if their texts are no
+    near copies, and of equal rows one stays. A row without an id stays if its
+    group has none that has one. Where ids tie, a hash of the whole row decides.
+    Texts without a word are no copies of each other.
+    """
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    rows = numbered_rows(docs, number)
+    ids = F.col("doc_id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(F.col("doc_id").isNull().alias("a"), ids[0].alias("b"), ids[1].alias("c"), F.col(number).alias("d"))
+    found = jaccard_rows(rows.select(F.col(number).alias("doc_id"), "text"), NEAR)
+    found = found.select(F.col("doc_id").alias(number), "component_id").join(rows.select(number, order.alias("order")), number)
+    chosen = found.groupBy("component_id").agg(F.min("order").alias("order")).select(F.col("order.d").alias(number))
+    return rows.join(chosen, number, "left_semi").drop(number)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their secrets masked and `n_chars` to match."""
+    """All documents, with their secrets masked and `n_chars` to match. Null and
+    empty texts stay as they are; repeated rows are masked alike."""
     scoring = Scoring()
     text_at, size_at = docs.columns.index("text"), docs.columns.index("n_chars")
 
@@ -78,7 +91,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each piece of each document with its training sequence and its place there."""
+    """Each piece of each document with its training sequence and its place there.
+    A null text is empty, and an empty one is its end mark; repeated rows are
+    packed as often as they are there; no rows give no rows."""
     return pack(pieces(docs))
 
 
