@@ -38,17 +38,23 @@ class Vocabulary:
     end: int = 2
 
 
+def special_tokens(vocabulary: Vocabulary) -> tuple[str, ...]:
+    """Strings that are a token of their own wherever they are. Looked up once, on
+    the driver: loading the file takes an executor's workers more than the ranks do."""
+    return tuple(t.content for t in Tokenizer.from_file(vocabulary.tokenizer).get_added_tokens_decoder().values())
+
+
 class Encoder:
     """Ids of texts, as the vocabulary's `tokenizers` file gives them: the string
     of a special token is that token."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, added: tuple[str, ...] | None = None):
         self.vocabulary = vocabulary
+        self.added = special_tokens(vocabulary) if added is None else added
         with open(vocabulary.ranks, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.steady = Tokenizer.from_file(vocabulary.tokenizer)
-        self.added = [t.content for t in self.steady.get_added_tokens_decoder().values()]
+        self.steady: Tokenizer | None = None
 
     def __call__(self, text: str) -> list[int]:
         words = text.split()
@@ -56,6 +62,8 @@ class Encoder:
         blanks = len(text) - sum(map(len, words)) - len(words)
         if longest < LONG_RUN and blanks < LONG_RUN and not any(t in text for t in self.added):
             return self.fast.encode_ordinary(text)
+        if self.steady is None:
+            self.steady = Tokenizer.from_file(self.vocabulary.tokenizer)
         return self.steady.encode(text, add_special_tokens=False).ids
 
 
@@ -81,12 +89,13 @@ def pieces(
     repeated pieces; other columns are ignored; no rows give no rows.
     """
     held: list[Encoder] = []
+    added = special_tokens(vocabulary)
     names = [key, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int32())] * with_ids]
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not held:
-            held.append(Encoder(vocabulary))
+            held.append(Encoder(vocabulary, added))
         rows = []
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids = np.array([*held[0](value or ""), vocabulary.end], "<u4")

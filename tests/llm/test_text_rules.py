@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from reachbook.llm import secrets
 from reachbook.llm.personal_data import Training, personal_data
 from reachbook.llm.quality_rules import Bands, Judge, base_counts, quality_rules, symbols
 from reachbook.llm.secrets import assignments, find_secrets, redact, secret_scan
-from reachbook.llm.tagger import Shape, Tagger
+from reachbook.llm.tagger import Path, Shape, Tagger
 from tests.llm.helpers import by_id, documents, edge_rows, prose
 
 QUICK = Training(sample_docs=50, sample_windows=100, made=300, steps=5)
@@ -247,6 +248,41 @@ def test_a_trained_tagger_finds_held_out_data():
     assert pd_.tagged_spans(texts, tagger, plan, windows_at_once=1) == found
 
 
+def test_paths_come_bit_by_bit():
+    rng = np.random.default_rng(3)
+    tagger = Tagger(Shape(4, 4, 4))
+    for trial in range(40):
+        tagger.p["trans"] = rng.standard_normal((4, 4)).astype(np.float32) * (trial % 3)
+        scores = rng.standard_normal((int(rng.integers(1, 200)), 4)).astype(np.float32)
+        path, out = Path(tagger), []
+        for low in range(0, len(scores), 17):
+            out.append(path.feed(scores[low : low + 17]))
+        out.append(path.finish())
+        assert np.concatenate(out).tolist() == tagger.best_paths(scores[None], np.array([len(scores)]))[0].tolist()
+    # What is settled is let go.
+    path = Path(tagger)
+    for _ in range(50):
+        path.feed(rng.standard_normal((200, 4)).astype(np.float32))
+    assert len(path.came) < 400
+
+
+def test_long_numbers_are_read_in_bounded_memory():
+    plan, tagger = Training(), Tagger(Shape(pd_.TAGS))
+    short = "12 " * 700
+    assert pd_.tagged_spans([short], tagger, plan, windows_at_once=10) == pd_.tagged_spans([short], tagger, plan)
+    text = "call 12 " * 25_000
+    texts = ["1 a"] * 40 + [text]
+    tracemalloc.start()
+    pd_.tagged_spans(["1 a"] * 40 + ["12 " * 15_000], tagger, plan)
+    small = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    pd_.tagged_spans(texts, tagger, plan)
+    large = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Four times the text; windows and scores do not grow with it.
+    assert large < small + 12 * (len(text) - 45_000)
+
+
 def test_windows_hold_every_trigger():
     plan = Training()
     text = prose(1, 200) + "7" + prose(2, 300) + "@" + prose(3, 10)
