@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from reachbook.llm.common import in_batches
 from reachbook.llm.spans import Span, digest, joined
-from reachbook.llm.tagger import Shape, Tagger, codes
+from reachbook.llm.tagger import Path, Shape, Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -262,6 +262,9 @@ def tagged_spans(texts: list[str], tagger: Tagger, plan: Training, windows_at_on
             continue
         values = codes(text)
         for group in stretches(starts, plan):
+            if len(group) > windows_at_once:
+                found[number] += _read_long(values, group, tagger, plan, windows_at_once)
+                continue
             batch.append((number, values, group))
             held += len(group)
             if held >= windows_at_once:
@@ -271,30 +274,71 @@ def tagged_spans(texts: list[str], tagger: Tagger, plan: Training, windows_at_on
     return found
 
 
+def _scored(values: np.ndarray, group: list[int], tagger: Tagger, plan: Training) -> np.ndarray:
+    windows = np.zeros((len(group), plan.width), np.uint8)
+    for row, start in enumerate(group):
+        own = values[start : start + plan.width]
+        windows[row, : len(own)] = own
+    return tagger.emissions(windows)
+
+
+def _read_long(values: np.ndarray, group: list[int], tagger: Tagger, plan: Training, at_once: int) -> list[Span]:
+    """Spans of a long stretch, some windows after the other: scores are averaged
+    and let go as soon as no later window reads their characters."""
+    path = Path(tagger)
+    begin, last = group[0], min(group[-1] + plan.width, len(values))
+    total, times = np.zeros((0, TAGS), np.float32), np.zeros((0, 1), np.float32)
+    tags, at = [], begin
+    for low in range(0, len(group), at_once):
+        own = group[low : low + at_once]
+        until = min(own[-1] + plan.width, last)
+        more = until - at - len(total)
+        total = np.concatenate([total, np.zeros((more, TAGS), np.float32)])
+        times = np.concatenate([times, np.zeros((more, 1), np.float32)])
+        for start, scores in zip(own, _scored(values, own, tagger, plan), strict=True):
+            size = min(plan.width, len(values) - start)
+            total[start - at : start - at + size] += scores[:size]
+            times[start - at : start - at + size] += 1
+        done = (group[low + at_once] if low + at_once < len(group) else last) - at
+        tags.append(path.feed(total[:done] / np.maximum(times[:done], 1)))
+        total, times, at = total[done:], times[done:], at + done
+    return _read(np.concatenate([*tags, path.finish()]), begin)
+
+
+#: Characters of lines that are decoded together, with what fills the shorter ones.
+_PADDED = 1 << 16
+
+
+def _together(lines: list[tuple[int, int, np.ndarray]]) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+    """Lines of about one length, up to 64 and no more than so many characters."""
+    some: list[tuple[int, int, np.ndarray]] = []
+    for line in sorted(lines, key=lambda x: len(x[2])):
+        if some and (len(some) == 64 or (len(some) + 1) * len(line[2]) > _PADDED):
+            yield some
+            some = []
+        some.append(line)
+    if some:
+        yield some
+
+
 def _decode(batch, tagger: Tagger, plan: Training, found: list[list[Span]]) -> None:
-    if not batch:
-        return
-    windows = np.zeros((sum(len(g) for _, _, g in batch), plan.width), np.uint8)
-    row = 0
-    for _, values, group in batch:
-        for start in group:
-            own = values[start : start + plan.width]
-            windows[row, : len(own)] = own
-            row += 1
-    scores = np.concatenate([tagger.emissions(windows[i : i + 512]) for i in range(0, len(windows), 512)])
-    lines, row = [], 0
+    lines = []
     for number, values, group in batch:
         begin, end = group[0], min(group[-1] + plan.width, len(values))
-        total, times = np.zeros((end - begin, TAGS), np.float32), np.zeros((end - begin, 1), np.float32)
-        for start in group:
-            size = min(plan.width, len(values) - start)
-            total[start - begin : start - begin + size] += scores[row, :size]
+        lines.append((number, begin, np.zeros((end - begin, TAGS), np.float32), np.zeros((end - begin, 1), np.float32)))
+    places = [(line, start) for line, (_, _, group) in enumerate(batch) for start in group]
+    for low in range(0, len(places), 512):
+        some = places[low : low + 512]
+        windows = np.zeros((len(some), plan.width), np.uint8)
+        for row, (line, start) in enumerate(some):
+            own = batch[line][1][start : start + plan.width]
+            windows[row, : len(own)] = own
+        for (line, start), scores in zip(some, tagger.emissions(windows), strict=True):
+            _, begin, total, times = lines[line]
+            size = min(plan.width, len(batch[line][1]) - start)
+            total[start - begin : start - begin + size] += scores[:size]
             times[start - begin : start - begin + size] += 1
-            row += 1
-        lines.append((number, begin, total / np.maximum(times, 1)))
-    lines.sort(key=lambda x: len(x[2]))
-    for low in range(0, len(lines), 64):
-        some = lines[low : low + 64]
+    for some in _together([(number, begin, total / np.maximum(times, 1)) for number, begin, total, times in lines]):
         lengths = np.array([len(x[2]) for x in some])
         padded = np.zeros((len(some), lengths.max(), TAGS), np.float32)
         for row, (_, _, own) in enumerate(some):

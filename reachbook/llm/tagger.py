@@ -198,6 +198,55 @@ class Tagger:
         return tags
 
 
+class Path:
+    """The best path over scores that come bit by bit.
+
+    Whatever follows, the path up to now ends in one of the tags. As far back as
+    the best paths to all of them are the same, it is settled and given out, so
+    only the unsettled end is held: a few characters, as a rule.
+    """
+
+    def __init__(self, tagger: Tagger):
+        self.trans = tagger.p["trans"]
+        self.best: np.ndarray | None = None
+        self.came = np.zeros((0, len(self.trans)), np.int8)
+
+    def feed(self, scores: np.ndarray) -> np.ndarray:
+        """Tags that are settled now, in order, after the next scores (T, K)."""
+        came = np.zeros(scores.shape, np.int8)
+        best = self.best
+        for t, own in enumerate(scores):
+            if best is None:
+                best = own
+                continue
+            moves = best[:, None] + self.trans
+            came[t] = moves.argmax(axis=0)
+            best = moves.max(axis=0) + own
+            if not t & 255:
+                best = best - best.max()  # sums stay small, hence exact
+        self.best = best
+        self.came = np.concatenate([self.came, came])
+        # The tags before place t that the best paths to each last tag have.
+        tags = np.arange(len(self.trans))
+        for t in range(len(self.came) - 1, 0, -1):
+            tags = self.came[t][tags]
+            if (tags == tags[0]).all():
+                return self._settled(t, int(tags[0]))
+        return np.zeros(0, np.int8)
+
+    def _settled(self, end: int, tag: int) -> np.ndarray:
+        """The path over the first `end` places that ends in a tag."""
+        out = np.empty(end, np.int8)
+        for t in range(end - 1, -1, -1):
+            out[t] = tag
+            tag = int(self.came[t][tag])
+        self.came = self.came[end:]
+        return out
+
+    def finish(self) -> np.ndarray:
+        return self._settled(len(self.came), int(self.best.argmax())) if len(self.came) else np.zeros(0, np.int8)
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     most = x.max(axis=axis, keepdims=True)
     return np.log(np.exp(x - most).sum(axis=axis)) + most.squeeze(axis)
