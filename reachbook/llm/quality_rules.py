@@ -10,45 +10,46 @@ of UTF-8: the same prose has the same ratio in letters of one, two or three byte
 from __future__ import annotations
 
 from bisect import bisect_right
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from reachbook.llm.common import SPACE, per_text
+from reachbook.llm.common import SPACE, in_batches, per_text
 
 SYMBOLS = b"#*$%&|<>"
 
 
+# First length in symbols of each band, and least and most ratio there,
+# as `fit_bands` finds them in the documents of sf0.1 (a test repeats it).
+STARTS = (0, 256, 362, 512, 724, 1024, 1448, 2048, 2896, 4096, 5793, 8192, 11585, 16384, 23170)
+LIMITS = (
+    (0.0, 2.07), (1.2, 2.07), (1.26, 2.2), (1.31, 2.39), (1.43, 2.49), (1.55, 2.62), (1.63, 2.77), (1.7, 2.85),
+    (1.75, 2.96), (1.81, 3.04), (1.87, 3.12), (1.91, 3.22), (1.96, 3.33), (2.02, 3.36), (2.02, 4.37),
+)
+
+
 @dataclass(frozen=True)
 class Bands:
     """`starts[i]` is the first length in symbols to which `limits[i]`, (least,
     most) ratio, applies. A text is rejected if it lies outside its limits, or
-    more than `bad_share` of its symbols are in chunks outside theirs. Text
-    that says half of itself twice lies above the most, Base64 and the like below
-    the least. How the limits were first chosen is not on record; they hold against
-    sf0.1, where the 8,884 documents that pass the base rules have ratios of 1.36 to
-    1.84 from 256 symbols on, 1.47 to 2.12 from 512, 1.71 to 2.61 from 1,024 and 2.16
-    to 2.90 from 8,192. Prose in Han characters, kana or Hangul was not measured."""
-
-    starts: tuple[int, ...] = (0, 128, 256, 512, 1024, 8192, 65536)
-    limits: tuple[tuple[float, float], ...] = (
-        (0.0, 2.0),
-        (1.0, 2.4),
-        (1.15, 2.5),
-        (1.3, 2.6),
-        (1.45, 3.0),
-        (1.5, 3.4),
-        (1.5, 3.8),
-    )
+    more than `bad_share` of its symbols are in chunks outside theirs. The limits
+    come from a reference corpus by `fit_bands`. Texts that are mostly Han
+    characters, kana or Hangul have `wide` limits of their own, by hand: no prose
+    in them was at hand, and as each character says much, only repetition shows."""
+
+    starts: tuple[int, ...] = STARTS
+    limits: tuple[tuple[float, float], ...] = LIMITS
+    wide: tuple[float, float] = (1.0, 5.0)
     chunk: int = 4096
     bad_share: float = 0.5
     level: int = 3
 
-    def outside(self, size: int, ratio: float) -> bool:
-        low, high = self.limits[bisect_right(self.starts, size) - 1]
+    def outside(self, size: int, ratio: float, wide: bool = False) -> bool:
+        low, high = self.wide if wide else self.limits[bisect_right(self.starts, size) - 1]
         return not low <= ratio <= high
 
 
@@ -97,6 +98,17 @@ def symbols(data: bytes) -> bytes:
     return b"".join(out)
 
 
+def mostly_wide(data: bytes) -> bool:
+    """Whether more than half of a text's ink is Han characters, kana, Hangul or Yi."""
+    if data.isascii():
+        return False
+    points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    wide = (points >= _KANA[0]) & (points <= _KANA[1])
+    for low, high in _WIDE:
+        wide |= (points >= low) & (points <= high)
+    return 2 * int(np.count_nonzero(wide)) > int(np.count_nonzero(points > 32))
+
+
 def base_counts(data: bytes) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a UTF-8 text."""
     words = data.split()
@@ -148,17 +160,18 @@ class Judge:
 
     def __call__(self, data: bytes) -> tuple[float, float, bool]:
         """Ratio of a UTF-8 text, share of symbols in bad chunks, and whether it stays."""
+        wide = mostly_wide(data)
         data = symbols(data)
         bands, whole = self.bands, self.ratio(data)
         if len(data) <= bands.chunk:
-            outside = bands.outside(len(data), whole)
+            outside = bands.outside(len(data), whole, wide)
             return whole, float(outside and bool(data)), not outside
         bad = 0
         for start in range(0, len(data), bands.chunk):
             chunk = data[start : start + bands.chunk]
-            bad += len(chunk) * bands.outside(len(chunk), self.ratio(chunk))
+            bad += len(chunk) * bands.outside(len(chunk), self.ratio(chunk), wide)
         share = bad / len(data)
-        return whole, share, not bands.outside(len(data), whole) and share <= bands.bad_share
+        return whole, share, not bands.outside(len(data), whole, wide) and share <= bands.bad_share
 
 
 @dataclass(frozen=True)
@@ -200,3 +213,46 @@ def quality_rules(
         return (*found.counts, found.base_failed, found.kept, found.ratio, found.bad_share)
 
     return per_text(docs, key, text, columns, step)
+
+
+def fit_bands(
+    docs: DataFrame, *, tail: float = 0.005, margins: tuple[float, float] = (0.12, 0.2), least: int = 30,
+    per_octave: int = 2, min_words: int = 50, plan: Bands = Bands(), text: str = "text",
+) -> Bands:
+    """Limits from a reference corpus: per band of lengths, `per_octave` of them
+    for each doubling, all but a `tail` of the ratios on either side, and a margin
+    beyond that.
+
+    Whole texts that pass the base rules count, and full chunks of longer ones;
+    wide scripts do not. Bands with fewer than `least` ratios share the limits of
+    the next shorter one, the longest with a third more above. Limits
+    never fall with the length. Spark's percentile sketches do the counting; the
+    driver sees one row per band. Without a reference the limits stay as they are.
+    """
+    held: list[Judge] = []
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        if not held:
+            held.append(Judge(plan))
+        bands, ratios = [], []
+        for value in batch.column(0).to_pylist():
+            data = (value or "").encode()
+            counts = base_counts(data)
+            if counts[0] < min_words or 100 * counts[4] > 50 * counts[0] or mostly_wide(data):
+                continue
+            data = symbols(data)
+            pieces = [data] + [data[i : i + plan.chunk] for i in range(0, len(data) - plan.chunk, plan.chunk)]
+            bands += [int(np.floor(np.log2(len(x)) * per_octave)) for x in pieces]
+            ratios += [held[0].ratio(x) for x in pieces]
+        return pa.RecordBatch.from_arrays([pa.array(bands, pa.int32()), pa.array(ratios, pa.float64())], ["band", "ratio"])
+
+    each = in_batches(docs.select(F.col(text).cast("string").alias("text")), step, "band int, ratio double")
+    found = each.groupBy("band").agg(F.count("*").alias("n"), F.percentile_approx("ratio", [tail, 1 - tail], 10_000).alias("ends"))
+    rows = sorted((r["band"], *r["ends"]) for r in found.where(F.col("n") >= least).collect())
+    if not rows:
+        return plan
+    lows = np.minimum.accumulate([r[1] * (1 - margins[0]) for r in rows][::-1])[::-1]
+    highs = np.maximum.accumulate([r[2] * (1 + margins[1]) for r in rows])
+    starts = [0, *[round(2 ** (r[0] / per_octave)) for r in rows], round(2 ** ((rows[-1][0] + 1) / per_octave))]
+    limits = [(0.0, highs[0]), *zip(lows, highs, strict=True), (lows[-1], highs[-1] * 1.3)]
+    return replace(plan, starts=tuple(starts), limits=tuple((round(float(a), 2), round(float(b), 2)) for a, b in limits))

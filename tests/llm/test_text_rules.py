@@ -1,18 +1,21 @@
 """Quality rules, secret scans and personal data against plain versions."""
 
+import base64
 import hashlib
+import itertools
 import random
 import re
 import time
 import tracemalloc
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from reachbook.llm import personal_data as pd_
 from reachbook.llm import secrets
 from reachbook.llm.personal_data import Training, personal_data
-from reachbook.llm.quality_rules import Bands, Judge, base_counts, quality_rules, symbols
+from reachbook.llm.quality_rules import LIMITS, STARTS, Bands, Judge, base_counts, fit_bands, judge_text, mostly_wide, quality_rules, symbols
 from reachbook.llm.secrets import assignments, find_secrets, redact, secret_scan
 from reachbook.llm.tagger import Path, Shape, Tagger
 from tests.llm.helpers import by_id, documents, edge_rows, prose
@@ -344,3 +347,63 @@ def test_literals_without_quotes_end_where_their_syntax_does():
     chained = "outer=inner=Zx81kQ0m"
     assert [(n, chained[s:e]) for n, s, e in assignments(chained)] == [("outer", "inner=Zx81kQ0m"), ("inner", "Zx81kQ0m")]
     assert [n for n, _, _ in assignments("a=" + "b=" * 600 + "c")] == ["a"]
+
+
+# Limits from data.
+
+
+def planted(kind: str, words: int, seed: int) -> str:
+    """Texts that pass the base rules but are no prose."""
+    pick = random.Random(seed)
+    if kind == "numbered":  # the same sentences, told apart by numbers
+        lead = prose(seed, 16).split()
+        return " ".join(w if i % 3 < 2 else str(i) for i, w in zip(range(words), itertools.cycle(lead), strict=False))
+    if kind == "rows":
+        return "\n".join(f"<row {i}><name>value {i}</name><state>unchanged {i}</state></row>" for i in range(words // 3))
+    if kind == "base64":
+        return " ".join(base64.b64encode(pick.randbytes(12)).decode() for _ in range(words))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return " ".join("".join(pick.choice(letters) for _ in range(pick.randint(4, 9))) for _ in range(words))
+
+
+def test_default_limits_are_those_of_the_reference(spark):
+    found = fit_bands(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    assert found.starts == STARTS
+    assert np.allclose(found.limits, LIMITS, atol=0.02)
+
+
+def test_planted_texts_are_rejected_and_prose_is_kept():
+    judge = Judge(Bands())
+    for kind in ("numbered", "rows", "base64", "letters"):
+        # Random letters are told from prose from about 2,500 symbols on.
+        sizes = (400, 1500, 6000) if kind == "letters" else (150, 400, 1500, 6000)
+        found = [judge_text(planted(kind, words, seed), judge) for seed in range(25) for words in sizes]
+        assert not any(v.base_failed for v in found)
+        assert np.mean([not v.kept for v in found]) >= 0.9, kind
+    texts = [t.as_py() or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text")]
+    clean = [t for t in texts if not judge_text(t, judge).base_failed]
+    assert len(clean) > 800
+    for first in (None, 0x430, 0x915, 0x3B1, 0x5D0):
+        other = str.maketrans({chr(97 + i): chr(first + i) for i in range(26)}) if first else {}
+        kept = [judge_text(t.lower().translate(other) if first else t, judge).kept for t in clean]
+        assert np.mean(kept) >= 0.99, first
+
+
+def test_wide_scripts_are_judged_by_repetition():
+    judge = Judge(Bands())
+    rng = np.random.default_rng(2)
+    for size in (200, 1000, 6000):
+        points = 0x4E00 + np.minimum(rng.zipf(1.2, size), 20_000)
+        text = " ".join("".join(map(chr, points[i : i + 5])) for i in range(0, size, 5))
+        assert mostly_wide(text.encode()) and judge(text.encode())[2]
+        assert not judge((text[:20] * size).encode())[2]
+    assert not mostly_wide("mostly letters 漢字".encode()) and not mostly_wide(b"")
+
+
+def test_limits_of_another_reference(spark):
+    rows = [(i, prose(i, 60 + i % 900)) for i in range(400)] + [(900, None), (901, ""), (902, "short")]
+    found = fit_bands(documents(spark, rows), least=10)
+    judge = Judge(found)
+    assert np.mean([judge(t.encode())[2] for _, t in rows[:400]]) >= 0.99
+    assert all(a[0] <= b[0] and a[1] <= b[1] for a, b in zip(found.limits, found.limits[1:], strict=False))
+    assert fit_bands(documents(spark, [])) == Bands()
