@@ -11,6 +11,7 @@ import tracemalloc
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from reachbook.llm import personal_data as pd_
 from reachbook.llm import secrets
@@ -407,3 +408,27 @@ def test_limits_of_another_reference(spark):
     assert np.mean([judge(t.encode())[2] for _, t in rows[:400]]) >= 0.99
     assert all(a[0] <= b[0] and a[1] <= b[1] for a, b in zip(found.limits, found.limits[1:], strict=False))
     assert fit_bands(documents(spark, [])) == Bands()
+
+
+def test_forms_that_no_pattern_matches_are_found_and_plain_numbers_left(spark):
+    """Held-out made-up data in forms beyond the patterns, and numbers that are none."""
+    plan = Training()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tagger = pd_.train(docs.select(F.col("doc_id").alias("id"), "text"), plan)
+    rng = np.random.default_rng(4242)
+
+    def added(text: str) -> list:
+        found = [s for s in pd_.tagged_spans([text], tagger, plan)[0] if pd_.plausible(text, s)]
+        return pd_._apart(found, pd_.base_spans(text))
+
+    hits = spans = 0
+    for number in range(240):
+        kind = pd_.KINDS[number % 4]
+        piece, before = pd_._FORMS[kind](rng, False), prose(number, 25) + " "
+        text = before + piece + " " + prose(number + 1000, 25)
+        assert not any(s[0] == kind and s[1:] == (len(before), len(before) + len(piece)) for s in pd_.base_spans(text))
+        found = added(text)
+        spans += len(found)
+        hits += (kind, len(before), len(before) + len(piece)) in found
+    alarms = sum(bool(added(prose(n, 25) + " " + pd_._harmless(rng) + " " + prose(n + 1000, 25))) for n in range(400))
+    assert hits >= 0.9 * 240 and hits >= 0.95 * spans and alarms <= 12, (hits, spans, alarms)
