@@ -241,32 +241,41 @@ def _strings(data: bytes, wanted: list[int], spec: Repeats) -> Iterator[tuple[in
 
 
 def _segments(texts: DataFrame, spec: Repeats) -> DataFrame:
-    """(key, doc_id, starts, segment): the text of a bucket that one task sorts,
-    once per document however often it is there."""
+    """(key, doc_id, lows, highs, often, segment): the text of a bucket that one
+    task sorts, once per document however often it is there. Places that touch or
+    overlap, as in periodic text, are one stretch."""
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         rows = []
         for doc, data, wanted in unpacked(batch):
-            found: dict[tuple[int, bytes], list[int]] = {}
+            found: dict[tuple[int, bytes], list] = {}
             for key, start, stop in _strings(data, wanted, spec):
-                found.setdefault((key, data[start : stop - 1 + spec.length]), []).append(start)
-            rows += [(key, doc, starts, piece) for (key, piece), starts in found.items()]
+                end = stop - 1 + spec.length
+                own = found.setdefault((key, data[start:end]), [[], [], False])
+                own[2] = bool(own[0])
+                if own[0] and start <= own[1][-1]:
+                    own[1][-1] = end
+                else:
+                    own[0].append(start)
+                    own[1].append(end)
+            rows += [(key, doc, *own, piece) for (key, piece), own in found.items()]
         if not rows:
             return None
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.bool_(), pa.binary()]
         return pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-            ["key", "doc_id", "starts", "segment"],
+            ["key", "doc_id", "lows", "highs", "often", "segment"],
         )
 
     cold = texts.where(F.size("cold") > 0).select("doc_id", "packed", "cold")
-    return in_batches(cold, cut, "key long, doc_id long, starts array<int>, segment binary", rows=64)
+    schema = "key long, doc_id long, lows array<int>, highs array<int>, often boolean, segment binary"
+    return in_batches(cold, cut, schema, rows=64)
 
 
 def _sorted_spans(segments: DataFrame, spec: Repeats) -> DataFrame:
     """(doc_id, low, high): bytes covered by repeated strings, from suffix arrays."""
 
-    def spans(buckets: list[dict[bytes, list[tuple[int, int]]]]) -> Iterator[tuple[int, int, int]]:
+    def spans(buckets: list[dict[bytes, list[tuple]]]) -> Iterator[tuple[int, int, int]]:
         # One string of an anchor's text has one place in it, so a bucket whose
         # text is all the same needs no sorting.
         pieces = [piece for found in buckets if len(found) > 1 for piece in found]
@@ -274,12 +283,13 @@ def _sorted_spans(segments: DataFrame, spec: Repeats) -> DataFrame:
         covered: dict[int, list[tuple[int, int]]] = {}
         for found in buckets:
             for piece, places in found.items():
-                marked = flags.get(piece)
                 # Text that is there twice is repeated throughout.
-                if len(places) > 1 or marked is None:
-                    marked = np.full(len(piece) - spec.length + 1, len(places) > 1)
-                for doc, start in places:
-                    covered.setdefault(doc, []).extend(_runs(marked, start, spec.length))
+                if len(places) > 1 or places[0][3]:
+                    for doc, lows, highs, _ in places:
+                        covered.setdefault(doc, []).extend(zip(lows, highs, strict=True))
+                elif piece in flags:
+                    doc, (start,), _, _ = places[0]
+                    covered.setdefault(doc, []).extend(_runs(flags[piece], start, spec.length))
         for doc, ranges in covered.items():
             for low, high in _united(ranges):
                 yield doc, low, high
@@ -287,7 +297,7 @@ def _sorted_spans(segments: DataFrame, spec: Repeats) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, size, buckets, out = None, 0, [], []
         for batch in batches:
-            for key, doc, starts, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, doc, lows, highs, often, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != at:
                     if size > spec.array_bytes:
                         out += spans(buckets)
@@ -296,7 +306,7 @@ def _sorted_spans(segments: DataFrame, spec: Repeats) -> DataFrame:
                     at = key
                 if piece not in buckets[-1]:
                     size += len(piece)
-                buckets[-1].setdefault(piece, []).extend((doc, start) for start in starts)
+                buckets[-1].setdefault(piece, []).append((doc, lows, highs, often))
             if out:
                 yield _spans_batch(out)
                 out = []

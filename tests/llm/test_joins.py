@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from reachbook.llm import suffix_dedup as sd
@@ -250,6 +251,25 @@ def test_shared_strings_whatever_the_ids(spark):
     assert sum(n > 0 for _, _, n in found) == 4
 
 
+@pytest.mark.parametrize("spec", [Repeats(20, 8), Repeats()])
+def test_periodic_text(spark, spec):
+    rows = [(1, "a" * 30_000), (2, "ab" * 5000 + prose(1, 60)), (3, "abc" * 90), (4, prose(2, 50)), (5, "abcdefghij" * 40 + prose(3, 40) + "abcdefghij" * 40)]
+    found = by_id(suffix_dedup(documents(spark, rows), spec))
+    for (doc, text), mask in zip(rows, removed([t.encode() for _, t in rows], spec.length), strict=True):
+        spans = int((np.diff(np.concatenate([[0], mask.astype(int)])) == 1).sum())
+        assert (found[doc].n_removed, found[doc].n_spans) == (int(mask.sum()), spans)
+
+
+def test_periodic_text_is_one_stretch(spark):
+    spec = Repeats()
+    data = b"x" * 200_000
+    keys, starts = sd.anchors(data, spec)
+    row = (1, zstandard.compress(data), sorted(set(keys.view(np.int64).tolist())), [])
+    texts = spark.createDataFrame([row], "doc_id long, packed binary, cold array<long>, hot array<long>")
+    found = sd._segments(texts, spec).collect()
+    assert len(starts) > 1000 and sum(len(r.lows) for r in found) < 10
+
+
 def test_vectors_of_any_length_have_a_direction(spark):
     rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 0.0]), (4, [5e-324, 0.0]), (5, [1.0, 0.0]), (6, [-1e308, 1e308]), (7, [0.0, 1e-300])]
     found = by_id(range_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "vec_id")
