@@ -118,7 +118,6 @@ _ASKED = {
     _ON: ("DaysOverDueTolerance",),
     _AFTER: ("DaysOverDueTolerance", "TotalOSPrincipal", "Installment Amount Latest", "AgreementNo", "ReportDate"),
 }
-_SIDES = {_BEFORE: "_before", _ON: "_on", _AFTER: "_after"}
 # Rows that equal ones turn into at once.
 BLOCK = 10_000
 
@@ -129,7 +128,7 @@ def _read_days(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) ->
     A message day asks for up to three days of its agreement. Snapshots that say
     the same become one entry with a number of copies, before they are shuffled,
     so loading a snapshot many times costs one entry. A day then holds one short
-    list per side, and the instalments whose runs it starts or extends.
+    list of entries, and the instalments whose runs it starts or extends.
     """
     text = {f.name for f in campaign.snapshots.schema if isinstance(f.dataType, T.StringType)}
     names = list(dict.fromkeys(c for side in sides for c in _ASKED[side]))
@@ -161,10 +160,8 @@ def _read_days(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) ->
         *[F.when(F.col("_side").isin(own), F.col(f"`_{c}`")).alias(f"_{c}") for c, own in asking.items()],
     )
     entries = entries.groupBy(*[f"`{c}`" for c in entries.columns]).agg(F.count("*").alias("_copies"))
-    lists = [F.collect_set("_serves").alias("_serves")]
-    for side in sides:
-        entry = F.struct(*[F.col(f"`_{c}`").alias(c) for c in _ASKED[side]], "_copies")
-        lists.append(F.collect_list(F.when(F.col("_side") == side, entry)).alias(_SIDES[side]))
+    entry = F.struct("_side", *[F.col(f"`_{c}`").alias(c) for c in names], "_copies")
+    lists = F.collect_set("_serves").alias("_serves"), F.collect_list(entry).alias("_read")
     return entries.groupBy("agreementno", "pt", *flags).agg(*lists)
 
 
@@ -176,8 +173,8 @@ def _read_runs(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) ->
     spans = []
     for i, _ in enumerate(splits):
         inside = F.col(f"_in{i}")
-        spans.append(F.min(F.when(inside, F.struct("pt", "_before"))).alias(f"_first{i}"))
-        spans.append(F.max(F.when(inside, F.struct("pt", *[_SIDES[s] for s in sides]))).alias(f"_last{i}"))
+        spans.append(F.min(F.when(inside, F.struct("pt", "_read"))).alias(f"_first{i}"))
+        spans.append(F.max(F.when(inside, F.struct("pt", "_read"))).alias(f"_last{i}"))
     instalments = days.groupBy("agreementno", F.col("_served.angsuran").alias("angsuran")).agg(*spans)
     runs = []
     for i, (product, group) in enumerate(splits):
@@ -185,12 +182,15 @@ def _read_runs(campaign: Campaign, by_contact: bool, sides: tuple[int, ...]) ->
         fields = [F.lit(product).alias("product"), first["pt"].alias("min__pt"), last["pt"].alias("max__pt")]
         if group:
             fields.append(F.lit(group).alias("Grouped_Disposition"))
-        fields += [first["_before"].alias("_p"), last["_before"].alias("_r"), last["_on"].alias("_w")]
-        if _AFTER in sides:
-            fields.append(last["_after"].alias("_n"))
-        runs.append(F.struct(*fields))
+        runs.append(F.struct(*fields, first["_read"].alias("first"), last["_read"].alias("last")))
+
+    def side(name: str, kept: int):
+        return F.filter(f"run.{name}", lambda x: x["_side"] == kept)
+
     shown = ["agreementno", "run.product", "angsuran", "run.min__pt", "run.max__pt"]
-    shown += ["run.Grouped_Disposition"] * by_contact + ["run._p", "run._r", "run._w"] + ["run._n"] * (_AFTER in sides)
+    shown += ["run.Grouped_Disposition"] * by_contact
+    shown += [side("first", _BEFORE).alias("_p"), side("last", _BEFORE).alias("_r"), side("last", _ON).alias("_w")]
+    shown += [side("last", _AFTER).alias("_n")] * (_AFTER in sides)
     return (
         instalments.select("agreementno", "angsuran", F.explode(F.array(*runs)).alias("run"))
         .where(F.col("run.min__pt").isNotNull())
