@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -66,6 +67,14 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of stored tables now. It does so once
+    the driver has collected the plans they came from, which else may take long
+    after the disk is full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def numbered_rows(df: DataFrame, name: str = "row") -> DataFrame:
     """The rows with a number each, written down, as another reading could number
     them otherwise. Ids may be null or shared; these numbers are not."""

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachbook.llm.common import components, distinct_sorted, in_batches, mix, numbered_rows, packed_texts, stored
+from reachbook.llm.common import components, distinct_sorted, in_batches, mix, numbered_rows, packed_texts, release, stored
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -396,6 +396,7 @@ def jaccard_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:
     classes = stored(sets.where("n_grams > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")))
     groups = components(_edges(docs, join)).select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
     candidates = stored(classes.join(groups, "doc_id"))
+    release(docs.sparkSession)  # signatures are most of what is shuffled
     totals = candidates.groupBy("group").agg(F.sum("n_grams").alias("grams"), F.count("*").alias("sets"))
     blocks = F.greatest(F.ceil(F.col("grams") / join.block_grams), F.ceil(F.col("sets") / join.block_rows))
     totals = stored(totals.where("sets > 1").select("group", blocks.cast("int").alias("blocks")))
@@ -404,6 +405,7 @@ def jaccard_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:
     classes = stored(
         classes.join(joined, "doc_id", "left").select("one", "two", F.coalesce("component", "doc_id").alias("component"))
     )
+    release(docs.sparkSession)
     # Sets without n-grams have no class, so they keep their own id.
     return sets.join(classes, ["one", "two"], "left").select(
         "doc_id", "n_grams", F.coalesce("component", "doc_id").alias("component_id")
