@@ -159,6 +159,7 @@ def components(edges: DataFrame) -> DataFrame:
     a third of all edges. Stops when every edge leads to a component's least id.
     """
     edges = stored(edges.where("a <> b").select("a", "b").distinct())
+    release(edges.sparkSession)
     while True:
         # Every vertex: its larger neighbours go to the least one it knows.
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -203,6 +203,7 @@ def _edges(docs: DataFrame, join: Join) -> DataFrame:
     """
     names = ["sign", "a", "b"]
     common = _common(docs, join) if join.common else np.empty(0, np.uint64)
+    release(docs.sparkSession)  # counts of all n-grams, before the signatures come
 
     def rows(signs: np.ndarray, first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (signs, first, second)], names)
