@@ -32,7 +32,7 @@ _QUOTED = re.compile(
     re.DOTALL,
 )
 _BARE = re.compile(r"""[^\s,;&"'`{}()\[\]<>]+""")
-#: No secret without quotes is longer: names inside such a literal are part of it.
+#: Names inside a longer literal without quotes are part of it, unless all pairs are asked for.
 _LONGEST_BARE = 1000
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
 _BLANK = " \t"
@@ -80,7 +80,7 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def assignments(text: str) -> list[tuple[str, int, int]]:
+def assignments(text: str, longest: int | None = _LONGEST_BARE) -> list[tuple[str, int, int]]:
     """Name-literal pairs in order: the target name, where its literal lies.
 
     Understands `name = "literal"`, `name: literal`, `"name": "literal"`,
@@ -89,14 +89,16 @@ def assignments(text: str) -> list[tuple[str, int, int]]:
     (`table["name"] = ...`); and prefixed or triple quotes. A name that is later
     assigned to another stands for its literal there, so that pair points to the
     literal as well. A literal without quotes ends at a blank, a bracket, a quote,
-    `,`, `;` or `&`. Every character is read a bounded number of times.
+    `,`, `;` or `&`, and names inside it have what follows them there; if it has
+    more than `longest` characters, they are left out (None: never). Every
+    character is read a bounded number of times.
     """
     constants: dict[str, tuple[int, int]] = {}
     pairs = []
     openings = _openings(text)
     run = (0, 0)  # the literal without quotes that was read last
     for operator in _OPERATOR.finditer(text):
-        if run[0] <= operator.start() < run[1] and run[1] - run[0] > _LONGEST_BARE:
+        if longest is not None and run[0] <= operator.start() < run[1] and run[1] - run[0] > longest:
             continue
         names = _names_before(text, operator.start(), operator.group() == "=", openings)
         if not names:
@@ -254,15 +256,43 @@ def strength(literal: str, scoring: Scoring) -> float:
     return min(1.0, bits / scoring.full_bits)
 
 
+def strengths(text: str, starts: list[int], end: int, scoring: Scoring) -> dict[int, float]:
+    """`strength` of literals that end at one place, by where they start.
+
+    From the shortest on: a longer one holds what the one before it holds, so it
+    has its placeholders and at least its bits. Names and operators between the
+    starts bring bits, so few are read whole before one is full; of those after it
+    only what is new is read.
+    """
+    longest = max((len(p) for p in scoring.placeholders), default=0)
+    found: dict[int, float] = {}
+    value, last, void = 0.0, end, False
+    for start in sorted(starts, reverse=True):
+        if not void:
+            new = text[start : min(end, last + longest)].lower()
+            void = any(p in new for p in scoring.placeholders)
+        if void:
+            value = 0.0
+        elif value < 1.0:
+            value = strength(text[start:end], scoring)
+        found[start] = value
+        last = start
+    return found
+
+
 def literal_spans(text: str, scoring: Scoring, taken: list[Span]) -> list[Span]:
     """Literals of sensitive names, each once, that no fixed pattern covers whole."""
-    found: dict[tuple[int, int], float] = {}
-    for name, start, end in assignments(text):
+    weights: dict[int, dict[int, float]] = {}  # by end, then by start
+    for name, start, end in assignments(text, longest=None):
         weight = sensitivity(name, scoring)
         if weight:
-            score = min(weight, 1.0) * strength(text[start:end], scoring)
-            found[start, end] = max(found.get((start, end), 0.0), score)
-    spans = sorted((s, e) for (s, e), score in found.items() if score >= scoring.least)
+            own = weights.setdefault(end, {})
+            own[start] = max(own.get(start, 0.0), min(weight, 1.0))
+    spans = []
+    for end, own in weights.items():
+        strong = strengths(text, list(own), end, scoring)
+        spans += [(start, end) for start, weight in own.items() if weight * strong[start] >= scoring.least]
+    spans.sort()
     # Spans of one kind never overlap, so the last one that starts no later is
     # the only one of its kind that can cover a literal.
     kinds: dict[str, list[Span]] = {}

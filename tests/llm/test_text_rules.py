@@ -432,3 +432,22 @@ def test_forms_that_no_pattern_matches_are_found_and_plain_numbers_left(spark):
         hits += (kind, len(before), len(before) + len(piece)) in found
     alarms = sum(bool(added(prose(n, 25) + " " + pd_._harmless(rng) + " " + prose(n + 1000, 25))) for n in range(400))
     assert hits >= 0.9 * 240 and hits >= 0.95 * spans and alarms <= 12, (hits, spans, alarms)
+
+
+def test_names_inside_a_very_long_literal_have_their_secrets():
+    text = "x=" + "part/7:" * 400 + "pwd=Zx81!kQ0m%Vb72" + "~" * 1500 + "\nnext = 1"
+    start, end = text.index("Zx81"), text.index("\n")
+    assert ("literal", start, end) in find_secrets(text)[1]
+    assert redact(text).count("Zx81") == 0
+    # As names inside short ones have.
+    short = text.replace("part/7:" * 400, "part/7:").replace("~" * 1500, "~")
+    assert ("literal", short.index("Zx81"), short.index("\n")) in find_secrets(short)[1]
+
+
+@pytest.mark.parametrize("unit", ["pwd=a:", "key=b7/x:c=", "salt:aaaaaaaa=", "api=Ab1!:example:", "k=İx:"])
+def test_literals_that_share_an_end_are_as_strong_as_alone(unit):
+    scoring = secrets.Scoring()
+    text = "x1=" * 30 + unit * 60 + "Q7=" * 20 + "zz"
+    starts = [m.end() for m in re.finditer("[:=]", text)]
+    found = secrets.strengths(text, starts, len(text), scoring)
+    assert found == {s: secrets.strength(text[s:], scoring) for s in starts}
