@@ -34,15 +34,17 @@ UNDECIDED = "und"
 @dataclass(frozen=True)
 class Plan:
     """Models over n-grams of `order` symbols, 2 to 6. Texts are gathered in parts
-    of about `part` characters, at most `buffer` n-grams are held before they are
-    summed up, and a range of hashes has about `bucket` n-grams. So many `languages`
-    are scored at once; more take their turns. Confidence is
+    of about `part` characters, fewer if those have more than about `grams` different
+    n-grams; about `buffer` n-grams are held before they are summed up, and a range
+    of hashes has about `bucket` n-grams. So many `languages` are scored at once;
+    more take their turns. Confidence is
     fitted to at most `fit_rows` labelled documents, those whose id hashes lowest."""
 
     order: int = 5
     fit_rows: int = 2000
     buffer: int = 1 << 20
     part: int = 1 << 25
+    grams: int = 1 << 21
     bucket: int = 1 << 18
     languages: int = 16
 
@@ -119,31 +121,36 @@ def _parts(each: DataFrame, plan: Plan, scratch: Scratch) -> DataFrame:
         alphabet, packer = Alphabet(), zstandard.ZstdCompressor(level=6)
         draw = np.random.default_rng()
         rows: list[tuple] = []
-        held: dict[str | None, list[tuple[np.ndarray, ...]]] = {}
+        texts, written = packer.compressobj(), []
+        held: dict[str | None, tuple[np.ndarray, ...]] = {}
         waiting: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
-        fresh: dict[str | None, int] = {}
 
-        def settle(label: str | None) -> None:
-            own = waiting.pop(label, [])
-            fresh[label] = 0
-            if sum(len(x[0]) for x in own):
-                high, low = (np.concatenate(c) for c in zip(*own, strict=True))
-                new = (wide_hash(high, low), high, low, np.ones(len(high), np.int64))
-                held[label] = [_merged([*held.get(label, []), _merged([new])])]
+        def settle() -> int:
+            for label in list(waiting):
+                high, low = (np.concatenate(c) for c in zip(*waiting.pop(label), strict=True))
+                if len(high):
+                    new = _merged([(wide_hash(high, low), high, low, np.ones(len(high), np.int64))])
+                    held[label] = _merged([held.pop(label), new]) if label in held else new
+            return sum(len(found[0]) for found in held.values())
 
         def finished() -> Iterator[pa.RecordBatch]:
+            nonlocal texts
             part = int(draw.integers(1 << 62))
-            for label in list(waiting):
-                settle(label)
-            for label, (found,) in held.items():
+            settle()
+            written.append(texts.flush())  # a compressor packs one thing at a time
+            for label in list(held):
+                found = held.pop(label)
                 order = np.lexsort((found[2], found[1]))
-                data = b"".join(c[order].tobytes() for c in found[1:])
-                yield _part(1, part, label, None, None, [len(order)], packer.compress(data))
-            texts = [r[2] for r in rows]
-            yield _part(0, part, None, [r[0] for r in rows], [r[1] for r in rows], [len(t) for t in texts], packer.compress(b"".join(texts)))
-            rows.clear(), held.clear(), fresh.clear()
-
-        size = 0
+                own = packer.compressobj(size=3 * 8 * len(order))
+                data = b"".join([*[own.compress(c[order].data) for c in found[1:]], own.flush()])
+                yield _part(1, part, label, None, None, [len(order)], data)
+            ids, labels, sizes = (list(c) for c in zip(*rows, strict=True))
+            data = b"".join(written)
+            texts = packer.compressobj()
+            rows.clear(), written.clear()
+            yield _part(0, part, None, ids, labels, sizes, data)
+
+        size = fresh = 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 for one, text, label in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns), strict=True):
@@ -151,14 +158,17 @@ def _parts(each: DataFrame, plan: Plan, scratch: Scratch) -> DataFrame:
                     found = alphabet(text)
                     high, low = wide_grams(found, plan.order)
                     waiting.setdefault(label, []).append((high, low))
-                    fresh[label] = fresh.get(label, 0) + len(high)
-                    rows.append((one, label, found.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")))
+                    data = found.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+                    written.append(texts.compress(data))
+                    rows.append((one, label, len(data)))
                     size += len(text) + 1
-                    if fresh[label] >= plan.buffer:
-                        settle(label)
-                    if size >= plan.part:
+                    fresh += len(high)
+                    full = size >= plan.part
+                    if fresh >= plan.buffer:
+                        fresh, full = 0, settle() >= plan.grams or full
+                    if full:
                         yield from finished()
-                        size = 0
+                        size = fresh = 0
         if rows:
             yield from finished()
 
@@ -384,13 +394,11 @@ def _scores(parts: DataFrame, scored: DataFrame | None, languages: int, buckets:
             if answers:  # ranges follow each other, so all hashes are in order
                 places = Places(np.concatenate([shards.unpack_numbers(x["hashes"], np.uint64, True) for x in answers]))
                 values = np.concatenate([_unpack_logs(x["logs"], languages) for x in answers])
-            data = zstandard.ZstdDecompressor().decompress(packed)
+            data = zstandard.ZstdDecompressor().stream_reader(packed)
             n, costs = np.zeros(len(ids), np.int64), np.zeros((len(ids), languages), np.int64)
-            place = 0
             for i, size in enumerate(sizes):
-                points = data[place : place + size].decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
+                points = data.read(size).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
                 own = wide_hash(*wide_grams(np.frombuffer(points, np.uint32), plan.order))
-                place += size
                 if len(own) and languages:
                     costs[i] = -values[places(own)].sum(axis=0, dtype=np.int64)
                 n[i] = len(own)

@@ -4,8 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
+import reachbook.llm.language_id as language_id_module
 from reachbook.llm.common import Scratch
 from reachbook.llm.language_id import BITS, STEPS, Alphabet, Places, Plan, language_id, learn, score_grams, wide_grams
 from reachbook.llm.site_quality import site_quality
@@ -186,6 +189,52 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert by_id(language_id(documents(spark, rows), plan=plan)) == by_id(language_id(documents(spark, wrong), plan=plan))
 
 
+def test_parts_with_many_ngrams_end_early(spark):
+    rows = labelled(20)
+    one, other = (by_id(language_id(documents(spark, rows), plan=p)) for p in (Plan(), Plan(buffer=300, grams=500)))
+    assert one == other
+
+
+def test_gathering_holds_one_buffer_for_all_labels(spark, monkeypatch):
+    held = []
+
+    def kept(batches):
+        held.append(sum(len(hashes) for hashes, *_ in batches))
+        return merged(batches)
+
+    merged = language_id_module._merged
+    monkeypatch.setattr(language_id_module, "_merged", kept)
+    gathered = []
+
+    class Docs:
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            gathered.append(run)
+
+    class Folder:
+        def bucketed(self, *_):
+            return None
+
+    language_id_module._parts(Docs(), Plan(buffer=2000), Folder())
+    texts = [prose(i, 20) for i in range(600)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(600)), pa.array(texts), pa.array([f"l{i % 60}" for i in range(600)])], ["id", "text", "label"]
+    )
+    parts = list(gathered[0](iter([batch])))
+    # Labels share the buffer: none of 60 waits until it alone has filled it.
+    assert max(held) < 2000 and len(held) > 200
+    (own,) = (p for p in parts if p.column(0)[0].as_py() == 0)
+    packed, sizes = own.column(6)[0].as_py(), own.column(5)[0].as_py()
+    data = zstandard.ZstdDecompressor().stream_reader(packed)
+    symbols = [np.frombuffer(data.read(n).decode("utf-8").encode("utf-32-le"), np.uint32) for n in sizes]
+    alphabet = Alphabet()
+    assert all(np.array_equal(s, alphabet(t)) for s, t in zip(symbols, texts, strict=True))
+
+
 def test_nothing_learned_is_undecided(spark):
     rows = [(1, "some text", None, "s"), (2, None, None, None)]
     assert {r.lang_pred for r in language_id(documents(spark, rows)).collect()} == {"und"}
