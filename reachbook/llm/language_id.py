@@ -6,7 +6,7 @@ discounts and probabilities are tables that Spark aggregates and joins, so they
 grow with the corpus and no process holds them. Texts are gathered in parts; a
 part's n-grams meet their scores by ranges of their hashes. A text has the
 language whose model needs the fewest bits per symbol for it; how far the next
-one lies behind says how sure that is, on a scale fitted to labelled documents.
+one lies behind says how sure that is, on a scale fitted to all labelled documents.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachbook.llm import shards
@@ -37,11 +37,11 @@ class Plan:
     of about `part` characters, fewer if those have more than about `grams` different
     n-grams; about `buffer` n-grams are held before they are summed up, and a range
     of hashes has about `bucket` n-grams. So many `languages` are scored at once;
-    more take their turns. Confidence is
-    fitted to at most `fit_rows` labelled documents, those whose id hashes lowest."""
+    more take their turns."""
 
     order: int = 5
-    fit_rows: int = 2000
+    #: Not read any more: confidence is fitted to all labelled documents.
+    fit_rows: int | None = None
     buffer: int = 1 << 20
     part: int = 1 << 25
     grams: int = 1 << 21
@@ -282,36 +282,71 @@ def score_grams(wanted: DataFrame, tables: list[tuple[DataFrame, DataFrame]], la
     return lower
 
 
-def _calibrate(learned: Learned, scores: DataFrame, plan: Plan) -> None:
-    """Fit the confidence, and the most bits a text of each language needs, to a
-    bounded sample of the labelled documents."""
-    train = scores.where("lang is not null")
-    first = train.select("id").orderBy(F.xxhash64("id"), "id").limit(plan.fit_rows)
-    last = first.agg(F.max(F.xxhash64("id"))).first()[0]
-    sample = train.where(F.xxhash64("id") <= F.lit(last))
-    order = [F.xxhash64("id"), "id", "lang", "margin", "best", "bits"]
-    rows = sample.orderBy(*order).limit(2 * plan.fit_rows).select("lang", "margin", "best", "bits").collect()
-    # In one order, so that sums do not depend on how texts were gathered.
-    rows = sorted((r for r in rows if r["best"] >= 0), key=lambda r: (r["margin"], r["best"], r["bits"], r["lang"]))
-    x = np.array([r["margin"] for r in rows])
-    right = np.array([learned.languages[r["best"]] == r["lang"] for r in rows], float)
-    # Logistic regression of right on margin; one example of each outcome at no
-    # margin, and one right one at a wide margin, keep it finite.
-    x = np.concatenate([x, [0.0, 0.0, 5.0]])
-    right = np.concatenate([right, [0.0, 1.0, 1.0]])
-    a, b = 1.0, 0.0
-    for _ in range(50):
+def _calibrate(learned: Learned, scores: DataFrame, scratch: Scratch) -> None:
+    """Fit the confidence, and the most bits a text of each language needs, to all
+    labelled documents; equal ones are counted."""
+    names = F.array(*[F.lit(x) for x in learned.languages])
+    train = scores.where("lang is not null and best >= 0")
+    right = (F.get(names, F.col("best")) == F.col("lang")).cast("double").alias("right")
+    rows = scratch.written(train.groupBy("best", right, "margin", "bits").agg(F.count("*").alias("n")))
+    learned.slope, learned.offset = _fit(rows)
+    learned.most_bits = {learned.languages[best]: 1.25 * bits for best, bits in _quantiles(rows, 0.99).items()}
+
+
+def _fit(rows: DataFrame) -> tuple[float, float]:
+    """Slope and offset of a logistic regression of `right` on `margin`, by
+    Newton's method: from what margins in small steps lead to, with the margins as
+    they are."""
+    near = rows.groupBy("right", F.round(F.col("margin") * 256).alias("step")).agg(F.sum("n").alias("n")).collect()
+    near = sorted((r["step"] / 256, r["right"], r["n"]) for r in near)
+    # One example of each outcome at no margin, and one right one at a wide margin, keep it finite.
+    held = np.array([(0.0, 0.0, 1.0), (0.0, 1.0, 1.0), (5.0, 1.0, 1.0)])
+
+    def here(of: np.ndarray, a: float, b: float) -> np.ndarray:
+        x, y, n = of.T
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        gradient = np.array([((p - right) * x).sum() + 1e-2 * a, (p - right).sum() + 1e-2 * b])
-        hessian = np.array([[(w * x * x).sum() + 1e-2, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-2]])
-        step = np.linalg.solve(hessian, gradient)
-        a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
-    learned.slope, learned.offset = max(a, 1e-3), b
-    for number, language in enumerate(learned.languages):
-        bits = [r["bits"] for r in rows if r["best"] == number and r["lang"] == language]
-        if bits:
-            learned.most_bits[language] = float(np.quantile(bits, 0.99)) * 1.25
+        w = n * (p * (1 - p) + 1e-9)
+        return np.array([(n * (p - y) * x).sum(), (n * (p - y)).sum(), (w * x * x).sum(), (w * x).sum(), w.sum()])
+
+    def everywhere(a: float, b: float) -> np.ndarray:
+        x, n = F.col("margin"), F.col("n")
+        p = 1 / (1 + F.exp(-F.greatest(F.least(a * x + b, F.lit(30.0)), F.lit(-30.0))))
+        off, w = n * (p - F.col("right")), n * (p * (1 - p) + 1e-9)
+        # Sums of decimals do not depend on how texts were gathered.
+        sums = [F.sum(v.cast("decimal(28,12)")).cast("double") for v in (off * x, off, w * x * x, w * x, w)]
+        return np.array([v or 0.0 for v in rows.agg(*sums).first()]) + here(held, a, b)
+
+    a, b = 1.0, 0.0
+    for sums in (lambda a, b: here(np.array([*held.tolist(), *near]), a, b), everywhere):
+        for _ in range(50):
+            x, one, xx, x1, ones = sums(a, b)
+            step = np.linalg.solve([[xx + 1e-2, x1], [x1, ones]], [x + 1e-2 * a, one + 1e-2 * b])
+            step = np.clip(step, -1, 1)
+            a, b = a - float(step[0]), b - float(step[1])
+            if np.abs(step).max() < 1e-9:
+                break
+    return max(a, 1e-3), b
+
+
+def _quantiles(rows: DataFrame, share: float) -> dict[int, float]:
+    """By language, the bits that this share of the texts rightly taken for it
+    need at most, between the two nearest: the bin of each is found from counts,
+    and its place among the different values of that bin."""
+    own = rows.where("right = 1").groupBy("best", "bits").agg(F.sum("n").alias("n"))
+    own = own.withColumn("bin", F.floor(F.col("bits") * 64))
+    language, last = Window.partitionBy("best"), F.ceil("place")
+    bins = own.groupBy("best", "bin").agg(F.sum("n").alias("held"))
+    bins = bins.withColumn("before", F.sum("held").over(language.orderBy("bin")) - F.col("held"))
+    bins = bins.withColumn("place", (F.sum("held").over(language) - 1) * F.lit(share))
+    bins = bins.where((F.col("before") <= last) & (F.col("before") + F.col("held") > F.floor("place")))
+    inside = own.join(bins, ["best", "bin"])
+    until = F.col("before") + F.sum("n").over(Window.partitionBy("best", "bin").orderBy("bits"))
+    inside = inside.withColumn("until", until).where((F.col("until") - F.col("n") <= last) & (F.col("until") > F.floor("place")))
+    found: dict[int, float] = {}
+    for r in inside.select("best", "bits", "place").orderBy("best", "bits").collect():
+        low = found.get(r["best"], r["bits"])
+        found[r["best"]] = low + (r["bits"] - low) * (r["place"] % 1)
+    return found
 
 
 #: Logarithms travel as 16-bit numbers in steps of 1/256 bit: off by 1/512 at
@@ -515,7 +550,9 @@ def language_id(
     counted.clear()
     found = _best(turns, len(learned.languages), plan.languages)
     if learned.languages:
-        _calibrate(learned, found, plan)
+        fitted = Scratch(spark)
+        _calibrate(learned, found, fitted)
+        fitted.clear()
     names = F.array(*[F.lit(x) for x in learned.languages]) if learned.languages else F.array(F.lit(UNDECIDED))
     limits = [learned.most_bits.get(x, float("inf")) for x in learned.languages] or [0.0]
     limit = F.get(F.array(*[F.lit(float(x)) for x in limits]), F.col("best"))

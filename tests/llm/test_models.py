@@ -10,7 +10,7 @@ import zstandard
 
 import reachbook.llm.language_id as language_id_module
 from reachbook.llm.common import Scratch
-from reachbook.llm.language_id import BITS, STEPS, Alphabet, Places, Plan, language_id, learn, score_grams, wide_grams
+from reachbook.llm.language_id import BITS, STEPS, Alphabet, Learned, Places, Plan, _calibrate, language_id, learn, score_grams, wide_grams
 from reachbook.llm.site_quality import site_quality
 from tests.llm.helpers import by_id, documents, edge_rows, prose
 
@@ -189,6 +189,42 @@ def test_labels_of_held_out_rows_change_nothing(spark):
     assert by_id(language_id(documents(spark, rows), plan=plan)) == by_id(language_id(documents(spark, wrong), plan=plan))
 
 
+def test_confidence_is_fitted_to_all_labelled_documents(spark):
+    # Thousands of pairs of margins and bits; most of the wrong ones have ids that a sample leaves out.
+    pick = np.random.default_rng(1)
+    rows = []
+    for i in range(6000):
+        best, margin = int(pick.integers(0, 3)), float(pick.choice([pick.random() * 6, 1.5]))
+        right = pick.random() < 1 / (1 + np.exp(1.0 - 0.8 * margin))
+        bits = float(pick.choice([2.5, 2 + pick.random() ** 3]))
+        rows.append((i, "abc"[best] if right else "abc"[best - 1], best, bits, margin))
+    rows += [(6000, None, 0, 9.0, 9.0), (6001, "a", -1, 0.0, 0.0), (None, "b", 1, 2.25, 0.5), (7, "b", 1, 2.25, 0.5)]
+    scores = spark.createDataFrame(rows, "id long, lang string, best int, bits double, margin double")
+    found = []
+    for parts in (1, 7):
+        learned, scratch = Learned(["a", "b", "c"]), Scratch(spark)
+        _calibrate(learned, scores.repartition(parts), scratch)
+        scratch.clear()
+        found.append((learned.slope, learned.offset, learned.most_bits))
+    assert found[0] == found[1]
+
+    train = [(m, float("abc"[best] == lang), best, bits) for _, lang, best, bits, m in rows if lang and best >= 0]
+    x, y = (np.array([*(r[k] for r in train), *own]) for k, own in ((0, (0, 0, 5)), (1, (0, 1, 1))))
+    slope, offset = found[0][:2]
+    p = 1 / (1 + np.exp(-(slope * x + offset)))
+    # At the least loss the slopes of the loss are zero.
+    assert abs(((p - y) * x).sum() + 1e-2 * slope) < 1e-5 and abs((p - y).sum() + 1e-2 * offset) < 1e-5
+    for best, language in enumerate("abc"):
+        bits = [b for _, r, own, b in train if r and own == best]
+        assert np.isclose(found[0][2][language], 1.25 * np.quantile(bits, 0.99), rtol=1e-12)
+
+
+def test_the_number_of_rows_to_fit_changes_nothing(spark):
+    rows = labelled(20)
+    few, every = (by_id(language_id(documents(spark, rows), plan=p)) for p in (Plan(fit_rows=2), Plan()))
+    assert few == every
+
+
 def test_parts_with_many_ngrams_end_early(spark):
     rows = labelled(20)
     one, other = (by_id(language_id(documents(spark, rows), plan=p)) for p in (Plan(), Plan(buffer=300, grams=500)))
