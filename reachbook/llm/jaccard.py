@@ -4,11 +4,15 @@ The n-grams of all documents have one global order, that of their hashes. It is
 cut into fragments, and so is every document's set.
 
 * Two sets that are similar enough differ in at most D n-grams, hence in at most
-  D fragments. Cut into more than D, some of their fragments are equal. Documents
-  with an equal fragment therefore form candidate groups that lose no link. D
-  grows with the size of a set, so sets are cut per size class; a set is cut for
-  every class in which it can have a partner as large or larger.
-  A document points to the least one that has the same fragment, not to all.
+  D fragments. Cut into more than D, some of their fragments are equal, and it is
+  known how many at least. D grows with the size of a set, so sets are cut per
+  size class; a set is cut for every class in which it can have a partner as
+  large or larger.
+* Two sets that share too few fragments are no candidates. Those that share a
+  fragment with few others are counted in pairs; where many share one, each points
+  to the least of them, not to all, and is left out if all it shares with others
+  is too little. What is left forms candidate groups, which lose no link; else sets
+  that have a phrase or two in common would chain most of a large corpus.
 * Candidate groups are cut into blocks and every two blocks meet in one task.
   There the overlap of a pair is counted fragment by fragment and summed; a pair
   is given up as soon as the fragments left cannot make up for what is missing.
@@ -35,6 +39,11 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _FOLD = bytes.maketrans(_UPPER, _LOWER)
 
+#: Bits of a set's hash that name it among candidates.
+VERTEX = (1 << 40) - 1
+#: Added to the shared signatures of two sets that share one with many.
+MANY = 1 << 32
+
 
 @dataclass(frozen=True)
 class Join:
@@ -42,8 +51,8 @@ class Join:
 
     A quarter more fragments than needed and `spare` are cut. `growth` is the
     width of a size class. Blocks hold about `block_grams` n-grams and
-    `block_rows` sets. At most `common` n-grams are left out of signatures. None
-    of these changes a result.
+    `block_rows` sets. At most `common` n-grams are left out of signatures. Up to
+    `few` sets that share a fragment are paired. None of these changes a result.
     """
 
     words: int = 3
@@ -54,6 +63,7 @@ class Join:
     block_rows: int = 4096
     signs_at_once: int = 1 << 20
     common: int = 200_000
+    few: int = 8
     count_fragments: int = 8
 
     def most_apart(self, grams: int) -> int:
@@ -106,6 +116,13 @@ class Signer:
         self.starts = join.classes(1 << 16)
 
     def __call__(self, grams: np.ndarray) -> np.ndarray:
+        return self.signed(grams)[0]
+
+    def signed(self, grams: np.ndarray) -> tuple[np.ndarray, int]:
+        """The signatures, and how many of them any linked set has at least. Of
+        fragments that are equal, those that are empty in both have none; if this
+        set has no more empty ones than the spare ones, its first cut is compared
+        with the first cut of every linked set."""
         join, n = self.join, len(grams)
         partner = 100 * n // join.percent
         if partner >= self.starts[-1]:
@@ -114,17 +131,19 @@ class Signer:
         if len(self.common):
             at = np.minimum(np.searchsorted(self.common, grams), len(self.common) - 1)
             rare = grams[self.common[at] != grams]
-        own = []
+        own, least = [], []
         for size_class in range(max(1, bisect_right(self.starts, n) - 1), bisect_right(self.starts, partner)):
             apart = join.most_apart(self.starts[size_class + 1] - 1)
             spare = join.spare + apart // 4
             for turn, chosen in enumerate((rare, rare, rare, grams)):
                 signs, empty = self._cut(chosen, apart + 1 + spare, size_class, turn)
                 short = int(empty.sum()) > spare
+                if not turn:
+                    least.append(1 if short else 1 + spare - int(empty.sum()))
                 own.append(signs if short and turn == 3 else signs[~empty])
                 if not short:
                     break
-        return np.concatenate(own) if own else np.empty(0, np.uint64)
+        return (np.concatenate(own), min(least)) if own else (np.empty(0, np.uint64), 1)
 
     def _cut(self, grams: np.ndarray, fragments: int, size_class: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
         if turn:
@@ -193,74 +212,153 @@ def _sets(docs: DataFrame, join: Join) -> DataFrame:
     return in_batches(docs, step, "doc_id long, n_grams long, one long, two long")
 
 
-def _edges(docs: DataFrame, join: Join) -> DataFrame:
-    """(a, b): documents that share a fragment, each with the least one of those.
+def _vertex(grams: np.ndarray) -> int:
+    """The first bits of a set's hash, as in the column `one` of _sets()."""
+    return int.from_bytes(xxhash.xxh3_128_digest(grams.tobytes())[:8], "little") & VERTEX
+
+
+def _summed(a: np.ndarray, b: np.ndarray, n: np.ndarray, least: np.ndarray) -> list[np.ndarray]:
+    """Each pair once, with the sum of its counts and the least of its bounds."""
+    order = np.lexsort((b, a))
+    a, b, n, least = (x[order] for x in (a, b, n, least))
+    heads = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
+    if not len(heads):
+        return [a, b, n, least]
+    return [a[heads], b[heads], np.add.reduceat(n, heads), np.minimum.reduceat(least, heads)]
+
+
+def _planes(signs: np.ndarray, sets: np.ndarray, least: np.ndarray) -> bytes:
+    """Entries in the order of their signatures, as planes of bytes, to be compressed."""
+    steps = np.diff(signs, prepend=np.uint64(0))
+    planes = [x.view(np.uint8).reshape(len(x), -1).T[:width] for x, width in ((steps, 8), (sets, 5), (least, 2))]
+    return np.concatenate(planes).tobytes()
+
+
+def _entries(planes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(planes, np.uint8).reshape(15, -1)
+    sets = np.zeros((planes.shape[1], 8), np.uint8)
+    sets[:, :5] = planes[8:13].T
+    steps, least = (np.ascontiguousarray(x.T).view(t).ravel() for x, t in ((planes[:8], np.uint64), (planes[13:], np.uint16)))
+    return np.cumsum(steps, dtype=np.uint64), sets.view(np.uint64).ravel(), least
+
+
+def _heads(signs: np.ndarray, sets: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Entries in order, each once; where each one's signature begins, and its number of entries."""
+    order = np.lexsort((sets, signs))
+    signs, sets, least = signs[order], sets[order], least[order]
+    once = np.ones(len(signs), bool)
+    once[1:] = (signs[1:] != signs[:-1]) | (sets[1:] != sets[:-1])
+    signs, sets, least = signs[once], sets[once], least[once]
+    heads = np.flatnonzero(np.concatenate([[True], signs[1:] != signs[:-1]]))
+    sizes = np.diff(np.append(heads, len(signs)))
+    return signs, sets, least, np.repeat(heads, sizes), np.repeat(sizes, sizes)
 
-    A task first joins what it holds itself and sends on one document per
-    signature, so a signature that a third of all documents have is no more rows
-    in one place than there are tasks. Rows with two different documents are
-    edges already and only travel along.
+
+def _star(hubs: np.ndarray, sets: np.ndarray, least: np.ndarray) -> list[np.ndarray]:
+    """Each set and its hub are joined for good; what it shares with many is counted under itself."""
+    apart = hubs != sets
+    joined = _summed(hubs[apart], sets[apart], np.full(int(apart.sum()), MANY), least[apart].astype(np.int64))
+    joined[2][:] = MANY
+    counted = _summed(sets, sets, np.ones(len(sets), np.int64), least.astype(np.int64))
+    return [np.concatenate(x) for x in zip(joined, counted, strict=True)]
+
+
+def _shared(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
+    """(a, b, n, least): sets a < b share n signatures, and at least `least` if they
+    are linked; MANY and more: they share one with many. a = b: the signatures that
+    a shares with many, and those that it shares at least with any linked set.
+
+    Sets go by the first bits of their hash, so copies are one set from the start.
+    A task first joins what it holds itself and sends on a few sets per signature,
+    so a signature that a third of all sets have is no more than a few rows per
+    task. Signatures travel in buckets of their first bits, packed.
     """
-    names = ["sign", "a", "b"]
     common = _common(docs, join) if join.common else np.empty(0, np.uint64)
     release(docs.sparkSession)  # counts of all n-grams, before the signatures come
-
-    def rows(signs: np.ndarray, first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (signs, first, second)], names)
-
-    def joined(signs: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
-        every = np.concatenate(signs)
-        of = np.repeat(np.array(docs, np.int64), [len(s) for s in signs])
-        order = np.lexsort((of, every))
-        every, of = every[order], of[order]
-        heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        hubs = of[np.repeat(heads, np.diff(np.append(heads, len(every))))]
-        edges = np.unique(np.stack([hubs, of])[:, hubs != of], axis=1)
-        spread = mix(edges[0].astype(np.uint64) * np.uint64(3) + edges[1].astype(np.uint64))
-        return rows(
-            np.concatenate([every[heads].view(np.int64), spread.view(np.int64)]),
-            np.concatenate([of[heads], edges[0]]),
-            np.concatenate([of[heads], edges[1]]),
-        )
+    few = join.few
+
+    def bucketed(signs: list[np.ndarray], sets: list[int], least: list[int]) -> pa.RecordBatch:
+        sizes = [len(x) for x in signs]
+        each = (np.repeat(np.array(x, t), sizes) for x, t in ((sets, np.uint64), (np.minimum(least, 65535), np.uint16)))
+        every, of, bound, heads, count = _heads(np.concatenate(signs), *each)
+        place = np.arange(len(every)) - heads
+        star = place > few
+        found = _star(of[heads[star]].view(np.int64), of[star].view(np.int64), bound[star])
+        every, of, bound = every[~star], of[~star], bound[~star]
+        spread = mix(found[0].astype(np.uint64) * np.uint64(3) + found[1].astype(np.uint64)) % np.uint64(buckets)
+        order = np.argsort(spread)
+        known, spread = np.stack(found)[:, order], spread[order]
+        all_buckets = np.arange(buckets + 1, dtype=np.uint64)
+        at = np.searchsorted((every >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), all_buckets)
+        known_at = np.searchsorted(spread, all_buckets)
+        press = zstandard.ZstdCompressor(level=1).compress
+        rows = []
+        for bucket in np.flatnonzero(np.diff(at) + np.diff(known_at)).tolist():
+            own = slice(at[bucket], at[bucket + 1])
+            also = known[:, known_at[bucket] : known_at[bucket + 1]]
+            rows.append((bucket, press(_planes(every[own], of[own], bound[own])), press(also.tobytes())))
+        types = [pa.int32(), pa.binary(), pa.binary()]
+        columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "packed", "known"])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signer, signs, of, held = Signer(join, common), [], [], 0
+        signer, signs, of, least, held = Signer(join, common), [], [], [], 0
         for batch in batches:
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = signer(gram_set((text or "").encode(), join.words))
+            for text in batch.column(0).to_pylist():
+                grams = gram_set((text or "").encode(), join.words)
+                own, bound = signer.signed(grams)
                 if len(own):
                     signs.append(own)
-                    of.append(doc)
+                    of.append(_vertex(grams))
+                    least.append(bound)
                     held += len(own)
                 if held >= join.signs_at_once:
-                    yield joined(signs, of)
-                    signs, of, held = [], [], 0
+                    yield bucketed(signs, of, least)
+                    signs, of, least, held = [], [], [], 0
         if held:
-            yield joined(signs, of)
+            yield bucketed(signs, of, least)
+
+    def met(entries: list[tuple], known: list[np.ndarray]) -> pa.RecordBatch:
+        signs, sets, least, heads, sizes = _heads(*(np.concatenate(x) for x in zip(*entries, strict=True)))
+        sets = sets.view(np.int64)
+        many = sizes > few
+        found = [*known, _star(sets[heads[many]], sets[many], least[many])]
+        least = least.astype(np.int64)
+        for step in range(1, few):
+            at = np.flatnonzero(~many[:-step] & (heads[:-step] == heads[step:]))
+            pair = sets[at], sets[at + step]
+            found.append([*pair, np.ones(len(at), np.int64), np.maximum(least[at], least[at + step])])
+        columns = _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "n", "least"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, 0
+        unpack = zstandard.ZstdDecompressor().decompress
+        last, entries, known = None, [], []
         for batch in batches:
-            signs, a, b = (c.to_numpy() for c in batch.columns)
-            if not len(signs):
-                continue
-            known = a == b
-            edges = [np.stack([a[~known], b[~known]])]
-            own, of = signs[known], a[known]
-            if len(own):
-                heads = np.concatenate([[own[0] != last], own[1:] != own[:-1]])
-                begins = np.where(heads, of, np.int64(0))
-                number = np.cumsum(heads)
-                hubs = np.concatenate([[hub], begins[heads]])[number]
-                last, hub = own[-1], hubs[-1]
-                apart = hubs != of
-                edges.append(np.stack([hubs[apart], of[apart]]))
-            found = np.unique(np.concatenate(edges, axis=1), axis=1)
-            if found.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
-
-    signed = docs.mapInArrow(sign, "sign long, a long, b long")
-    return signed.repartition("sign").sortWithinPartitions("sign", "a", "b").mapInArrow(meet, "a long, b long")
+            for bucket, packed, sent in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != last and entries:
+                    yield met(entries, known)
+                    entries, known = [], []
+                last = bucket
+                entries.append(_entries(unpack(packed)))
+                known.append(np.frombuffer(unpack(sent), np.int64).reshape(4, -1))
+        if entries:
+            yield met(entries, known)
+
+    signed = docs.select("text").mapInArrow(sign, "bucket int, packed binary, known binary")
+    found = signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a long, b long, n long, least long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+
+
+def _groups(shared: DataFrame) -> DataFrame:
+    """(vertex, group) of the sets that may be linked with others, from _shared()."""
+    pairs = shared.where("a <> b")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"), (F.col("n") % MANY).alias("n"))
+    best = ends.where("n > 0").groupBy("id").agg(F.max("n").alias("best"))
+    alone = shared.where("a = b").select(F.col("a").alias("id"), "n", "least").join(best, "id", "left")
+    alone = alone.where(F.col("n") + F.coalesce("best", F.lit(0)) < F.col("least")).select("id")
+    groups = components(pairs.where("n >= least").select("a", "b")).join(alone, "id", "left_anti")
+    return groups.select(F.col("id").alias("vertex"), F.col("component").alias("group"))
 
 
 class Sets:
@@ -395,9 +493,13 @@ def jaccard_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """(doc_id, n_grams, component_id) of rows (doc_id, text), each with an id of its own."""
     sets = stored(_sets(docs, join))
     classes = stored(sets.where("n_grams > 0").groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.max("n_grams").alias("n_grams")))
-    groups = components(_edges(docs, join)).select(F.col("id").alias("doc_id"), F.col("component").alias("group"))
-    candidates = stored(classes.join(groups, "doc_id"))
+    grams = sets.agg(F.sum("n_grams")).first()[0] or 0
+    shared = stored(_shared(docs, join, 1 + 4 * grams // join.signs_at_once))
     release(docs.sparkSession)  # signatures are most of what is shuffled
+    # Sets that are alone are kept: another one may have the same first bits.
+    candidates = classes.withColumn("vertex", F.col("one").bitwiseAND(VERTEX)).join(_groups(shared), "vertex", "left")
+    candidates = stored(candidates.select("doc_id", "n_grams", F.coalesce("group", "vertex").alias("group")))
+    release(docs.sparkSession)
     totals = candidates.groupBy("group").agg(F.sum("n_grams").alias("grams"), F.count("*").alias("sets"))
     blocks = F.greatest(F.ceil(F.col("grams") / join.block_grams), F.ceil(F.col("sets") / join.block_rows))
     totals = stored(totals.where("sets > 1").select("group", blocks.cast("int").alias("blocks")))

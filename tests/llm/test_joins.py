@@ -7,9 +7,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
+from reachbook.llm import jaccard
 from reachbook.llm import suffix_dedup as sd
 from reachbook.llm.common import components
 from reachbook.llm.jaccard import Join, Sets, Signer, gram_set, jaccard_components
@@ -162,6 +164,72 @@ def test_linked_sets_share_a_signature(percent):
     assert misses == 0
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_as_many_signatures_as_each_of_them_asks(percent):
+    rng = np.random.default_rng(percent)
+    least = []
+    for trial in range(400):
+        join = Join(percent=percent, spare=trial % 3)
+        n = int(rng.integers(1, 400))
+        one = np.unique(rng.integers(0, (1 << 64) - 1, n, np.uint64))
+        two = one[rng.random(len(one)) > rng.random() * 0.4]
+        two = np.unique(np.concatenate([two, rng.integers(0, (1 << 64) - 1, int(rng.integers(0, n // 5 + 1)), np.uint64)]))
+        common = np.sort(rng.choice(one, len(one) // 3, replace=False)) if trial % 2 else np.empty(0, np.uint64)
+        if join.linked(len(np.intersect1d(one, two)), len(one), len(two)) and not np.array_equal(one, two):
+            (signs, asked), (others, also) = map(Signer(join, common).signed, (one, two))
+            least.append(max(asked, also))
+            assert len(np.intersect1d(signs, others)) >= least[-1]
+    assert max(least) > 8
+
+
+@pytest.mark.parametrize("few", [2, 3, 8])
+@pytest.mark.parametrize("signs", [60, 300, 1 << 20])
+def test_no_link_is_lost_whatever_many_share(spark, few, signs):
+    rows = near_copies(5) + [(2000 + i, f"{prose(i, 40)} {prose(78, 25)}") for i in range(12)]
+    rows += [(3000 + i, text) for i, (_, text) in enumerate(rows[::3])]
+    join = Join(words=3, percent=80, few=few, signs_at_once=signs, common=30)
+    docs = documents(spark, rows).repartition(5)
+    found = by_id(jaccard_components(docs, join))
+    assert {d: (r.n_grams, r.component_id) for d, r in found.items()} == expected_components(rows, join)
+
+
+def test_sets_with_the_same_first_bits(spark, monkeypatch):
+    """All sets go by one of four names among candidates; the names cost time, not links."""
+    monkeypatch.setattr(jaccard, "VERTEX", 3)
+    monkeypatch.setattr(jaccard, "_vertex", lambda grams: xxhash.xxh3_128_digest(grams.tobytes())[0] & 3)
+    rows = near_copies(6)
+    found = by_id(jaccard_components(documents(spark, rows), Join(percent=80)))
+    assert {d: (r.n_grams, r.component_id) for d, r in found.items()} == expected_components(rows, Join(percent=80))
+
+
+def test_shared_phrases_chain_no_groups(spark, monkeypatch):
+    """Each text has a passage of the one before, and one that all of them have: no
+    two are near copies, so none but the pair of near copies is sent to be compared."""
+    sent = []
+    links = jaccard._links
+
+    def counted(docs, members, join):
+        sent.append(members.agg(F.sum("blocks")).first()[0])
+        return links(docs, members, join)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    passages = [prose(500 + i, 14) for i in range(41)]
+    rows = [(i, " ".join([prose(i, 130), passages[i], prose(99, 14), passages[i + 1]])) for i in range(40)]
+    rows.append((90, rows[7][1] + " more"))
+    join = Join(words=5, percent=80, common=0)
+    found = by_id(jaccard_components(documents(spark, rows).repartition(4), join))
+    assert {d: (r.n_grams, r.component_id) for d, r in found.items()} == expected_components(rows, join)
+    assert sent == [2]
+
+
+def test_copies_are_no_candidates(spark):
+    """However many tasks hold them."""
+    rows = [(i, prose(i % 5, 60)) for i in range(60)]
+    docs = documents(spark, rows).repartition(6)
+    assert jaccard._groups(jaccard._shared(docs, Join(), 3)).collect() == []
+    assert {r.component_id for r in jaccard_components(docs).collect()} == set(range(5))
+
+
 def test_overlaps_are_summed_over_fragments():
     join = Join()
     rng = np.random.default_rng(3)
